@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from flowloom.operators.lookup import merge_columns
+
 COARSE_SECONDS = 3600
 TIE_BLOCK = 1 << 20
 
@@ -133,10 +135,21 @@ def asof_lookup(
     parts = [tagged(d, n, i) for i, (n, d) in enumerate(states.items())]
     union = reduce(DataFrame.unionByName, parts + [tagged(probes, None, len(names))])
     filled = running_last(union, keys, ["_ts", "_rank", "_seq"], names)
-    live = lambda n: F.when(~F.col(f"{n}._gone"), F.struct(*[
-        F.col(f"{n}.{f.name}").alias(f.name) for f in typed[n] if f.name != "_gone"])).alias(n)
+    live = lambda n: F.when(~F.col(f"`{n}`._gone"), F.struct(*[
+        F.col(f"`{n}`.`{f.name}`").alias(f.name) for f in typed[n] if f.name != "_gone"])).alias(n)
     hits = filled.filter(F.col("_probe").isNotNull()).select(
         *keys, F.col("_ts").alias(ts), F.col("_seq").alias(seq), "_probe.*", *[live(n) for n in names]
     )
     unkeyed = probes.filter(F.col(keys[0]).isNull()).select(*position(probes, ts, seq), *probe_cols)
     return hits.unionByName(unkeyed.withColumns(nothing))
+
+
+def merge_states(df: DataFrame, policies: dict[str, bool]) -> DataFrame:
+    """Merge the struct columns of :func:`asof_lookup` into the record, in order.
+
+    ``policies`` maps a state name to its overwrite flag.
+    """
+    for name, overwrite in policies.items():
+        fields = [f.name for f in df.schema[name].dataType]
+        df = merge_columns(df, {f: F.col(f"`{name}`.`{f}`") for f in fields}, overwrite)
+    return df.drop(*policies)
