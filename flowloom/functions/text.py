@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Signal-strength label limits (upper bound in dBm, label), weakest first.
@@ -36,10 +36,19 @@ def as_long(c: Column) -> Column:
     return c.cast("string").try_cast("bigint")
 
 
+def whole_number(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a whole number; integer columns are taken as they are, absent ones are NULL."""
+    if name not in df.columns:
+        return F.lit(None).cast("bigint")
+    if df.schema[name].dataType.typeName() in ("long", "integer", "short", "byte"):
+        return F.col(name).cast("bigint")
+    return as_long(F.col(name))
+
+
 def flow_duration(ts: Column, first: Column, now: Column) -> Column:
-    """Seconds between the first and last packet; 1 when the clock ran backwards."""
-    end = F.coalesce(as_long(ts), now)
-    span = end - F.coalesce(as_long(first), end)
+    """Seconds between the first and last packet (whole numbers); 1 when the clock ran backwards."""
+    end = F.coalesce(ts, now)
+    span = end - F.coalesce(first, end)
     return F.when(span < 0, F.lit(1)).otherwise(span).cast("bigint")
 
 

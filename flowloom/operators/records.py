@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowloom.fields import SITE_DIMS
 from flowloom.functions.address import mac_norm, station_parse
-from flowloom.functions.text import flow_duration
+from flowloom.functions.text import flow_duration, whole_number
 from flowloom.operators.lookup import Enricher, StoreSpec, enrich_record
 from flowloom.operators.split import split_flows
 
@@ -19,8 +19,8 @@ def flow(df: DataFrame, stores: Sequence[StoreSpec] = (), enrichers: Sequence[En
     """Enrich, measure and split flows."""
     at = F.col(now) if isinstance(now, str) else now
     df = enrich_record(df.withColumn("_at_now", at), stores, enrichers)
-    first = F.col("first_switched") if "first_switched" in df.columns else F.lit(None)
-    df = df.withColumn("duration", flow_duration(F.col("timestamp"), first, F.col("_at_now")))
+    span = flow_duration(whole_number(df, "timestamp"), whole_number(df, "first_switched"), F.col("_at_now"))
+    df = df.withColumn("duration", span)
     return split_flows(df, F.col("_at_now")).drop("_at_now")
 
 

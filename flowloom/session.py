@@ -19,6 +19,11 @@ DEFAULTS = {
     # the Python workers talk over a Unix socket, so no local port is opened for them
     "spark.python.unix.domain.socket.enabled": "true",
     "spark.ui.enabled": "false",
+    # wide records make generated methods larger than the JIT compiler takes by default
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    # no call-site capture for every Column expression; plans are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
