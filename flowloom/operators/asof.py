@@ -1,14 +1,11 @@
 """Latest-known-state columns ("as of" enrichment) that survive a hot key.
 
-A plain running window per client would put every row of a busy client (a NAT gateway, a default MAC)
-into one task. Here the order axis of each key is cut into chunks at two levels - an hour and a single
-second with a block of tie-breakers - and only rows of one fine chunk ever meet in a window. What earlier
-chunks hand over is computed on one pre-aggregated row per chunk, so every window partition is bounded
-whatever share of the data one key holds:
-
-* fine window: rows of one key, one second and one tie block;
-* middle window: fine chunks of one key and hour;
-* top window: hours of one key.
+Rows of one key are put in time order by a running window. A plain window per client would send every row
+of a busy client (a NAT gateway, a default MAC) to one task, so keys with more than :data:`HOT_ROWS` rows
+are found first and their order axis is cut into chunks: a second and a block of tie-breakers. Only rows of
+one chunk meet in a window; what earlier chunks hand over is worked out on one row per chunk, hour by hour.
+Every window is therefore bounded whatever share of the data one key holds, and ordinary keys cost a single
+shuffle.
 """
 
 from __future__ import annotations
@@ -22,67 +19,91 @@ from pyspark.sql.types import StructType
 
 from flowloom.operators.lookup import merge_columns
 
-COARSE_SECONDS = 3600
+#: rows of one key that a single window may hold
+HOT_ROWS = 2_000_000
 TIE_BLOCK = 1 << 20
+HOUR = 3600
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Equality on every pair of columns, with NULL equal to NULL."""
-    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
+def _key_names(keys: Sequence[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(keys))]
 
 
-def running_last(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    states: Sequence[str],
-    block_on: str | None = None,
-    coarse_seconds: int = COARSE_SECONDS,
-    tie_block: int = TIE_BLOCK,
-) -> DataFrame:
-    """Replace each column of ``states`` by its latest non-null value up to and including the row.
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Non-null forms of the keys, so that grouping and joining share one partitioning."""
+    own = lambda k: F.col(k) if k in df.columns else F.lit(None)
+    return df.withColumns({n: F.coalesce(F.concat(F.lit("="), own(k).cast("string")), F.lit(""))
+                           for n, k in zip(_key_names(keys), keys)})
+
+
+def cut_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_on: str | None = None,
+               hot_rows: int = HOT_ROWS, tie_block: int = TIE_BLOCK,
+               count_on: Sequence[DataFrame] | None = None) -> tuple[DataFrame, list[str]]:
+    """Add chunk columns to ``df``; also gives their names.
 
     ``order`` starts with an epoch-seconds column; ``block_on`` (its last column unless named) is the
-    integer tie-breaker that tells rows of one second apart. ``states`` are struct columns, NULL on rows
-    that carry no state.
+    integer tie-breaker that tells rows of one second apart. Hot keys are counted on ``count_on`` when
+    given (cheaper inputs with the same keys), else on ``df``; the choice affects speed only. The hot
+    keys are broadcast: there are at most ``rows / hot_rows`` of them.
     """
-    keys, order, states = list(keys), list(order), list(states)
+    names = _key_names(keys)
+    df = _with_keys(df, keys)
+    counted = [_with_keys(d, keys).groupBy(*names).count() for d in count_on] if count_on else [df.groupBy(*names).count()]
+    total = reduce(DataFrame.unionByName, counted)
+    if len(counted) > 1:
+        total = total.groupBy(*names).agg(F.sum("count").alias("count"))
+    hot = total.filter(F.col("count") > hot_rows).select(*names, F.lit(True).alias("_hot"))
+    df = df.join(F.broadcast(hot), names, "left")
+
     block_on = block_on or order[-1]
-    exact = order[:order.index(block_on)]
-    df = df.withColumns({
-        "_hour": F.floor(F.col(order[0]) / coarse_seconds),
-        "_fine": F.struct(*exact, F.floor(F.col(block_on) / tie_block).alias("_blk")),
-    })
-    chunk = keys + ["_hour", "_fine"]
+    exact = list(order[:list(order).index(block_on)])
+    # the flag is part of the chunk, so a filter on it reaches the inputs of earlier windows
+    df = df.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    only_hot = lambda c: F.coalesce(F.when(F.col("_hot"), c.cast("bigint")), F.lit(-1).cast("bigint"))
+    marks = {"_hour": only_hot(F.floor(F.col(order[0]) / HOUR))}
+    marks |= {f"_x{i}": only_hot(F.col(c)) for i, c in enumerate(exact)}
+    marks["_blk"] = only_hot(F.floor(F.col(block_on) / tie_block))
+    return df.withColumns(marks), [*names, "_hot", *marks]
+
+
+def fill_last(df: DataFrame, chunk: Sequence[str], order: Sequence[str], states: Sequence[str],
+              strict: Sequence[str] = ()) -> DataFrame:
+    """Replace each column of ``states`` by its latest non-null value up to the row, per key.
+
+    ``df`` and ``chunk`` come from :func:`cut_chunks`. Columns also named in ``strict`` look at earlier
+    rows only. Further calls on the result reuse its partitioning and sort order.
+    """
+    chunk, states = list(chunk), list(states)
+    keys, place = chunk[:chunk.index("_hour")], chunk[chunk.index("_hour") + 1:]
     known = lambda s, by: F.max_by(F.col(s), F.when(F.col(s).isNotNull(), by)).alias(s)
-
-    # what each chunk leaves behind, one row per chunk
-    fine = df.groupBy(*chunk).agg(*[known(s, F.struct(*order)) for s in states])
-    coarse = fine.groupBy(*keys, "_hour").agg(*[known(s, F.col("_fine")) for s in states])
-
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    in_hour = before(Window.partitionBy(*keys, "_hour").orderBy("_fine"))
+
+    # what each chunk of a hot key leaves behind, one row per chunk, and what reaches it
+    fine = df.filter("_hot").groupBy(*chunk).agg(*[known(s, F.struct(*order)) for s in states])
+    coarse = fine.groupBy(*keys, "_hour").agg(*[known(s, F.struct(*place)) for s in states])
+    in_hour = before(Window.partitionBy(*keys, "_hour").orderBy(*place))
     in_key = before(Window.partitionBy(*keys).orderBy("_hour"))
-    handed = lambda w, name: {f"{name}{i}": F.last(s, ignorenulls=True).over(w) for i, s in enumerate(states)}
-    fine = fine.withColumns(handed(in_hour, "_f"))
-    coarse = coarse.withColumns(handed(in_key, "_c"))
-
-    coarse = coarse.select(
-        *[F.col(c).alias("_k" + c) for c in keys + ["_hour"]], *[f"_c{i}" for i in range(len(states))]
-    )
-    carry = fine.join(coarse, null_safe(fine, coarse, [(c, "_k" + c) for c in keys + ["_hour"]]), "left")
-    carry = carry.select(
-        *[F.col(c).alias("_k" + c) for c in chunk],
-        *[F.coalesce(F.col(f"_f{i}"), F.col(f"_c{i}")).alias(f"_s{i}") for i in range(len(states))],
-    )
-
-    here = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumns({s: F.last(s, ignorenulls=True).over(here) for s in states})
-    out = local.join(carry, null_safe(local, carry, [(c, "_k" + c) for c in chunk]), "left")
+    handed = lambda w, tag: [F.last(s, ignorenulls=True).over(w).alias(f"{tag}{i}") for i, s in enumerate(states)]
+    carry = fine.select(*chunk, *handed(in_hour, "_f")).join(
+        coarse.select(*keys, "_hour", *handed(in_key, "_c")), [*keys, "_hour"], "left")
+    carry = carry.select(*chunk, *[F.coalesce(f"_f{i}", f"_c{i}").alias(f"_s{i}") for i in range(len(states))])
+
+    window = Window.partitionBy(*chunk).orderBy(*order)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumns({
+        s: F.last(s, ignorenulls=True).over(before(window) if s in strict else upto) for s in states})
+    out = local.join(carry, chunk, "left")
     return out.select(*[
-        F.coalesce(F.col(c), F.col(f"_s{states.index(c)}")).alias(c) if c in states else F.col(c)
-        for c in df.columns if c not in ("_hour", "_fine")
-    ])
+        F.coalesce(F.col(f"`{c}`"), F.col(f"_s{states.index(c)}")).alias(c) if c in states else F.col(f"`{c}`")
+        for c in df.columns])
+
+
+def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], states: Sequence[str],
+                 block_on: str | None = None, hot_rows: int = HOT_ROWS, tie_block: int = TIE_BLOCK,
+                 count_on: Sequence[DataFrame] | None = None) -> DataFrame:
+    """:func:`cut_chunks` and :func:`fill_last` in one step."""
+    marked, chunk = cut_chunks(df, keys, order, block_on, hot_rows, tie_block, count_on)
+    return fill_last(marked, chunk, order, states).drop(*chunk)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -92,33 +113,43 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return top.select(*keys, "_row.*")
 
 
+def state_columns(df: DataFrame, payloads: dict[str, Sequence[str]], removed: dict[str, Column] | None = None) -> dict[str, Column]:
+    """Struct columns for :func:`asof_lookup`: per state name its payload columns and a removal flag."""
+    removed = removed or {}
+    return {n: F.struct(removed.get(n, F.lit(False)).alias("_gone"), *cols).alias(n) for n, cols in payloads.items()}
+
+
 def asof_lookup(
     probes: DataFrame,
     states: dict[str, DataFrame],
     keys: Sequence[str] = ("client_mac", "namespace_uuid"),
     ts: str = "timestamp",
     seq: str = "event_id",
+    shared: Sequence[DataFrame] = (),
+    hot_rows: int = HOT_ROWS,
+    count_on: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
-    """Attach to every probe row, per named state table, the payload in force at its time.
+    """Attach to every probe row, per named state, the payload in force at its time.
 
     A state table has ``keys``, ``ts``, ``seq`` and payload columns; an optional boolean ``deleted``
-    column marks removals. A state at the same second as a probe is visible to it. The result has one
-    struct column per state table, NULL when nothing is known or the state was removed. Rows whose
-    first key is NULL neither leave nor see state.
+    column marks removals. ``shared`` tables instead carry ready :func:`state_columns`, so that one pass
+    over a table can feed several states. A state at the same second as a probe is visible to it. The
+    result has one struct column per state, NULL when nothing is known or the state was removed. Rows
+    whose first key is NULL neither leave nor see state.
     """
-    keys = list(keys)
-    names = list(states)
-    probe_cols = [c for c in probes.columns if c not in keys + [ts, seq]]
-
-    def payload(d: DataFrame) -> Column:
-        fields = [F.col(c) for c in d.columns if c not in keys + [ts, seq, "deleted"]]
-        gone = F.col("deleted") if "deleted" in d.columns else F.lit(False)
-        return F.struct(gone.alias("_gone"), *fields)
-
-    typed = {n: d.select(payload(d).alias("p")).schema["p"].dataType for n, d in states.items()}
+    keys, fixed = list(keys), {*keys, ts, seq, "deleted"}
+    frames: list[DataFrame] = []
+    for name, d in states.items():
+        gone = {name: F.coalesce(F.col("deleted"), F.lit(False))} if "deleted" in d.columns else None
+        own = state_columns(d, {name: [c for c in d.columns if c not in fixed]}, gone)
+        frames.append(d.select(*[c for c in (*keys, ts, seq) if c in d.columns], *own.values()))
+    frames += list(shared)
+    typed = {f.name: f.dataType for d in frames for f in d.schema if f.name not in fixed}
+    names = list(typed)
     nothing = {n: F.lit(None).cast(StructType([f for f in t if f.name != "_gone"])) for n, t in typed.items()}
     if keys[0] not in probes.columns:
         return probes.withColumns(nothing)
+    probe_cols = [c for c in probes.columns if c not in (*keys, ts, seq)]
     probe_type = probes.select(F.struct(*probe_cols).alias("p")).schema["p"].dataType
 
     def position(d: DataFrame, ts_name: str, seq_name: str) -> list[Column]:
@@ -126,20 +157,19 @@ def asof_lookup(
         return [own(k).cast("string").alias(k) for k in keys] + [
             F.col(ts).cast("bigint").alias(ts_name), F.col(seq).cast("bigint").alias(seq_name)]
 
-    def tagged(d: DataFrame, name: str | None, rank: int) -> DataFrame:
-        cols = position(d, "_ts", "_seq") + [F.lit(rank).alias("_rank")]
-        cols += [(payload(d) if n == name else F.lit(None).cast(typed[n])).alias(n) for n in names]
-        cols.append((F.struct(*probe_cols) if name is None else F.lit(None).cast(probe_type)).alias("_probe"))
-        return d.filter(F.col(keys[0]).isNotNull()).select(*cols)
+    def tagged(d: DataFrame, rank: int, probe: bool = False) -> DataFrame:
+        own = lambda n: F.col(f"`{n}`") if n in d.columns and not probe else F.lit(None).cast(typed[n])
+        body = F.struct(*probe_cols) if probe else F.lit(None).cast(probe_type)
+        return d.filter(F.col(keys[0]).isNotNull()).select(
+            *position(d, "_ts", "_seq"), F.lit(rank).alias("_rank"), *[own(n).alias(n) for n in names], body.alias("_probe"))
 
-    parts = [tagged(d, n, i) for i, (n, d) in enumerate(states.items())]
-    union = reduce(DataFrame.unionByName, parts + [tagged(probes, None, len(names))])
-    filled = running_last(union, keys, ["_ts", "_rank", "_seq"], names)
+    parts = [tagged(d, i) for i, d in enumerate(frames)] + [tagged(probes, len(frames), probe=True)]
+    union = reduce(DataFrame.unionByName, parts)
+    filled = running_last(union, keys, ["_ts", "_rank", "_seq"], names, hot_rows=hot_rows, count_on=count_on)
     live = lambda n: F.when(~F.col(f"`{n}`._gone"), F.struct(*[
         F.col(f"`{n}`.`{f.name}`").alias(f.name) for f in typed[n] if f.name != "_gone"])).alias(n)
     hits = filled.filter(F.col("_probe").isNotNull()).select(
-        *keys, F.col("_ts").alias(ts), F.col("_seq").alias(seq), "_probe.*", *[live(n) for n in names]
-    )
+        *keys, F.col("_ts").alias(ts), F.col("_seq").alias(seq), "_probe.*", *[live(n) for n in names])
     unkeyed = probes.filter(F.col(keys[0]).isNull()).select(*position(probes, ts, seq), *probe_cols)
     return hits.unionByName(unkeyed.withColumns(nothing))
 

@@ -10,7 +10,7 @@ from flowloom.fields import SITE_DIMS
 from flowloom.functions.text import (
     RSSI_TOP_CLOUD, client_profile, iso_seconds, latlng, rssi_label, status_name, zone_path,
 )
-from flowloom.operators.asof import null_safe, running_last
+from flowloom.operators.asof import HOT_ROWS, cut_chunks, fill_last
 
 KEYS = ["client_mac", "namespace_uuid"]
 # What a location record leaves behind for its client.
@@ -146,7 +146,8 @@ def notifications(df: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: bool = True) -> DataFrame:
+def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: bool = True,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Complete every row's state fields from the client's earlier records.
 
     An association (or a row of ``resets``: :func:`v89_state`, :func:`meraki_state`) starts afresh. With
@@ -163,36 +164,28 @@ def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: boo
         )
         rows = rows.unionByName(r, allowMissingColumns=True)
     order = ["timestamp", "event_id", "_pos"]
-    place = F.struct(*order)
-    rows = rows.withColumn("_at", place).withColumn("_since", F.when(F.col("_reset"), place))
-    status = F.when(F.col("_since").isNull(), F.lit("PROBING"))
+    rows = rows.withColumn("_at", F.struct(*order)).withColumn("_since", F.when(F.col("_reset"), F.col("_at")))
+    columns = rows.columns
+    rows, chunk = cut_chunks(rows, KEYS, order, block_on="event_id", hot_rows=hot_rows)
+    given = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(c).alias("v")))
+    current = lambda c: F.col("_since").isNull() | (F.col(f"_v_{c}.at") >= F.col("_since"))
+    marks = [f"_v_{c}" for c in STATE_FIELDS]
     if sticky:
-        rows = running_last(rows, KEYS, order, ["_since"], block_on="event_id")
-        group = KEYS + ["_since"]
-        first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v")))).alias(f"_v_{c}")
-        firsts = rows.groupBy(*group).agg(*[first(c) for c in STATE_FIELDS])
-        # joined through one row per group and hour, so that a busy group is spread over its hours
-        rows = rows.withColumn("_hour", F.floor(F.col("timestamp") / 3600))
-        hours = rows.select(*group, "_hour").distinct()
-        tag = lambda d, cols, t: d.select(*[F.col(c).alias(t + c) if c in cols else F.col(c) for c in d.columns])
-        firsts = tag(firsts, group, "_g")
-        hours = hours.join(firsts, null_safe(hours, firsts, [(c, "_g" + c) for c in group]), "left").drop(
-            *["_g" + c for c in group])
-        hours = tag(hours, group + ["_hour"], "_h")
-        rows = rows.join(hours, null_safe(rows, hours, [(c, "_h" + c) for c in group + ["_hour"]]), "left")
-        seen = lambda c: F.col(f"_v_{c}")
-        known = lambda c: F.when(
-            F.struct(*[seen(c)[o] for o in order]) <= F.col("_at"), seen(c)["v"])
+        # where a field was given before, then only the givings that are the first since the last reset
+        rows = rows.withColumns({f"_v_{c}": given(c) for c in STATE_FIELDS})
+        rows = fill_last(rows, chunk, order, ["_since", *marks], strict=marks)
+        rows = rows.withColumns({
+            f"_v_{c}": F.when(~F.coalesce(current(c) & F.col(f"_v_{c}").isNotNull(), F.lit(False)), given(c))
+            for c in STATE_FIELDS})
+        rows = fill_last(rows, chunk, order, marks)
     else:
-        marks = {f"_v_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(c).alias("v"))) for c in STATE_FIELDS}
-        rows = running_last(rows.withColumns(marks), KEYS, order, ["_since", *marks], block_on="event_id")
-        known = lambda c: F.when(
-            F.col("_since").isNull() | (F.col(f"_v_{c}.at") >= F.col("_since")), F.col(f"_v_{c}.v"))
-    filled = {c: F.when(F.col("_reset"), F.col(c)).otherwise(known(c)) for c in STATE_FIELDS}
-    filled["dot11_status"] = F.when(F.col("_reset"), F.col("dot11_status")).otherwise(
-        F.coalesce(status, known("dot11_status")))
-    keep = [c for c in rows.columns if not c.startswith(("_v_", "_h", "_g")) and c not in ("_at", "_since", "_keep")]
-    return rows.withColumns(filled).filter("_keep").select(*keep)
+        rows = rows.withColumns({f"_v_{c}": given(c) for c in STATE_FIELDS})
+        rows = fill_last(rows, chunk, order, ["_since", *marks])
+    filled = {c: F.when(F.col("_reset"), F.col(c)).when(current(c), F.col(f"_v_{c}.v")) for c in STATE_FIELDS}
+    unseen = F.col("_since").isNull()
+    filled["dot11_status"] = F.when(unseen, F.lit("PROBING")).otherwise(filled["dot11_status"])
+    keep = [c for c in columns if c not in ("_at", "_since", "_keep")]
+    return rows.filter("_keep").select(*[filled[c].alias(c) if c in filled else F.col(c) for c in keep])
 
 
 def shape_v10(rows: DataFrame) -> DataFrame:

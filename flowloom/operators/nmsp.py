@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowloom.fields import SITE_DIMS
 from flowloom.functions.text import client_profile, rssi_label, strongest_ap
-from flowloom.operators.asof import asof_lookup
+from flowloom.operators.asof import asof_lookup, state_columns
 
 INFO_TTL = 3600
 RSSI_LIMIT = -80
@@ -64,7 +64,8 @@ def pair_with_info(df: DataFrame, info: DataFrame, now: Column | None = None) ->
     ).withColumns({"_now": arrival(df, now).cast("bigint")})
     measures = measures.withColumn("timestamp", F.coalesce(F.col("timestamp").cast("bigint"), F.col("_now")))
     spare = [c for c in (*INFO_FIELDS, "dot11_status", "vlan_id", "lan_vlan", "last_seen") if c in measures.columns]
-    return asof_lookup(measures.drop(*spare), {"_info": info}, KEYS)
+    # both inputs are cut from df, so its keys show which clients are hot
+    return asof_lookup(measures.drop(*spare), {"_info": info}, KEYS, count_on=[df])
 
 
 def judge_measures(paired: DataFrame, limit: int = RSSI_LIMIT) -> DataFrame:
@@ -112,15 +113,23 @@ def nmsp_measure(df: DataFrame, info: DataFrame, limit: int = RSSI_LIMIT, now: C
     return judged.filter("_publish").drop("_publish", "_stale")
 
 
-def measure_state(judged: DataFrame) -> DataFrame:
-    """``nmsp-measure`` state of judged records, weak ones included; its status is always ASSOCIATED."""
-    return judged.select(
-        *KEYS, "timestamp", "event_id", "client_rssi_num", "wireless_station", *INFO_FIELDS[1:], "lan_vlan",
-        "last_seen", "client_rssi", "client_profile", F.lit("ASSOCIATED").alias("dot11_status"),
-    )
+MEASURE_FIELDS = [
+    "client_rssi_num", "wireless_station", *INFO_FIELDS[1:], "lan_vlan", "last_seen", "client_rssi", "client_profile",
+]
+
 
+def client_history(info: DataFrame, judged: DataFrame) -> list[DataFrame]:
+    """``nmsp-measure`` and ``nmsp-info`` states over time, for :func:`asof_lookup`'s ``shared``.
 
-def info_history(info: DataFrame, judged: DataFrame) -> DataFrame:
-    """``nmsp-info`` state plus the removals made by measures that found it expired."""
-    removed = judged.filter("_stale").select(*KEYS, "timestamp", "event_id", F.lit(True).alias("deleted"))
-    return info.withColumn("deleted", F.lit(False)).unionByName(removed, allowMissingColumns=True)
+    Judged records leave their own state, weak ones included and always with status ASSOCIATED; one that
+    found an expired association also removes it.
+    """
+    place = [*KEYS, "timestamp", "event_id"]
+    fields = ["wireless_station", *INFO_FIELDS[1:], "lan_vlan", "last_seen", "dot11_status"]
+    left = judged.withColumn("dot11_status", F.lit("ASSOCIATED"))
+    removed = F.when(F.col("_stale"), F.struct(F.lit(True).alias("_gone"), *fields))
+    return [
+        left.select(*place, *state_columns(left, {"nmsp-measure": [*MEASURE_FIELDS, "dot11_status"]}).values(),
+                    removed.alias("nmsp-info")),
+        info.select(*place, *state_columns(info, {"nmsp-info": fields}).values()),
+    ]

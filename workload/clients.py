@@ -206,11 +206,13 @@ SEEN = JUDGED + f""",
  places as (select wireless_station, 'b-' || wireless_station as building from fx_nmsp where wireless_station <> 'ap-5' group by 1)"""
 
 
-def client_states(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def with_client_states(spark: SparkSession, sf: str, probes: DataFrame) -> DataFrame:
+    """Records with the client's signal and association state merged in."""
     df = view(spark, sf, "fx_nmsp")
     info = nmsp.info_state(nmsp.nmsp_info(df))
     judged = nmsp.judge_measures(nmsp.pair_with_info(df, info))
-    return {"nmsp-measure": nmsp.measure_state(judged), "nmsp-info": nmsp.info_history(info, judged)}
+    found = asof.asof_lookup(probes, {}, shared=nmsp.client_history(info, judged), count_on=[probes, df])
+    return asof.merge_states(found, {"nmsp-measure": True, "nmsp-info": True})
 
 
 def places(spark: SparkSession) -> DataFrame:
@@ -223,9 +225,7 @@ select event_id, client_rssi_num, coalesce(i_station, m_station) as wireless_sta
 from seen left join places p on p.wireless_station = coalesce(i_station, m_station)""", SEEN))
 def client_asof_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """Flows with the client's signal, then its association, then the place of the station learned from them."""
-    states = client_states(spark, sf)
-    flows = asof.asof_lookup(view(spark, sf, "fx_flow"), states)
-    out = asof.merge_states(flows, {name: True for name in states})
+    out = with_client_states(spark, sf, view(spark, sf, "fx_flow"))
     out = lookup_chain(out, [StoreSpec("places", places(spark), keys=("wireless_station",), overwrite=False)])
     return out.select("event_id", "client_rssi_num", "wireless_station", "wireless_id", "lan_vlan", "dot11_status", "building")
 
