@@ -66,36 +66,55 @@ def cut_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_o
     return df.withColumns(marks), [*names, "_hot", *marks]
 
 
-def fill_last(df: DataFrame, chunk: Sequence[str], order: Sequence[str], states: Sequence[str],
-              strict: Sequence[str] = ()) -> DataFrame:
-    """Replace each column of ``states`` by its latest non-null value up to the row, per key.
+def _handed_over(hot: DataFrame, chunk: Sequence[str], order: Sequence[str], states: Sequence[str],
+                 group: Sequence[str], first: bool) -> DataFrame:
+    """Per chunk (and group) of the hot keys: what earlier chunks say about each state, as ``_s<i>``."""
+    keys, place = list(chunk[:list(chunk).index("_hour")]), list(chunk[list(chunk).index("_hour") + 1:])
+    best, pick = (F.min_by, F.first) if first else (F.max_by, F.last)
+    known = lambda s, by: best(F.col(s), F.when(F.col(s).isNotNull(), by)).alias(s)
+    before = lambda *by: Window.partitionBy(*by, *group).rowsBetween(Window.unboundedPreceding, -1)
+    handed = lambda w, tag: [pick(s, ignorenulls=True).over(w).alias(f"{tag}{i}") for i, s in enumerate(states)]
+    fine = hot.groupBy(*chunk, *group).agg(*[known(s, F.struct(*order)) for s in states])
+    coarse = fine.groupBy(*keys, "_hour", *group).agg(*[known(s, F.struct(*place)) for s in states])
+    fine = fine.select(*chunk, *group, *handed(before(*keys, "_hour").orderBy(*place), "_f"))
+    coarse = coarse.select(*keys, "_hour", *group, *handed(before(*keys).orderBy("_hour"), "_c"))
+    near, far = ("_c", "_f") if first else ("_f", "_c")
+    return fine.join(coarse, [*keys, "_hour", *group], "left").select(
+        *chunk, *group, *[F.coalesce(f"{near}{i}", f"{far}{i}").alias(f"_s{i}") for i in range(len(states))])
+
+
+def fill_last(df: DataFrame, chunk: Sequence[str], order: Sequence[str], states: Sequence[str]) -> DataFrame:
+    """Replace each column of ``states`` by its latest non-null value up to and including the row, per key.
+
+    ``df`` and ``chunk`` come from :func:`cut_chunks`; the result keeps its partitioning.
+    """
+    upto = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumns({s: F.last(s, ignorenulls=True).over(upto) for s in states})
+    carry = _handed_over(df.filter("_hot"), chunk, order, states, [], first=False)
+    filled = {s: F.coalesce(F.col(f"`{s}`"), F.col(f"_s{i}")).alias(s) for i, s in enumerate(states)}
+    return local.join(carry, list(chunk), "left").select(*[filled.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+def fill_group(df: DataFrame, chunk: Sequence[str], order: Sequence[str], states: Sequence[str], group: str,
+               first: bool) -> DataFrame:
+    """Like :func:`fill_last`, within runs of rows that share ``group``.
 
-    ``df`` and ``chunk`` come from :func:`cut_chunks`. Columns also named in ``strict`` look at earlier
-    rows only. Further calls on the result reuse its partitioning and sort order.
+    ``group`` is a non-null column that grows along the order. With ``first`` a state keeps the first
+    value of its run instead of taking the latest.
     """
-    chunk, states = list(chunk), list(states)
-    keys, place = chunk[:chunk.index("_hour")], chunk[chunk.index("_hour") + 1:]
-    known = lambda s, by: F.max_by(F.col(s), F.when(F.col(s).isNotNull(), by)).alias(s)
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-
-    # what each chunk of a hot key leaves behind, one row per chunk, and what reaches it
-    fine = df.filter("_hot").groupBy(*chunk).agg(*[known(s, F.struct(*order)) for s in states])
-    coarse = fine.groupBy(*keys, "_hour").agg(*[known(s, F.struct(*place)) for s in states])
-    in_hour = before(Window.partitionBy(*keys, "_hour").orderBy(*place))
-    in_key = before(Window.partitionBy(*keys).orderBy("_hour"))
-    handed = lambda w, tag: [F.last(s, ignorenulls=True).over(w).alias(f"{tag}{i}") for i, s in enumerate(states)]
-    carry = fine.select(*chunk, *handed(in_hour, "_f")).join(
-        coarse.select(*keys, "_hour", *handed(in_key, "_c")), [*keys, "_hour"], "left")
-    carry = carry.select(*chunk, *[F.coalesce(f"_f{i}", f"_c{i}").alias(f"_s{i}") for i in range(len(states))])
-
-    window = Window.partitionBy(*chunk).orderBy(*order)
+    window = Window.partitionBy(*chunk, group).orderBy(*order)
     upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumns({
-        s: F.last(s, ignorenulls=True).over(before(window) if s in strict else upto) for s in states})
-    out = local.join(carry, chunk, "left")
-    return out.select(*[
-        F.coalesce(F.col(f"`{c}`"), F.col(f"_s{states.index(c)}")).alias(c) if c in states else F.col(f"`{c}`")
-        for c in df.columns])
+    pick = F.first if first else F.last
+    local = df.withColumns({s: pick(s, ignorenulls=True).over(upto) for s in states})
+    carry = _handed_over(df.filter("_hot"), chunk, order, states, [group], first)
+    # only the run a chunk starts with can have begun earlier: one row per chunk is enough
+    parts = [f"_s{i}" for i in range(len(states))]
+    carry = carry.groupBy(*chunk).agg(F.min_by(F.struct(F.col(group).alias("_g"), *parts), F.col(group)).alias("_in"))
+    came = lambda i: F.when(F.col(group) == F.col("_in._g"), F.col(f"_in._s{i}"))
+    filled = {
+        s: F.coalesce(*((came(i), F.col(f"`{s}`")) if first else (F.col(f"`{s}`"), came(i)))).alias(s)
+        for i, s in enumerate(states)}
+    return local.join(carry, list(chunk), "left").select(*[filled.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], states: Sequence[str],

@@ -10,7 +10,7 @@ from flowloom.fields import SITE_DIMS
 from flowloom.functions.text import (
     RSSI_TOP_CLOUD, client_profile, iso_seconds, latlng, rssi_label, status_name, zone_path,
 )
-from flowloom.operators.asof import HOT_ROWS, cut_chunks, fill_last
+from flowloom.operators.asof import HOT_ROWS, cut_chunks, fill_group, fill_last
 
 KEYS = ["client_mac", "namespace_uuid"]
 # What a location record leaves behind for its client.
@@ -18,6 +18,8 @@ STATE_FIELDS = [
     "wireless_id", "dot11_protocol", "dot11_status", "wireless_station", "client_id",
     "campus", "building", "floor", "zone", "client_latlong",
 ]
+# sorts before every reset
+NO_RESET = "named_struct('timestamp', -9223372036854775808, 'event_id', -9223372036854775808, '_pos', -1)"
 # Site dimensions an association passes on (it carries no namespace or provider).
 ASSOCIATION_DIMS = SITE_DIMS[:8]
 
@@ -164,28 +166,14 @@ def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: boo
         )
         rows = rows.unionByName(r, allowMissingColumns=True)
     order = ["timestamp", "event_id", "_pos"]
-    rows = rows.withColumn("_at", F.struct(*order)).withColumn("_since", F.when(F.col("_reset"), F.col("_at")))
-    columns = rows.columns
+    columns = [c for c in rows.columns if c != "_keep"]
+    rows = rows.withColumn("_since", F.when(F.col("_reset"), F.struct(*order)))
     rows, chunk = cut_chunks(rows, KEYS, order, block_on="event_id", hot_rows=hot_rows)
-    given = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(c).alias("v")))
-    current = lambda c: F.col("_since").isNull() | (F.col(f"_v_{c}.at") >= F.col("_since"))
-    marks = [f"_v_{c}" for c in STATE_FIELDS]
-    if sticky:
-        # where a field was given before, then only the givings that are the first since the last reset
-        rows = rows.withColumns({f"_v_{c}": given(c) for c in STATE_FIELDS})
-        rows = fill_last(rows, chunk, order, ["_since", *marks], strict=marks)
-        rows = rows.withColumns({
-            f"_v_{c}": F.when(~F.coalesce(current(c) & F.col(f"_v_{c}").isNotNull(), F.lit(False)), given(c))
-            for c in STATE_FIELDS})
-        rows = fill_last(rows, chunk, order, marks)
-    else:
-        rows = rows.withColumns({f"_v_{c}": given(c) for c in STATE_FIELDS})
-        rows = fill_last(rows, chunk, order, ["_since", *marks])
-    filled = {c: F.when(F.col("_reset"), F.col(c)).when(current(c), F.col(f"_v_{c}.v")) for c in STATE_FIELDS}
-    unseen = F.col("_since").isNull()
-    filled["dot11_status"] = F.when(unseen, F.lit("PROBING")).otherwise(filled["dot11_status"])
-    keep = [c for c in columns if c not in ("_at", "_since", "_keep")]
-    return rows.filter("_keep").select(*[filled[c].alias(c) if c in filled else F.col(c) for c in keep])
+    rows = fill_last(rows, chunk, order, ["_since"])
+    rows = rows.withColumns({"_unseen": F.col("_since").isNull(), "_since": F.coalesce("_since", F.expr(NO_RESET))})
+    rows = fill_group(rows, chunk, order, STATE_FIELDS, "_since", first=sticky)
+    status = F.when(F.col("_unseen"), F.lit("PROBING")).otherwise(F.col("dot11_status"))
+    return rows.filter("_keep").withColumn("dot11_status", status).select(*columns)
 
 
 def shape_v10(rows: DataFrame) -> DataFrame:
