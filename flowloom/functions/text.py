@@ -107,9 +107,5 @@ def as_name(info: Column) -> Column:
 
 def iso_seconds(text: Column) -> Column:
     """ISO-8601 text with a zone offset to epoch seconds; NULL when it cannot be read."""
-    parsed = F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSZ")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
-        F.try_to_timestamp(text),
-    )
-    return F.unix_timestamp(parsed)
+    colon = F.regexp_replace(text, r"([+-]\d\d)(\d\d)$", "$1:$2")
+    return F.unix_timestamp(F.when(text.rlike(r"^\d{4}-\d\d"), colon.try_cast("timestamp")))

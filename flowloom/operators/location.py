@@ -56,8 +56,9 @@ def location_v89(df: DataFrame, now: Column | None = None) -> DataFrame:
     body = F.col("StreamingNotification")
     df = df.filter(body.isNotNull())
     if isinstance(body_type["location"].dataType, StringType):
-        df = df.withColumns({
-            "_l8": F.from_json(body.location, _LOCATION_8), "_l9": F.from_json(body.location, _LOCATION_9)})
+        df = df.withColumn("_l8", F.from_json(body.location, _LOCATION_8))
+        incomplete = F.col("_l8.GeoCoordinate").isNull() | F.col("_l8.MapInfo").isNull()
+        df = df.withColumn("_l9", F.when(incomplete, F.from_json(body.location, _LOCATION_9)))
         geo = F.coalesce(F.col("_l8.GeoCoordinate"), F.col("_l9.geoCoordinate"))
         info = F.coalesce(F.col("_l8.MapInfo"), F.col("_l9.mapInfo"))
         have = None

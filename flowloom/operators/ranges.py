@@ -19,9 +19,9 @@ from flowloom.operators.lookup import Enricher, merge_columns
 
 def shared_prefix(a: Column, b: Column, width: int) -> Column:
     """Longest common prefix of two texts of at most ``width`` characters."""
-    same = [F.substring(a, 1, n) == F.substring(b, 1, n) for n in range(1, width + 1)]
-    length = sum((s.cast("int") for s in same[1:]), same[0].cast("int"))
-    return F.substring(a, F.lit(1), length)
+    same = F.filter(
+        F.sequence(F.lit(1), F.lit(width)), lambda n: F.substring(a, F.lit(1), n) == F.substring(b, F.lit(1), n))
+    return F.substring(a, F.lit(1), F.size(same))
 
 
 def stab(points: DataFrame, intervals: DataFrame, width: int) -> DataFrame:
