@@ -62,18 +62,20 @@ def address_values(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: DataFrame | None,
-               lan: str = "lan_ip", wan: str = "wan_ip") -> DataFrame:
+               lan: str = "lan_ip", wan: str = "wan_ip", addresses_of: DataFrame | None = None) -> DataFrame:
     """Country code and network owner of both addresses.
 
     ``country_ranges`` is ``(start_ip, end_ip, family, country_code)`` and ``asn_ranges``
     ``(start_ip, end_ip, family, as_info)``; a missing table adds nothing. The ``ip_*`` columns and
     ``public_ip`` come from the WAN side when it is known there, else from the LAN side. Each distinct
-    address is looked up once.
+    address is looked up once; ``addresses_of`` may name a cheaper frame that holds all of them, such as
+    the records before earlier joins.
     """
     sides = [c for c in (lan, wan) if c in df.columns]
     if not sides or (country_ranges is None and asn_ranges is None):
         return df
-    both = df.select(F.explode(F.array(*sides)).alias("ip")) if len(sides) > 1 else df.select(F.col(sides[0]).alias("ip"))
+    source = df if addresses_of is None else addresses_of
+    both = source.select(F.explode(F.array(*sides)).alias("ip"))
     addresses = both.filter(F.col("ip").isNotNull()).distinct()
     known = addresses
     for table, value, name in ((country_ranges, "country_code", "_cc"), (asn_ranges, "as_info", "_as")):
@@ -99,8 +101,9 @@ def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: Data
     return out.drop(*[f"_{t}_{s}" for t in ("cc", "as") for s in sides])
 
 
-def geo_enricher(country_ranges: DataFrame | None, asn_ranges: DataFrame | None) -> Enricher:
-    fn = lambda df: geo_lookup(df, country_ranges, asn_ranges)
+def geo_enricher(country_ranges: DataFrame | None, asn_ranges: DataFrame | None,
+                 addresses_of: DataFrame | None = None) -> Enricher:
+    fn = lambda df: geo_lookup(df, country_ranges, asn_ranges, addresses_of=addresses_of)
     fn.fills = ("lan_ip_country_code", "wan_ip_country_code", "lan_ip_as_name", "wan_ip_as_name",
                 "ip_country_code", "ip_as_name", "public_ip")
     return fn

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.functions import address, text
-from flowloom.operators import hierarchy, lookup, nmsp, privacy, ranges, records, rollup
+from flowloom.operators import hierarchy, lookup, privacy, ranges, records, rollup
 from flowloom.operators.counters import datasource_name
 from flowloom.operators.lookup import StoreSpec
 from flowloom.operators.split import split_flows
@@ -277,13 +277,17 @@ def enricher_chain(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", "client_mac_vendor", "lan_ip_country_code")
 
 
-def geo_sql(columns: str) -> str:
+def geo_body(columns: str) -> str:
     hit = lambda side: f"""left join fx_geo {side[0]} on {side}_n between {side[0]}.start_ip and {side[0]}.end_ip"""
     num = lambda c: f"case when instr({c}, ':') > 0 then null else " + V4_NUM.format(f"string_split(case when instr({c}, ':') > 0 then '0.0.0.0' else {c} end, '.')") + " end"
     name = lambda t: f"case when instr({t}.as_info, ' ') > 0 then substr({t}.as_info, instr({t}.as_info, ' ') + 1) else {t}.as_info end"
-    return oracle(f"""select event_id, {columns} from (select f.event_id, lan_ip, wan_ip, l.country_code as lan_cc, w.country_code as wan_cc,
+    return f"""select event_id, {columns} from (select f.event_id, lan_ip, wan_ip, l.country_code as lan_cc, w.country_code as wan_cc,
       {name('l')} as lan_as, {name('w')} as wan_as
-      from (select *, {num('lan_ip')} as lan_n, {num('wan_ip')} as wan_n from fx_flow) f {hit('lan')} {hit('wan')}) t""")
+      from (select *, {num('lan_ip')} as lan_n, {num('wan_ip')} as wan_n from fx_flow) f {hit('lan')} {hit('wan')}) t"""
+
+
+def geo_sql(columns: str) -> str:
+    return oracle(geo_body(columns))
 
 
 @query("geoip_country", geo_sql("""lan_cc as lan_ip_country_code, wan_cc as wan_ip_country_code, coalesce(wan_cc, lan_cc) as ip_country_code,
@@ -301,6 +305,11 @@ def geoip_asn(spark: SparkSession, sf: str) -> DataFrame:
 
 SALTS = "(values ('sp-0', '6A285A12B390A55E021EB983B20D5F4E'), ('sp-1', '00112233445566778899AABBCCDDEEFF'))"
 
+
+def salts(spark: SparkSession) -> DataFrame:
+    return spark.sql(f"select * from {SALTS[1:-1]} as t(uuid, salt)")
+
+
 # PBKDF2-HMAC-SHA256 spelled out for DuckDB: u1 = HMAC(pw, salt || 1), u(i+1) = HMAC(pw, u(i)), 48-bit XOR of all.
 def _pbkdf2_sql() -> str:
     pad = lambda byte: f"unhex(list_aggregate(list_transform(range(0, 64), lambda i: printf('%02x', xor(cast(coalesce(list_extract(pw, i + 1), 0) as integer), {byte}))), 'string_agg', ''))"
@@ -321,8 +330,7 @@ select event_id, coalesce(substr(k, 1, 2) || ':' || substr(k, 3, 2) || ':' || su
 from fx_flow f left join salts s on s.uuid = f.service_provider_uuid left join keys k on k.salt = s.salt and k.mac = replace(f.client_mac, ':', '')""",
     f"salts as (select * from {SALTS} t(uuid, salt))," + _pbkdf2_sql()))
 def mac_scramble(spark: SparkSession, sf: str) -> DataFrame:
-    salts = spark.sql(f"select * from {SALTS[1:-1]} as t(uuid, salt)")
-    return privacy.scramble_macs(view(spark, sf, "fx_flow"), salts).select("event_id", "client_mac")
+    return privacy.scramble_macs(view(spark, sf, "fx_flow"), salts(spark)).select("event_id", "client_mac")
 
 
 # ---------------------------------------------------------------- site tables
