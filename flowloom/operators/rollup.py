@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions.text import whole_number
+
 GRANULARITY = "1 minute"
 
 
@@ -168,6 +170,8 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
     there = source in df.columns
     c = F.col(source) if there else F.lit(None)
     whole = F.lit(0).cast("bigint")
+    if not there and (kind == "lsum" or kind == "distinct" and mode != "sketch"):
+        return [F.max(whole).alias(name)]
     if kind == "lsum":
         return [F.coalesce(F.sum(c.cast("bigint")), whole).alias(name)]
     if kind == "dsum":
@@ -194,12 +198,12 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
     raise ValueError(f"unknown aggregator {kind}")
 
 
-def with_event_time(df: DataFrame, spec: RollupSpec, now: Column | None = None) -> DataFrame:
-    """Add ``event_time`` from the epoch-seconds ``timestamp``; rows that stay without one are dropped."""
-    seconds = F.col("timestamp").cast("string").try_cast("bigint")
+def event_seconds(df: DataFrame, spec: RollupSpec, now: Column | None = None) -> Column:
+    """Epoch seconds of a record, NULL when it has none; ``fill_time`` rollups use the arrival time then."""
+    seconds = whole_number(df, "timestamp")
     if spec.fill_time:
         seconds = F.coalesce(seconds, now if now is not None else F.unix_timestamp())
-    return df.withColumn("event_time", F.timestamp_seconds(seconds)).filter(F.col("event_time").isNotNull())
+    return seconds
 
 
 def rollup(df: DataFrame, spec: RollupSpec, mode: str = "approx", now: Column | None = None,
@@ -211,17 +215,23 @@ def rollup(df: DataFrame, spec: RollupSpec, mode: str = "approx", now: Column |
     late limit applies, for streaming. Columns outside the spec never reach the shuffle; an ``extras``
     map of a schemaless rollup is grouped by its sorted JSON text.
     """
-    df = with_event_time(df, spec, now)
+    seconds = event_seconds(df, spec, now)
     if watermark:
-        df = df.withWatermark("event_time", spec.late)
+        df = df.withColumn("event_time", F.timestamp_seconds(seconds)).withWatermark("event_time", spec.late)
+        minute = F.window("event_time", GRANULARITY).alias("_minute")
+        start = F.unix_timestamp(F.col("_minute.start"))
+    else:
+        minute = (seconds - F.pmod(seconds, F.lit(60))).alias("_minute")
+        start = F.col("_minute")
     dims = [*extra_dims, *dims_of(df.drop(*extra_dims), spec)]
     if spec.dims is None and "extras" in df.columns:
         df = df.withColumn("extras", F.to_json(F.array_sort(F.map_entries("extras"))))
         dims.append("extras")
     aggs = [a for name, (kind, source) in spec.aggs.items() for a in _aggregate(df, kind, source, name, mode)]
-    grouped = df.groupBy(F.window("event_time", GRANULARITY).alias("window"), *dims).agg(*aggs)
-    rest = [c for c in grouped.columns if c != "window"]
-    return grouped.select(F.unix_timestamp(F.col("window.start")).alias("timestamp"), *rest)
+    # records without a time fall in no minute
+    grouped = df.groupBy(minute, *dims).agg(*aggs).filter(F.col("_minute").isNotNull())
+    rest = [c for c in grouped.columns if c != "_minute"]
+    return grouped.select(start.alias("timestamp"), *rest)
 
 
 def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: str = "1 hour") -> DataFrame:
