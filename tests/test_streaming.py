@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from flowloom.operators import asof, counters, location, nmsp, records, rollup
 from flowloom.streaming import clients, windows
 from flowloom.streaming.asof import stream_asof
+from flowloom.streaming.tables import asof_sink
 from flowloom.streaming.wiring import run_available
 from workload.clients import as_notification
 from workload.scalar import FLOW_SMALL
@@ -105,3 +106,19 @@ def test_flow_rollup_keeps_mergeable_sketches(spark, sf_dir, feed):
     out = run_available(windows.stream_rollup(records.flow(feed(flows, 2), now="arrival"), FLOW_SMALL))
     merged = rollup.merge_rollups(out, FLOW_SMALL, ["application_id_name"])
     assert merged.agg(F.sum("events")).first()[0] == out.agg(F.sum("events")).first()[0]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_asof_with_state_in_a_table(spark, sf_dir, feed, tmp_path, hot_rows):
+    df = view(spark, sf_dir, "fx_nmsp").withColumn("rank", F.lit(1))
+
+    def split(batch):
+        info = nmsp.info_state(nmsp.nmsp_info(batch))
+        state = info.select(*nmsp.KEYS, "timestamp", "event_id", *asof.state_columns(info, {"known": ["wireless_id", "last_seen"]}).values())
+        return batch.filter("type = 'measure'").select("event_id", "timestamp", *nmsp.KEYS, "vlan_id"), [state]
+
+    sink = asof_sink(str(tmp_path / "t"), split, hot_rows=hot_rows)
+    q = feed(df, 2).writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    probes, states = split(df)
+    same(spark.read.parquet(str(tmp_path / "t" / "out")).drop("batch_id"), asof.asof_lookup(probes, {}, shared=states))
