@@ -2,6 +2,9 @@
 
 from flowloom.llm import (  # noqa: F401
     exact_dedup,
+    langid,
     mixing,
+    quality,
     sharding,
+    simhash,
 )
