@@ -1,6 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression trained by follow-the-regularised-leader.
 
-Tokens are words and runs of punctuation, case kept; features are hashed unigrams and bigrams with value sqrt(count / all), so a
+Tokens are words and runs of punctuation, case kept; features are hashed unigrams and bigrams
+(all repeats of a token share one bigram) with value sqrt(count / all), so a
 text's vector has length one whatever its size. The learner (FTRL-proximal) sees at most ``TRAIN_ROWS`` labelled documents, those with
 the smallest hash of their id, in that order, ``EPOCHS`` times, in one task: that bound is fixed, so the task doesn't
 grow. The model is a weight per bucket (2^20 at most) and is broadcast; scoring is a sparse dot product per document.
@@ -31,6 +32,8 @@ ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.02, 0.1
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 5, 0
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 REMEMBERED = 500_000
+#: The bigram of any token with itself, so that stuttering is learned for words never seen.
+REPEAT = np.uint64(0xF00DF00DF00DF00D)
 
 
 class Hashes(dict):
@@ -52,6 +55,7 @@ def features(texts: list[str | None], seen: Hashes) -> tuple[np.ndarray, np.ndar
             continue
         h = np.fromiter(map(seen.__getitem__, tokens), np.uint64, len(tokens))
         pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        pairs[h[:-1] == h[1:]] = REPEAT
         own = np.concatenate((h * np.uint64(0xD6E8FEB86659FD93), pairs)) >> np.uint64(64 - BITS)
         own, counts = np.unique(own, return_counts=True)
         rows.append(np.full(len(own), i))

@@ -5,6 +5,7 @@ from flowloom.llm import (  # noqa: F401
     langid,
     mixing,
     quality,
+    secrets,
     sharding,
     simhash,
 )
