@@ -1,6 +1,7 @@
 """Imports every operator module, so that each registers its query."""
 
 from flowloom.llm import (  # noqa: F401
+    decontaminate,
     exact_dedup,
     langid,
     mixing,
@@ -8,4 +9,5 @@ from flowloom.llm import (  # noqa: F401
     secrets,
     sharding,
     simhash,
+    substring_dedup,
 )
