@@ -5,6 +5,7 @@ from flowloom.llm import (  # noqa: F401
     exact_dedup,
     langid,
     mixing,
+    pii,
     quality,
     secrets,
     sharding,
