@@ -60,18 +60,20 @@ def size_class(size: Column) -> Column:
     return F.when(size > 0, F.floor(F.log2(size.cast("double")) * PER_OCTAVE)).otherwise(-1).cast("int")
 
 
-def cells_of(slim: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with their cell (source, class, part), and the cells with counts and words."""
-    slim = slim.withColumn("class", size_class(F.col("size")))
-    counts = slim.groupBy("source", "class").agg(F.count("*").alias("rows"))
+def hot_cells(slim: DataFrame, rows: int) -> DataFrame:
+    """(hot_source, hot_class, parts) of the cells that are cut into parts; at most 1 / HOT_SHARE rows."""
     cap = max(64, int(rows * HOT_SHARE))
-    hot = F.broadcast(counts.where(F.col("rows") > cap).select(  # at most 1 / HOT_SHARE rows
-        F.col("source").alias("hot_source"), F.col("class").alias("hot_class"), F.ceil(F.col("rows") / cap).alias("parts")))
-    same = F.col("source").eqNullSafe(F.col("hot_source")) & (F.col("class") == F.col("hot_class"))
-    parted = slim.join(hot, same, "left").select(
-        *slim.columns, F.pmod(F.xxhash64("doc_id", "tie"), F.coalesce("parts", F.lit(1).cast("long"))).cast("int").alias("part"))
-    cells = parted.groupBy("source", "class", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    return parted, cells
+    counts = slim.groupBy("source", size_class(F.col("size")).alias("class")).agg(F.count("*").alias("rows"))
+    return counts.where(F.col("rows") > cap).select(
+        F.col("source").alias("hot_source"), F.col("class").alias("hot_class"), F.ceil(F.col("rows") / cap).alias("parts"))
+
+
+def in_cells(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """``df`` with its cell: class and part."""
+    own = size_class(F.col("size"))
+    same = F.col("source").eqNullSafe(F.col("hot_source")) & (own == F.col("hot_class"))
+    part = F.pmod(F.xxhash64("doc_id", "tie"), F.coalesce("parts", F.lit(1).cast("long"))).cast("int")
+    return df.join(F.broadcast(hot), same, "left").select(*df.columns, own.alias("class"), part.alias("part"))
 
 
 def multipliers(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
@@ -135,40 +137,42 @@ def cell_copies(cells: DataFrame, targets: DataFrame, lams: DataFrame, most: int
     return each.select("source", F.negative("x.cells.order").alias("class"), F.col("x.cells.part").alias("part"), F.col("x.cells.n").alias("n"), F.col("x.copies").alias("copies"))
 
 
-def mix(slim: DataFrame, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``slim`` (doc_id, source, size, tie and others; a stored table) with source_size, target and ``copies`` added."""
-    rows = slim.count()
+def mix(df: DataFrame, slim: DataFrame, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """``df`` with source_size, target and ``copies`` added.
+
+    ``slim`` (doc_id, source, size, tie) is a stored table of the same rows, on which everything is counted and solved; ``df`` has
+    these columns too, and others.
+    """
     targets = store(source_targets(slim, most, weights), "targets")
-    parted, cells = cells_of(slim, rows)
-    cells = store(cells, "cells")
-    lams = multipliers(cells, targets, most)
-    copies = store(cell_copies(cells, targets, lams, most), "copies")
+    hot = store(hot_cells(slim, slim.count()), "hot")
+    cells = store(in_cells(slim, hot).groupBy("source", "class", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "cells")
+    copies = store(cell_copies(cells, targets, multipliers(cells, targets, most), most), "copies")
     # the copies of a cell, spread evenly over its documents in order of size
     spread = Window.partitionBy("source", "class", "part").orderBy("size", F.xxhash64("doc_id", "tie"), "doc_id", "tie")
-    ranked = parted.select("*", F.row_number().over(spread).cast("long").alias("rank"))
+    ranked = in_cells(df, hot).select("*", F.row_number().over(spread).cast("long").alias("rank"))
     c = copies.select(F.col("source").alias("c_source"), F.col("class").alias("c_class"), F.col("part").alias("c_part"), F.col("n").alias("c_n"), F.col("copies").alias("c_copies"))
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target")
     of_cell = F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class")) & (F.col("part") == F.col("c_part"))
     share = F.expr("(rank * c_copies) div c_n - ((rank - 1) * c_copies) div c_n")
     return (
         ranked.join(c, of_cell, "left").join(t, F.col("source").eqNullSafe(F.col("t_source")), "left")
-        .select(*slim.columns, "source_size", "target", F.coalesce(share, F.lit(0).cast("long")).alias("copies"))
+        .select(*df.columns, "source_size", "target", F.coalesce(share, F.lit(0).cast("long")).alias("copies"))
     )
 
 
-def slim_columns(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", n_words("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"))
+def slim_columns(docs: DataFrame) -> list[Column]:
+    return [F.col("doc_id"), F.col("source"), n_words("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tie")]
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The columns of ``docs``, each row as often as the mix takes it; ``docs`` must be a stored table."""
-    mixed = mix(docs.select(*[F.col(c).alias(f"__{c}") for c in docs.columns], "doc_id", "source", n_words("text").alias("size"),
-                            F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tie")), weights=weights)
-    taken = mixed.where("copies > 0").select(*[F.col(f"__{c}").alias(c) for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("__copy"))
-    return taken.drop("__copy")
+    own = slim_columns(docs)
+    mixed = mix(docs.select(F.struct(*docs.columns).alias("__row"), *own), store(docs.select(*own), "words"), weights=weights)
+    return mixed.where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("__row.*")
 
 
 @query("op10_mixing")
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
-    slim = store(slim_columns(documents(spark, sf_dir)), "words")
-    return mix(slim).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+    docs = documents(spark, sf_dir)
+    slim = store(docs.select(*slim_columns(docs)), "words")
+    return mix(slim, slim).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")

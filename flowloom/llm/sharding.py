@@ -52,24 +52,35 @@ def range_of(key: Column, cuts: list[int]) -> Column:
     return F.when(coarse == 0, 0).otherwise((coarse - 1) * FAN + inside).cast("int")
 
 
-def place(df: DataFrame, key: Column, size: Column, tie: list[Column], shards: int = SHARDS, ranges: int | None = None) -> DataFrame:
-    """``df`` with ``shard`` (int) and ``slot`` (long, from 0 in each shard) added; ``df`` must read the same rows each time."""
-    spark = df.sparkSession
-    df = df.withColumns({"__key": key, "__size": size, "__tie": F.xxhash64(key, *tie)})
+def keyed(df: DataFrame, key: Column, size: Column, tie: list[Column]) -> DataFrame:
+    return df.withColumns({"__key": key, "__size": size, "__tie": F.xxhash64(key, *tie)})
+
+
+def place(df: DataFrame, slim: DataFrame, tie: list[Column], shards: int = SHARDS, ranges: int | None = None) -> DataFrame:
+    """``df`` with ``shard`` (int) and ``slot`` (long, from 0 in each shard) added.
+
+    Both tables are results of :func:`keyed` over the same stored rows; ``slim`` has only the columns that ``tie`` needs,
+    and all counting is done on it, so wide rows are read once.
+    """
+    spark, wide, df = df.sparkSession, df, slim
     rows, total = df.agg(F.count("*"), F.coalesce(F.sum("__size"), F.lit(0))).first()
     if not rows:
-        return df.drop("__key", "__size", "__tie").select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return wide.drop("__key", "__size", "__tie").select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     ranges = ranges or min(FAN * FAN, max(8 * shards, rows // 500))
     cuts = splitters(df, total, ranges)
-    df = df.withColumn("__range", range_of(F.col("__key"), cuts))
     cap = min(MOST_ROWS, max(LEAST_ROWS, 2 * rows // ranges))
-    counts = df.groupBy("__range").agg(F.count("*").alias("n"))
+    counts = df.groupBy(range_of(F.col("__key"), cuts).alias("__range")).agg(F.count("*").alias("n"))
     hot = {r["__range"]: -(-r["n"] // cap) for r in counts.where(F.col("n") > cap).collect()}  # at most `ranges` rows
-    if hot:
+
+    def dealt(t: DataFrame) -> DataFrame:
+        t = t.withColumn("__range", range_of(F.col("__key"), cuts))
+        if not hot:
+            return t.withColumn("__part", F.lit(0))
         parts = F.broadcast(spark.createDataFrame(list(hot.items()), "__range int, __parts long"))
-        df = df.join(parts, "__range", "left").withColumn("__part", F.pmod("__tie", F.coalesce("__parts", F.lit(1).cast("long"))).cast("int")).drop("__parts")
-    else:
-        df = df.withColumn("__part", F.lit(0))
+        part = F.pmod("__tie", F.coalesce("__parts", F.lit(1).cast("long"))).cast("int")
+        return t.join(parts, "__range", "left").withColumn("__part", part).drop("__parts")
+
+    df = dealt(df)
     pieces = df.groupBy("__range", "__part").agg(F.count("*").alias("n"), F.sum("__size").alias("b"))
     pieces = sorted((r["__range"], r["__part"], r["n"], r["b"]) for r in pieces.collect())  # at most 2 * ranges + rows / MOST_ROWS
 
@@ -100,20 +111,23 @@ def place(df: DataFrame, key: Column, size: Column, tie: list[Column], shards: i
         starts[r["shard"]] = min(r["at"], starts.get(r["shard"], r["at"]))
     starts = {s: starts.get(s, 0) for s in range(shards)}
     first = F.element_at(F.array(*[F.lit(starts[s]).cast("long") for s in range(shards)]), F.col("shard") + 1)
-    return placed(df).withColumn("slot", F.col("__at") - first).drop(
+    return placed(dealt(wide)).withColumn("slot", F.col("__at") - first).drop(
         "__key", "__size", "__tie", "__range", "__part", "__row", "__byte", "__at", "__before")
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Whole documents with ``shard`` and ``slot``; ``docs`` must be a stored table. Columns of these names are replaced."""
     text = F.coalesce("text", F.lit(""))
-    return place(docs.drop("shard", "slot"), F.xxhash64(text), F.octet_length(text).cast("long") + 1, [F.col("doc_id")], shards)
+    wide = keyed(docs.drop("shard", "slot"), F.xxhash64(text), F.octet_length(text).cast("long") + 1, [F.col("doc_id")])
+    slim = store(wide.select("doc_id", "__key", "__size", "__tie"), "sizes")
+    return place(wide, slim, [F.col("doc_id")], shards)
 
 
 @query("op9_sharding")
 def op9_sharding(spark, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    slim = store(documents(spark, sf_dir).select(
-        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("key")), "sizes")
-    return place(slim, F.col("key"), F.col("size"), [F.col("doc_id"), F.col("text_crc32")]).select(
+    rows = documents(spark, sf_dir).select("doc_id", "text", F.crc32(text.cast("binary")).alias("text_crc32"))
+    tie = [F.col("doc_id"), F.col("text_crc32")]
+    slim = store(keyed(rows, F.xxhash64(text), F.octet_length(text).cast("long") + 1, tie).withColumn("size", F.col("__size")).drop("text"), "sizes")
+    return place(slim, slim, tie).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
