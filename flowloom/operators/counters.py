@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW_SECONDS = 60
+DAY = 86_400
 
 # Topic families the per-stream counter and the capacity report know.
 FAMILIES = ["rb_flow", "rb_monitor", "rb_event", "rb_state", "rb_social"]
@@ -35,8 +36,8 @@ def datasource_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, ts: str = "t
 
 
 def window_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, container: str = "0", task: str = "0",
-                  ts: str = "timestamp") -> DataFrame:
-    """Monitor rows of the message counters, stamped with the end of their window.
+                  ts: str = "timestamp", prefix: str = "samza") -> DataFrame:
+    """Monitor rows of the message counters, stamped with the end of their window and named after ``prefix``.
 
     The namespace is the last ``_`` part of a datasource name with three or more parts.
     """
@@ -47,7 +48,7 @@ def window_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, container: str =
         (F.col("window_start") + seconds).alias("timestamp"),
         F.lit("enrichmentstreamtask").alias("type"),
         F.lit("enrichmentstreamtask_messages").alias("monitor"),
-        F.concat(F.lit(f"samza-{container}-{task}-"), F.col("datasource")).alias("sensor_name"),
+        F.concat(F.lit(f"{prefix}-{container}-{task}-"), F.col("datasource")).alias("sensor_name"),
         F.col("events").alias("value"),
         F.when(spaced, F.element_at(parts, -1)).alias("namespace_uuid"),
     )
@@ -93,26 +94,28 @@ def capacity_report(counts: DataFrame, limits: DataFrame | None = None, seconds:
     ``counts`` is :func:`datasource_counts`; ``limits`` is ``(datasource, index_partitions,
     index_replicas)``, NULL or 0 meaning 1. Load is ``(events div window) * topic partitions`` of the
     datasource's family. The first window sets the count within ``[1, limit]``; later windows change it
-    only above ``up`` or below ``down`` of the current capacity. The fold runs over one small number per
-    window, after the data has been counted. Datasources of no configured family are left out.
+    only above ``up`` or below ``down`` of the current capacity. Datasources of no configured family are left out.
+
+    A day of windows is a function from the count before it to the count after it, a short array over ``0..limit``; days
+    compose in order. No row holds more than one day's windows, or one array per day.
     """
     partitions = CAPACITY_FAMILIES if partitions is None else partitions
     factor = F.coalesce(*[F.when(F.contains("datasource", F.lit(f)), F.lit(n)) for f, n in partitions.items()])
     load = F.expr(f"events div {seconds}") * F.col("_factor")
     rows = counts.withColumn("_factor", factor).filter(F.col("_factor").isNotNull())
-    series = rows.groupBy("datasource").agg(
+    by_day = rows.groupBy("datasource", F.floor(F.col("window_start") / DAY).alias("_day")).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("window_start", load.alias("load")))), lambda x: x.load
         ).alias("_loads"))
     one = lambda c: F.when(c > 0, c).otherwise(F.lit(1)).cast("int")
     if limits is None:
-        series = series.withColumns({"_limit": F.lit(1), "replicas": F.lit(1)})
+        by_day = by_day.withColumns({"_limit": F.lit(1), "replicas": F.lit(1)})
     else:
-        series = series.join(limits, "datasource", "left").withColumns({
+        by_day = by_day.join(limits, "datasource", "left").withColumns({
             "_limit": one(F.col("index_partitions")), "replicas": one(F.col("index_replicas"))})
 
     def step(current: Column, load: Column) -> Column:
-        wanted = F.ceil(load.cast("float") / per_task).cast("int")
+        wanted = F.ceil(load.cast("double") / per_task).cast("int")
         at_least_one = F.greatest(wanted, F.lit(1))
         clamped = F.least(at_least_one, F.col("_limit"))
         capacity = current * per_task
@@ -122,5 +125,9 @@ def capacity_report(counts: DataFrame, limits: DataFrame | None = None, seconds:
             .when(capacity * down >= load, F.least(at_least_one, current))
             .otherwise(current)
         )
-    final = F.aggregate("_loads", F.lit(0), step)
-    return series.select("datasource", final.alias("partitions"), "replicas", F.size("_loads").alias("windows"))
+    after = F.transform(F.sequence(F.lit(0), F.col("_limit")), lambda before: F.aggregate("_loads", before, step))
+    days = by_day.select("datasource", "replicas", F.size("_loads").alias("_n"), F.struct("_day", after.alias("after")).alias("_step"))
+    series = days.groupBy("datasource", "replicas").agg(
+        F.array_sort(F.collect_list("_step")).alias("_steps"), F.sum("_n").cast("int").alias("windows"))
+    final = F.aggregate("_steps", F.lit(0), lambda current, day: F.element_at(day.after, current + 1))
+    return series.select("datasource", final.alias("partitions"), "replicas", "windows")

@@ -118,9 +118,11 @@ def snapshot_delta(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     """Changes between two snapshots: keys and ``change`` in ``added``/``removed``/``changed``."""
     keys = list(keys)
     fields = [c for c in new.columns if c not in keys]
-    same_key = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-    added = new.join(old, same_key(new, old), "left_anti").select(*keys, F.lit("added").alias("change"))
-    removed = old.join(new, same_key(old, new), "left_anti").select(*keys, F.lit("removed").alias("change"))
-    differs = reduce(lambda x, y: x | y, [~new[c].eqNullSafe(old[c]) for c in fields], F.lit(False))
-    changed = new.join(old, same_key(new, old) & differs, "left_semi").select(*keys, F.lit("changed").alias("change"))
-    return added.unionByName(removed).unionByName(changed)
+    side = lambda df, tag: df.select(*[F.col(k).alias(f"_{tag}_{k}") for k in keys], F.struct(*fields, F.lit(True).alias("_there")).alias(f"_{tag}"))
+    same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    both = side(old, "old").join(side(new, "new"), same, "full")
+    there = lambda tag: F.col(f"_{tag}._there").isNotNull()
+    differs = reduce(lambda a, b: a | b, [~F.col(f"_new.`{c}`").eqNullSafe(F.col(f"_old.`{c}`")) for c in fields], F.lit(False))
+    change = F.when(~there("old"), "added").when(~there("new"), "removed").when(differs, "changed")
+    own = [F.when(there("new"), F.col(f"_new_{k}")).otherwise(F.col(f"_old_{k}")).alias(k) for k in keys]
+    return both.select(*own, change.alias("change")).filter(F.col("change").isNotNull())

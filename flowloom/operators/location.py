@@ -155,12 +155,15 @@ def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: boo
 
     An association (or a row of ``resets``: :func:`v89_state`, :func:`meraki_state`) starts afresh. With
     ``sticky`` a field keeps the first value seen since then; otherwise the newest value counts. Updates
-    before any reset are ``PROBING``. The result has the columns of ``rows``, and ``resets`` rows vanish.
+    before any reset are ``PROBING``. The result has the columns of ``rows``, and ``resets`` rows vanish. Rows without
+    a client MAC neither leave nor see state.
     """
     extra = [c for c in STATE_FIELDS if c not in rows.columns]
-    rows = rows.withColumns({c: F.lit(None).cast("string") for c in extra}).withColumn("_keep", F.lit(True))
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in extra})
+    alone = without_client(rows)
+    rows = rows.filter(F.col("client_mac").isNotNull()).withColumn("_keep", F.lit(True))
     if resets is not None:
-        r = resets.select(
+        r = resets.filter(F.col("client_mac").isNotNull()).select(
             *[F.col(k).cast("string").alias(k) for k in KEYS], "timestamp", "event_id", F.lit(-1).alias("_pos"),
             *[F.col(c).cast("string").alias(c) for c in STATE_FIELDS if c in resets.columns],
             F.lit(True).alias("_reset"), F.lit(False).alias("_keep"),
@@ -174,7 +177,13 @@ def follow_clients(rows: DataFrame, resets: DataFrame | None = None, sticky: boo
     rows = rows.withColumns({"_unseen": F.col("_since").isNull(), "_since": F.coalesce("_since", F.expr(NO_RESET))})
     rows = fill_group(rows, chunk, order, STATE_FIELDS, "_since", first=sticky)
     status = F.when(F.col("_unseen"), F.lit("PROBING")).otherwise(F.col("dot11_status"))
-    return rows.filter("_keep").withColumn("dot11_status", status).select(*columns)
+    return rows.filter("_keep").withColumn("dot11_status", status).select(*columns).unionByName(alone.select(*columns))
+
+
+def without_client(rows: DataFrame) -> DataFrame:
+    """The rows that carry no client MAC, as they are when there is no state for them."""
+    status = F.when(F.col("_reset"), F.col("dot11_status")).otherwise(F.lit("PROBING"))
+    return rows.filter(F.col("client_mac").isNull()).withColumn("dot11_status", status)
 
 
 def shape_v10(rows: DataFrame) -> DataFrame:

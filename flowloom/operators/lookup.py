@@ -48,13 +48,6 @@ def merge_columns(df: DataFrame, found: dict[str, Column], overwrite: bool) -> D
     return df.withColumns(out) if out else df
 
 
-def merge_maps(left: Column, right: Column) -> Column:
-    """Map merge where the right side wins; either side may be NULL."""
-    empty = F.create_map().cast("map<string,string>")
-    l, r = F.coalesce(left, empty), F.coalesce(right, empty)
-    return F.map_concat(F.map_filter(l, lambda k, _: ~F.map_contains_key(r, k)), r)
-
-
 def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str], payload: Sequence[str], out: str) -> DataFrame:
     """Left join on null-safe keys; the payload arrives as one struct column ``out``."""
     some_key = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
@@ -128,10 +121,13 @@ def enrich_chain(df: DataFrame, enrichers: Sequence[Enricher]) -> DataFrame:
 
 
 def vendor_lookup(df: DataFrame, vendors: DataFrame, mac: str = "client_mac") -> DataFrame:
-    """Add ``client_mac_vendor`` from an ``(oui, vendor)`` table; a miss keeps the old value."""
+    """Add ``client_mac_vendor`` from an ``(oui, vendor)`` table; a miss keeps the old value.
+
+    Of several rows for one prefix the largest name is taken, so that no record is doubled.
+    """
     if mac not in df.columns:
         return df
-    dim = vendors.select(F.col("oui").alias("_oui"), F.col("vendor").alias("_vendor"))
+    dim = vendors.groupBy(F.col("oui").alias("_oui")).agg(F.max("vendor").alias("_vendor"))
     hit = df.withColumn("_key", address.oui(F.col(mac))).join(dim, F.col("_key") == F.col("_oui"), "left")
     return merge_columns(hit, {"client_mac_vendor": F.col("_vendor")}, True).drop("_key", "_oui", "_vendor")
 
@@ -140,14 +136,17 @@ def threat_lookup(df: DataFrame, threats: DataFrame, src: str = "src", dst: str
     """Match both ends against a threat list keyed by ``ip``.
 
     With two hits the strictly higher ``darklist_score`` wins and a tie goes to ``dst``; a missing
-    score sorts lowest. Without any hit direction and category are ``clean``.
+    score sorts lowest. Without any hit direction and category are ``clean``. Of several entries for one address
+    the highest score counts.
     """
     payload = [c for c in threats.columns if c != "ip"]
+    entries = threats.filter(F.col("ip").isNotNull()).select("ip", F.struct(*payload).alias("e"))
+    rank = F.coalesce(F.col("e.darklist_score").cast("double"), F.lit(float("-inf"))) if "darklist_score" in payload else F.lit(0)
+    one = entries.groupBy("ip").agg(F.max_by("e", F.struct(rank, F.to_json("e"))).alias("e"))
     for name in (src, dst):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
-    side = lambda tag: threats.filter(F.col("ip").isNotNull()).select(
-        F.col("ip").alias(f"_{tag}_ip"), F.struct(*payload).alias(f"_{tag}"))
+    side = lambda tag: one.select(F.col("ip").alias(f"_{tag}_ip"), F.col("e").alias(f"_{tag}"))
     df = df.join(side("src"), F.col(src) == F.col("_src_ip"), "left")
     df = df.join(side("dst"), F.col(dst) == F.col("_dst_ip"), "left")
     s, d = F.col("_src"), F.col("_dst")

@@ -4,7 +4,7 @@ Every range is filed once under the longest hexadecimal prefix its two ends shar
 in ranges filed under one of its own prefixes, so it probes each prefix length with an equality join and
 checks the bounds of the few ranges found there: ranges that do not overlap and share the same longest
 prefix differ in the next digit, so a prefix holds at most 15 of them. No range is cut into many buckets,
-no cross join is needed, and overlapping ranges are still answered exactly (the latest start wins).
+no cross join is needed, and overlapping ranges are still answered exactly (the narrowest wins).
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ def shared_prefix(a: Column, b: Column, width: int) -> Column:
     return F.substring(a, F.lit(1), F.size(same))
 
 
-def stab(points: DataFrame, intervals: DataFrame, width: int) -> DataFrame:
+def stab(points: DataFrame, intervals: DataFrame, width: int, least: int = 0) -> DataFrame:
     """Pairs of points and the closed intervals around them.
 
+    No interval is filed under fewer than ``least`` digits (1 where the first digit is a family), so no probe is made there.
+
     ``points`` has a text column ``point``; ``intervals`` has ``lo`` and ``hi`` of the same fixed width
     (per leading family digit) plus payload columns.
     """
@@ -34,7 +36,7 @@ def stab(points: DataFrame, intervals: DataFrame, width: int) -> DataFrame:
         "_prefix", shared_prefix(F.col("lo"), F.col("hi"), width)
     )
     probes = points.filter(F.col("point").isNotNull()).withColumn(
-        "_n", F.explode(F.sequence(F.lit(0), F.length("point")))
+        "_n", F.explode(F.sequence(F.lit(least), F.length("point")))
     ).withColumn("_probe", F.substring(F.col("point"), F.lit(1), F.col("_n")))
     hit = (F.col("_probe") == F.col("_prefix")) & F.col("point").between(F.col("lo"), F.col("hi"))
     return probes.join(filed, hit, "inner").drop("_n", "_probe", "_prefix")
@@ -43,22 +45,28 @@ def stab(points: DataFrame, intervals: DataFrame, width: int) -> DataFrame:
 def range_table(df: DataFrame, value: str) -> DataFrame:
     """Normalise ``(start, end, family, value)`` to sortable text bounds.
 
-    ``start`` and ``end`` may be address text or, for version 4, whole numbers.
+    ``start`` and ``end`` may be address text or, for version 4, whole numbers. Rows whose bounds contradict their
+    ``family`` (numeric bounds of version 6, say) get no bounds and match nothing.
     """
     def bound(name: str) -> Column:
         if df.schema[name].dataType.typeName() in ("long", "integer"):
-            return F.concat(F.lit("4"), fixed_hex(F.col(name).cast("bigint"), 8))
-        return ip_key(F.col(name))
+            key = F.concat(F.lit("4"), fixed_hex(F.col(name).cast("bigint"), 8))
+        else:
+            key = ip_key(F.col(name))
+        if "family" not in df.columns:
+            return key
+        family = F.col("family").cast("string")
+        return F.when(family.isNull() | (F.substring(key, 1, 1) == family), key)
     return df.select(bound("start_ip").alias("lo"), bound("end_ip").alias("hi"), F.col(value).alias("_value"))
 
 
 def address_values(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``(ip, _value)`` for distinct addresses; the range with the latest start wins."""
+    """``(ip, _value)`` for distinct addresses; the narrowest range wins: latest start, then earliest end."""
     points = addresses.select("ip", ip_key(F.col("ip")).alias("point"))
-    pairs = stab(points, ranges, 33)
-    return pairs.groupBy("ip").agg(
-        F.max_by("_value", F.struct("lo", "_value")).alias("_value")
-    )
+    pairs = stab(points, ranges, 33, least=1)
+    # digits turned round, so that an earlier end sorts higher
+    early = F.translate("hi", "0123456789abcdef", "fedcba9876543210")
+    return pairs.groupBy("ip").agg(F.max_by("_value", F.struct(F.col("lo"), early, F.col("_value"))).alias("_value"))
 
 
 def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: DataFrame | None,
@@ -82,8 +90,8 @@ def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: Data
         if table is None:
             known = known.withColumn(name, F.lit(None).cast("string"))
         else:
-            found = address_values(addresses, range_table(table, value)).withColumnRenamed("_value", name)
-            known = known.join(found, "ip", "left")
+            values = address_values(addresses, range_table(table, value)).withColumnRenamed("_value", name)
+            known = known.join(values, "ip", "left")
     known = known.withColumn("_as", as_name(F.col("_as"))).filter(
         F.coalesce("_cc", "_as").isNotNull())
     for side in sides:

@@ -155,6 +155,17 @@ SPECS = {s.name: s for s in (
 HISTOGRAM_BINS, HISTOGRAM_LOW, HISTOGRAM_HIGH = 50, 3, 1440
 
 
+def absent_dims(df: DataFrame, spec: RollupSpec) -> list[str]:
+    """Dimensions of the specification that ``df`` lacks."""
+    return [d for d in spec.dims or () if d not in df.columns]
+
+
+def bucket(x: Column) -> Column:
+    """Number of the histogram bin of a value between the bounds, else NULL."""
+    at = F.floor((x - HISTOGRAM_LOW) * HISTOGRAM_BINS / (HISTOGRAM_HIGH - HISTOGRAM_LOW))
+    return F.when(x.between(HISTOGRAM_LOW, HISTOGRAM_HIGH), F.least(at, F.lit(HISTOGRAM_BINS - 1).cast("bigint")))
+
+
 def dims_of(df: DataFrame, spec: RollupSpec) -> list[str]:
     """Grouping columns present in ``df``; absent dimensions would be NULL throughout."""
     if spec.dims is not None:
@@ -173,11 +184,11 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
     if not there and (kind == "lsum" or kind == "distinct" and mode != "sketch"):
         return [F.max(whole).alias(name)]
     if kind == "lsum":
-        return [F.coalesce(F.sum(c.cast("bigint")), whole).alias(name)]
+        return [F.coalesce(F.sum(c.try_cast("bigint")), whole).alias(name)]
     if kind == "dsum":
-        return [F.coalesce(F.sum(c.cast("double")), F.lit(0.0)).alias(name)]
+        return [F.coalesce(F.sum(c.try_cast("double")), F.lit(0.0)).alias(name)]
     if kind in ("min", "max"):
-        return [getattr(F, kind)(c.cast("double")).alias(name)]
+        return [getattr(F, kind)(c.try_cast("double")).alias(name)]
     if kind == "distinct":
         text = c.cast("string")
         if mode == "exact":
@@ -186,7 +197,7 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
             return [F.hll_sketch_agg(text).alias(name)]
         return [F.approx_count_distinct(text).alias(name)]
     if kind == "histogram":
-        x = c.cast("double")
+        x = c.try_cast("double")
         inside = F.when(x.between(HISTOGRAM_LOW, HISTOGRAM_HIGH), x)
         parts = [
             F.count_if(x < HISTOGRAM_LOW).alias(f"{name}_below"),
@@ -194,7 +205,9 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
         ]
         if mode == "exact":
             return parts + [F.count(inside).alias(f"{name}_inside")]
-        return parts + [F.histogram_numeric(inside, F.lit(HISTOGRAM_BINS)).alias(name)]
+        # counts of fixed bins, so that histograms of several minutes add up
+        at = bucket(x)
+        return parts + [F.array(*[F.count_if(at == i) for i in range(HISTOGRAM_BINS)]).alias(name)]
     raise ValueError(f"unknown aggregator {kind}")
 
 
@@ -207,9 +220,12 @@ def event_seconds(df: DataFrame, spec: RollupSpec, now: Column | None = None) ->
 
 
 def rollup(df: DataFrame, spec: RollupSpec, mode: str = "approx", now: Column | None = None,
-           extra_dims: tuple[str, ...] = (), watermark: bool = False) -> DataFrame:
+           extra_dims: tuple[str, ...] = (), watermark: bool = False, complete: bool = False) -> DataFrame:
     """One row per minute and dimension values.
 
+    With ``complete`` the output has every dimension of the specification, NULL text where the input lacks it, so a
+    datasource's schema does not depend on its input.
+
     ``mode`` picks how distinct counts are kept: ``approx`` gives numbers, ``sketch`` gives mergeable
     HLL sketches (see :func:`merge_rollups`), ``exact`` counts exactly. With ``watermark`` the spec's
     late limit applies, for streaming. Columns outside the spec never reach the shuffle; an ``extras``
@@ -230,15 +246,17 @@ def rollup(df: DataFrame, spec: RollupSpec, mode: str = "approx", now: Column |
     aggs = [a for name, (kind, source) in spec.aggs.items() for a in _aggregate(df, kind, source, name, mode)]
     # records without a time fall in no minute
     grouped = df.groupBy(minute, *dims).agg(*aggs).filter(F.col("_minute").isNotNull())
+    if complete and spec.dims is not None:
+        missing = set(absent_dims(df, spec))
+        own = [F.lit(None).cast("string").alias(d) if d in missing else F.col(d).cast("string").alias(d) for d in spec.dims if d not in extra_dims]
+        metrics = [c for c in grouped.columns if c not in {"_minute", *dims}]
+        return grouped.select(start.alias("timestamp"), *extra_dims, *own, *metrics)
     rest = [c for c in grouped.columns if c != "_minute"]
     return grouped.select(start.alias("timestamp"), *rest)
 
 
 def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: str = "1 hour") -> DataFrame:
-    """Coarser rollup from ``mode="sketch"`` rows: sums add up, extremes combine, sketches union.
-
-    A histogram cannot be merged from its bins; only its counts outside the bounds are kept.
-    """
+    """Coarser rollup from ``mode="sketch"`` rows: sums and histogram bins add up, extremes combine, sketches union."""
     aggs: list[Column] = []
     for name, (kind, _) in spec.aggs.items():
         if kind in ("count", "lsum", "dsum"):
@@ -249,6 +267,7 @@ def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: st
             aggs.append(F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name))
         else:
             aggs += [F.sum(f"{name}_{side}").alias(f"{name}_{side}") for side in ("below", "above")]
+            aggs.append(F.array(*[F.sum(F.element_at(name, i + 1)) for i in range(HISTOGRAM_BINS)]).alias(name))
     at = F.window(F.timestamp_seconds("timestamp"), every).alias("window")
     merged = parts.groupBy(at, *dims).agg(*aggs)
     rest = [c for c in merged.columns if c != "window"]

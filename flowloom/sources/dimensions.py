@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,21 +20,28 @@ def _or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -
         return spark.createDataFrame([], schema)
 
 
+def _file_order() -> Column:
+    """Position of a row: file, place of its split in the file, row in the split."""
+    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+
+
 def vendor_table(spark: SparkSession, path: str) -> DataFrame:
     """``(oui, vendor)`` of ``PREFIX|vendor`` lines; the last line of a prefix wins."""
-    load = lambda: spark.read.text(path)
-    lines = _or_empty(spark, load, "value string").select(
-        F.split("value", r"\|").alias("t"), F.monotonically_increasing_id().alias("line"))
+    load = lambda: spark.read.text(path).select("value", _file_order().alias("line"))
+    lines = _or_empty(spark, load, "value string, line int").select(F.split("value", r"\|").alias("t"), "line")
     rows = lines.select(F.get("t", F.lit(0)).alias("oui"), F.get("t", F.lit(1)).alias("vendor"), "line")
     return rows.filter(F.col("vendor").isNotNull()).groupBy("oui").agg(F.max_by("vendor", "line").alias("vendor"))
 
 
 def threat_table(spark: SparkSession, path: str,
                  fields: str = "darklist_score int, darklist_score_name string, darklist_category string, darklist_protocol string") -> DataFrame:
-    """Threat list of a JSON array ``[{ip, enrich_with: {...}}]``; the last entry of an address wins."""
+    """Threat list of a JSON array ``[{ip, enrich_with: {...}}]``; the last entry of an address wins.
+
+    One array is one JSON value and so read by one task; a long list is better given as several files.
+    """
     nested = f"ip string, enrich_with struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in fields.split(','))}>"
-    load = lambda: spark.read.schema(nested).option("multiLine", "true").json(path)
-    return last_threat(_or_empty(spark, load, nested).withColumn("_line", F.monotonically_increasing_id()), "_line")
+    load = lambda: spark.read.schema(nested).option("multiLine", "true").json(path).select("*", _file_order().alias("_line"))
+    return last_threat(_or_empty(spark, load, f"{nested}, _line int"), "_line")
 
 
 def last_threat(entries: DataFrame, order: str) -> DataFrame:

@@ -28,7 +28,7 @@ def stream_asof(probes: DataFrame, states: dict[str, DataFrame], keys: Sequence[
     """Streaming form of ``asof_lookup``: payloads travel as JSON text and come back typed.
 
     State is one small JSON text per state name and client; a batch of rows is handled with one sort and
-    one forward fill.
+    one forward fill. Probe rows without a first key neither leave nor see state: they pass by the state operator.
     """
     keys, names = list(keys), list(states)
     skip = {*keys, ts, seq}
@@ -76,4 +76,8 @@ def stream_asof(probes: DataFrame, states: dict[str, DataFrame], keys: Sequence[
         F.from_json("_payload", probe_kind).alias("_p"),
         *[F.from_json(F.when(F.col(f"_s{i}") != "", F.col(f"_s{i}")), kinds[n]).alias(n) for i, n in enumerate(names)],
     )
-    return typed.select(*keys, ts, seq, "_p.*", *names)
+    found = typed.select(*keys, ts, seq, "_p.*", *names)
+    keyless = probes.filter(F.col(keys[0]).isNull()).select(
+        *[F.col(k).cast("string").alias(k) for k in keys], F.col(ts).cast("bigint").alias(ts), F.col(seq).cast("bigint").alias(seq),
+        *probe_fields, *[F.lit(None).cast(kinds[n]).alias(n) for n in names])
+    return found.unionByName(keyless)

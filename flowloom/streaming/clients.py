@@ -31,6 +31,7 @@ def stream_location(df: DataFrame, now: Column | None = None, sticky: bool = Tru
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
     fields = location.STATE_FIELDS
+    alone = location.without_client(rows)
     rows = rows.filter(F.col("client_mac").isNotNull()).withColumn(
         "_ns", F.coalesce(F.concat(F.lit("="), F.col("namespace_uuid")), F.lit("")))
     schema = rows.schema
@@ -60,5 +61,5 @@ def stream_location(df: DataFrame, now: Column | None = None, sticky: bool = Tru
 
     followed = rows.groupBy("client_mac", "_ns").applyInPandasWithState(
         follow, schema, ", ".join(f"{c} string" for c in fields), "append", GroupStateTimeout.NoTimeout)
-    return location.shape_v10(followed.drop("_ns"))
+    return location.shape_v10(followed.drop("_ns").unionByName(alone))
 

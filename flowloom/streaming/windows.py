@@ -27,32 +27,42 @@ def stream_window_counts(df: DataFrame, late: str = "0 seconds", seconds: int =
     return counted.select("datasource", F.unix_timestamp(F.col("w.start")).alias("window_start"), "events")
 
 
-def stream_capacity(counts: DataFrame, limit: int = 1, seconds: int = counters.WINDOW_SECONDS,
+def stream_capacity(counts: DataFrame, limits: DataFrame | None = None, seconds: int = counters.WINDOW_SECONDS,
                     per_task: int = counters.EVENTS_PER_TASK, up: float = counters.UP, down: float = counters.DOWN,
                     partitions: dict[str, int] | None = None) -> DataFrame:
-    """Recommended partitions per datasource and window, kept as keyed state of one number."""
+    """Recommended partitions per datasource and window, kept as keyed state of one number.
+
+    ``limits`` is the static table of :func:`flowloom.operators.counters.capacity_report`. A group is one row per window of a
+    datasource, however many messages a window counted.
+    """
     partitions = counters.CAPACITY_FAMILIES if partitions is None else partitions
+    one = lambda c: F.when(c > 0, c).otherwise(F.lit(1)).cast("int")
+    none = F.lit(None).cast("int")
+    if limits is not None:
+        counts = counts.join(limits, "datasource", "left")
+    limit, replicas = (none, none) if limits is None else (F.col("index_partitions"), F.col("index_replicas"))
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches), ignore_index=True).sort_values("window_start")
         current = state.get[0] if state.exists else 0
         factor = next(n for f, n in partitions.items() if f in key[0])
         made = []
-        for events in rows["events"]:
+        for events, limit in zip(rows["events"], rows["limit"]):
             load = int(events) // seconds * factor
             wanted = max(math.ceil(load / per_task), 1)
             if current == 0 or current * per_task * up <= load:
-                current = min(wanted, limit)
+                current = min(wanted, int(limit))
             elif current * per_task * down >= load:
                 current = min(wanted, current)
             made.append(current)
         state.update((current,))
-        yield rows[["datasource", "window_start", "events"]].assign(partitions=made)
+        yield rows[["datasource", "window_start", "events", "replicas"]].assign(partitions=made)
 
     known = [F.contains("datasource", F.lit(f)) for f in partitions]
-    rows = counts.filter(F.coalesce(*[F.when(k, F.lit(True)) for k in known], F.lit(False)))
+    rows = counts.filter(F.coalesce(*[F.when(k, F.lit(True)) for k in known], F.lit(False))).select(
+        "datasource", "window_start", "events", one(limit).alias("limit"), one(replicas).alias("replicas"))
     return rows.groupBy("datasource").applyInPandasWithState(
-        fold, "datasource string, window_start bigint, events bigint, partitions int", "current int", "append",
+        fold, "datasource string, window_start bigint, events bigint, replicas int, partitions int", "current int", "append",
         GroupStateTimeout.NoTimeout)
 
 

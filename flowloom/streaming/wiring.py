@@ -11,8 +11,13 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (tests)."""
-    return spark.conf.get(CHECKPOINT_SETTING, None) or tempfile.mkdtemp(prefix="flowloom-")
+    """``spark.checkpoint.dir`` of the session; only a session on one machine (tests) may leave it unset."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="flowloom-")
 
 
 def run_available(stream: DataFrame, folder: str | None = None, name: str = "stream", output_mode: str = "append") -> DataFrame:

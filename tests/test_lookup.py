@@ -182,8 +182,33 @@ def test_ranges_against_brute_force(spark):
     ips = spark.createDataFrame([(text(p),) for p in points], "ip string")
     got = {r.ip: r._value for r in ranges.address_values(ips, ranges.range_table(table, "v")).collect()}
     for p in points:
-        inside = [(a, f"{a}-{b}") for a, b in spans if a <= p <= b]
-        assert got[text(p)] == max(inside)[1]
+        inside = [(a, -b, f"{a}-{b}") for a, b in spans if a <= p <= b]
+        assert got[text(p)] == max(inside)[2]
+
+
+def test_narrowest_range_wins_and_family_is_kept(spark):
+    table = spark.createDataFrame([
+        ("10.0.0.0", "10.255.255.255", 4, "wide"), ("10.0.0.0", "10.0.0.255", 4, "narrow"), ("2a02::", "2a02:ffff:ffff:ffff:ffff:ffff:ffff:ffff", 6, "w6"),
+        ("2a02::", "2a02::ffff", 6, "n6"), ("11.0.0.0", "11.0.0.9", 6, "contradiction")], "start_ip string, end_ip string, family int, v string")
+    ips = spark.createDataFrame([("10.0.0.5",), ("10.9.0.5",), ("2a02::5",), ("2a02:1::5",), ("11.0.0.5",)], "ip string")
+    got = {r.ip: r._value for r in ranges.address_values(ips, ranges.range_table(table, "v")).collect()}
+    assert got == {"10.0.0.5": "narrow", "10.9.0.5": "wide", "2a02::5": "n6", "2a02:1::5": "w6"}
+    numbers = spark.createDataFrame([(5, 9, 6, "x"), (5, 9, 4, "y")], "start_ip bigint, end_ip bigint, family int, v string")
+    assert [r.hi is None for r in ranges.range_table(numbers, "v").orderBy("_value").collect()] == [True, False]
+
+
+def test_doubled_dimension_rows_do_not_double_records(spark):
+    vendors = spark.createDataFrame([("001CB3", "A"), ("001CB3", "B")], "oui string, vendor string")
+    df = spark.createDataFrame([("00:1C:B3:09:85:15", "1.1.1.1", "2.2.2.2")], "client_mac string, src string, dst string")
+    assert [r.client_mac_vendor for r in lookup.vendor_lookup(df, vendors).collect()] == ["B"]
+    threats = spark.createDataFrame([("1.1.1.1", 5, "low"), ("1.1.1.1", 9, "high")], "ip string, darklist_score int, darklist_category string")
+    assert [r.darklist_category for r in lookup.threat_lookup(df, threats).collect()] == ["high"]
+
+
+def test_last_line_wins_over_several_files(spark, tmp_path):
+    for name, vendor in (("a", "Old"), ("b", "New")):
+        (tmp_path / name).write_text(f"001CB3|{vendor}\n")
+    assert dimensions.vendor_table(spark, str(tmp_path)).first().vendor == "New"
 
 
 def test_refresh_cadence(spark):

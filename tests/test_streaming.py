@@ -78,8 +78,23 @@ def test_capacity_over_windows(spark, feed, tmp_path):
     loads = [3, 100, 3, 0]
     rows = [("rb_flow_x", i * 60, n * 10 * 60 // 2, i) for i, n in enumerate(loads)]
     df = spark.createDataFrame(rows, "datasource string, window_start bigint, events bigint, event_id bigint")
-    out = run_available(windows.stream_capacity(feed(df, 2).drop("event_id"), limit=5, per_task=10, partitions={"rb_flow": 2}))
-    assert [r.partitions for r in out.orderBy("window_start").collect()] == [3, 5, 5, 1]
+    limits = spark.createDataFrame([("rb_flow_x", 5, 3)], "datasource string, index_partitions int, index_replicas int")
+    out = run_available(windows.stream_capacity(feed(df, 2).drop("event_id"), limits, per_task=10, partitions={"rb_flow": 2}))
+    assert [(r.partitions, r.replicas) for r in out.orderBy("window_start").collect()] == [(3, 3), (5, 3), (5, 3), (1, 3)]
+
+
+def test_records_without_a_client_pass(spark, sf_dir, feed):
+    keyless = F.when(F.col("event_id") % 3 != 0, F.col("client_mac"))
+    df = view(spark, sf_dir, "fx_nmsp").filter("event_id < 300").withColumn("client_mac", keyless)
+    batch = nmsp.judge_measures(nmsp.pair_with_info(df, nmsp.info_state(nmsp.nmsp_info(df))))
+    assert batch.filter("client_mac is null").count() > 0
+    same(run_available(clients.stream_nmsp(feed(df, 2))), batch)
+    notes = as_notification()
+    where = view(spark, sf_dir, "fx_location10").filter("event_id < 300").withColumn("device_id", F.when(F.col("event_id") % 3 != 0, F.col("device_id")))
+    rows = where.select("event_id", F.array(notes).alias("notifications"))
+    wanted = location.location_v10(rows)
+    assert wanted.filter("client_mac is null").count() == 100
+    same(run_available(clients.stream_location(feed(rows, 2))), wanted)
 
 
 def test_batch_sink_and_resume(spark, sf_dir, tmp_path, feed):

@@ -10,6 +10,7 @@ from flowloom.operators import counters, metrics, rollup
 from flowloom.operators.lookup import StoreSpec
 from flowloom.plans import topics
 from flowloom.plans.route import route, split_routes
+from flowloom.plans.index import index, index_schema, write_index
 from flowloom.sources.topics import keyed_output, parse_json, read_topic, write_topic
 
 
@@ -61,7 +62,13 @@ def test_dwell_histogram_bounds(spark):
     df = spark.range(2000).select(F.lit(0).cast("bigint").alias("timestamp"), F.col("id").alias("dwell_time"))
     row = rollup.rollup(df, rollup.LOCATION).first()
     assert (row.hist_dwell_below, row.hist_dwell_above) == (3, 559)
-    assert sum(b.y for b in row.hist_dwell) == 2000 - 3 - 559 and len(row.hist_dwell) <= 50
+    assert sum(row.hist_dwell) == 2000 - 3 - 559 and len(row.hist_dwell) == 50
+    # bins of two minutes add up
+    two = df.union(df.withColumn("timestamp", F.lit(60).cast("bigint")))
+    from dataclasses import replace
+    spec = replace(rollup.LOCATION, dims=())
+    merged = rollup.merge_rollups(rollup.rollup(two, spec, mode="sketch"), spec, []).first()
+    assert merged.hist_dwell == [2 * n for n in row.hist_dwell] and merged.hist_dwell_above == 2 * 559
 
 
 def test_window_rows(spark):
@@ -87,6 +94,45 @@ def test_capacity(spark, loads, limit, expected):
     assert (row.datasource, row.partitions, row.replicas, row.windows) == ("rb_flow_x", expected, 3, len(loads))
 
 
+def test_capacity_over_days(spark):
+    """Days folded apart give what one pass over all windows gives."""
+    import random
+    rng = random.Random(3)
+    loads = [rng.choice([0, 1, 3, 4, 7, 40]) for _ in range(400)]
+    rows = [("rb_flow_x", i * 3600, n * 10 * 3600 // 2) for i, n in enumerate(loads)]
+    df = spark.createDataFrame(rows, "datasource string, window_start bigint, events bigint")
+    limits = spark.createDataFrame([("rb_flow_x", 6, 1)], "datasource string, index_partitions int, index_replicas int")
+    current = 0
+    for n in loads:
+        load = n * 10 // 2 * 2
+        wanted = max(-(-load // 10), 1)
+        if current == 0 or current * 10 * 0.8 <= load:
+            current = min(wanted, 6)
+        elif current * 10 * 0.2 >= load:
+            current = min(wanted, current)
+    row, = counters.capacity_report(df, limits, seconds=3600, per_task=10, partitions={"rb_flow": 2}).collect()
+    assert (row.partitions, row.windows) == (current, 400)
+
+
+def test_index_job(spark, tmp_path):
+    raw = [{"timestamp": "65", "src": "a", "sha256": "s1", "namespace_uuid": "n"}, {"timestamp": 70, "src": "a", "sha256": "s1", "namespace_uuid": "n"}, {"timestamp": 130, "src": "b"}]
+    events, bad = parse_json(spark.createDataFrame([(json.dumps(r),) for r in raw], "value string"), "timestamp bigint, src string, namespace_uuid string", extras=True)
+    out = index({"rb_event_post": events}, mode="exact")["event"]
+    assert set(rollup.EVENT.dims) <= set(out.columns) and bad.count() == 0
+    got = {(r.datasource, r.timestamp, r.src, r.sha256): r.events for r in out.collect()}
+    assert got == {("rb_event_n", 60, "a", "s1"): 2, ("rb_event", 120, "b", None): 1}
+    write_index({"event": out}, str(tmp_path / "i"))
+    assert spark.read.parquet(str(tmp_path / "i" / "event")).filter("datasource = 'rb_event_n'").first().events == 2
+    with pytest.raises(KeyError):
+        index({"no_such_topic": events})
+
+
+def test_index_schemas_read_messages_of_every_target(spark):
+    for topic, target, _ in fields.ROUTES:
+        good, _ = parse_json(spark.createDataFrame([('{"timestamp": 5, "value": "x"}',)], "value string"), index_schema(target), extras=True)
+        assert index({topic: good})[target].first().events == 1
+
+
 def test_routes(spark):
     df = spark.createDataFrame([("rb_flow_post", "n"), ("rb_state", None), ("rb_loc_post", "n"), ("what", "n")], "topic string, namespace_uuid string")
     good, bad = split_routes(route(df))
@@ -102,6 +148,20 @@ def test_rejects(spark):
     assert bad.count() == len(texts) - 3
 
 
+def test_ingest_is_tolerant(spark):
+    texts = ['{"timestamp": "100", "n": "7.0", "d": "x", "list": ["1", 2, null], "other": {"k": [1]}, "none": null}', '{"timestamp": 5, "n": true, "list": "no list"}']
+    good, bad = parse_json(spark.createDataFrame([(t,) for t in texts], "value string"), "timestamp bigint, n int, d double, list array<int>, m map<string,int>", extras=True)
+    one, two = sorted(good.collect(), key=lambda r: -r.timestamp)
+    assert bad.count() == 0 and (one.timestamp, one.n, one.d, one.list, one.m) == (100, 7, None, [1, 2, None], None)
+    assert one.extras == {"other": '{"k":[1]}'} and (two.timestamp, two.n, two.list, two.extras) == (5, None, None, {})
+
+
+def test_metrics_keep_other_values_beside_text(spark):
+    snapshot = {"asMap": {"header": {"time": "5000", "source": "P 1", "container-name": "c"}, "metrics": {"org.example.A": {"n": 2, "state": "up"}}}}
+    good, bad = parse_json(spark.createDataFrame([(json.dumps(snapshot),)], "value string"), fields.SCHEMAS[fields.METRICS])
+    assert bad.count() == 0 and [r.value for r in metrics.flatten_job_metrics(good, "org.example").collect() if r.value is not None] == [2.0]
+
+
 def test_write_and_read_a_topic(spark, tmp_path):
     df = spark.createDataFrame([("m", 1)], "client_mac string, bytes bigint")
     write_topic(keyed_output(df, F.col("client_mac")), str(tmp_path / "t"))

@@ -13,6 +13,7 @@ from flowloom.operators.counters import datasource_name
 from flowloom.operators.lookup import StoreSpec
 from flowloom.operators.split import split_flows
 from workload.catalog import query
+from workload.near import compare, near_exact, near_sql
 from workload.views import oracle, view
 
 # ---------------------------------------------------------------- flows
@@ -79,30 +80,41 @@ def flow_split(spark: SparkSession, sf: str) -> DataFrame:
 FLOW_SMALL = replace(rollup.FLOW, dims=("application_id_name",))
 
 
-@query("flow_rollup", oracle("""
+FLOW_ROLLUP_SQL = oracle("""
 select st - st % 60 as "timestamp", case when namespace_uuid is null then 'rb_flow' else 'rb_flow_' || namespace_uuid end as datasource,
   application_id_name, count(*) as events, cast(sum(bytes) as bigint) as sum_bytes, cast(sum(pkts) as bigint) as sum_pkts,
-  count(distinct client_mac) as clients from slices group by all""", SRC_PLAIN + "," + SLICES))
-def flow_rollup(spark: SparkSession, sf: str) -> DataFrame:
+  cast(0 as bigint) as sum_rssi, count(distinct client_mac) as clients, cast(0 as bigint) as wireless_stations from slices group by all""", SRC_PLAIN + "," + SLICES)
+
+
+def split_and_named(spark: SparkSession, sf: str) -> DataFrame:
     flows = records.flow(view(spark, sf, "fx_flow"), now="arrival")
-    flows = flows.withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
-    out = rollup.rollup(flows, FLOW_SMALL, mode="exact", extra_dims=("datasource",))
-    return out.drop("sum_rssi", "wireless_stations")
+    return flows.withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
+
+
+@query("flow_rollup", FLOW_ROLLUP_SQL)
+def flow_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return rollup.rollup(split_and_named(spark, sf), FLOW_SMALL, mode="exact", extra_dims=("datasource",))
 
 
-@query("flow_rollup_approx")
+@query("flow_rollup_approx", near_sql(FLOW_ROLLUP_SQL, FLOW_SMALL))
 def flow_rollup_approx(spark: SparkSession, sf: str) -> DataFrame:
-    flows = records.flow(view(spark, sf, "fx_flow"), now="arrival")
-    flows = flows.withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
-    return rollup.rollup(flows, FLOW_SMALL, extra_dims=("datasource",))
+    """The exact rollup and, for each distinct count, whether the estimate is near it."""
+    return near_exact(split_and_named(spark, sf), FLOW_SMALL, ("datasource",))
 
 
-@query("flow_rollup_merged")
+@query("flow_rollup_merged", oracle("""
+select st - st % 3600 as "timestamp", application_id_name, count(*) as events, cast(sum(bytes) as bigint) as sum_bytes, cast(sum(pkts) as bigint) as sum_pkts,
+  count(distinct client_mac) as clients, true as clients_near from slices group by 1, 2""", SRC_PLAIN + "," + SLICES))
 def flow_rollup_merged(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly clients and bytes from minute rollups that keep sketches."""
-    flows = records.flow(view(spark, sf, "fx_flow"), now="arrival")
-    parts = rollup.rollup(flows, FLOW_SMALL, mode="sketch")
-    return rollup.merge_rollups(parts, FLOW_SMALL, ["application_id_name"])
+    """Hourly clients and bytes from minute rollups that keep sketches, against exact hours."""
+    flows = split_and_named(spark, sf)
+    merged = rollup.merge_rollups(rollup.rollup(flows, FLOW_SMALL, mode="sketch"), FLOW_SMALL, ["application_id_name"])
+    hour = (F.col("timestamp") - F.col("timestamp") % 3600).alias("timestamp")
+    exact = flows.groupBy(hour, "application_id_name").agg(
+        F.count("*").alias("events"), F.sum("bytes").alias("sum_bytes"), F.sum("pkts").alias("sum_pkts"), F.count_distinct("client_mac").alias("clients"))
+    both = compare(exact.drop("events", "sum_bytes", "sum_pkts"), merged, ["timestamp", "application_id_name"], ["clients"])
+    # the sums are those of the merged sketches' rows
+    return merged.select("timestamp", "application_id_name", "events", "sum_bytes", "sum_pkts").join(both, ["timestamp", "application_id_name"])
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -265,18 +277,6 @@ def namespace_guard(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", "place", "namespace_uuid")
 
 
-@query("enricher_chain", oracle(f"""
-select event_id, coalesce(own, vendor) as client_mac_vendor, case when instr(lan_ip, '10.0.') = 1 then 'P0' end as lan_ip_country_code
-from (select *, case when event_id % 9 = 0 then 'own-vendor' end as own from fx_flow) f
-left join ({VENDORS}) v on v.oui = upper(left(replace(replace(client_mac, '-', ''), ':', ''), 6))"""))
-def enricher_chain(spark: SparkSession, sf: str) -> DataFrame:
-    """A vendor hit may not replace a vendor already on the record, because it is not the last enricher."""
-    flows = view(spark, sf, "fx_flow").withColumn("client_mac_vendor", F.when(F.col("event_id") % 9 == 0, "own-vendor"))
-    local = view(spark, sf, "fx_geo").filter("country_code = 'P0'").select("start_ip", F.lit(167837695).cast("bigint").alias("end_ip"), "family", "country_code")
-    out = lookup.enrich_chain(flows, [lookup.vendor_enricher(vendors(spark)), ranges.geo_enricher(local, None)])
-    return out.select("event_id", "client_mac_vendor", "lan_ip_country_code")
-
-
 def geo_body(columns: str) -> str:
     hit = lambda side: f"""left join fx_geo {side[0]} on {side}_n between {side[0]}.start_ip and {side[0]}.end_ip"""
     num = lambda c: f"case when instr({c}, ':') > 0 then null else " + V4_NUM.format(f"string_split(case when instr({c}, ':') > 0 then '0.0.0.0' else {c} end, '.')") + " end"
@@ -286,6 +286,17 @@ def geo_body(columns: str) -> str:
       from (select *, {num('lan_ip')} as lan_n, {num('wan_ip')} as wan_n from fx_flow) f {hit('lan')} {hit('wan')}) t"""
 
 
+@query("enricher_chain", oracle(f"""
+select f.event_id, coalesce(own, vendor) as client_mac_vendor, g.lan_cc as lan_ip_country_code, g.wan_cc as wan_ip_country_code
+from (select *, case when event_id % 9 = 0 then 'own-vendor' end as own from fx_flow) f join ({geo_body("lan_cc, wan_cc")}) g on g.event_id = f.event_id
+left join ({VENDORS}) v on v.oui = upper(left(replace(replace(client_mac, '-', ''), ':', ''), 6))"""))
+def enricher_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """A vendor hit may not replace a vendor already on the record, because it is not the last enricher."""
+    flows = view(spark, sf, "fx_flow").withColumn("client_mac_vendor", F.when(F.col("event_id") % 9 == 0, "own-vendor"))
+    out = lookup.enrich_chain(flows, [lookup.vendor_enricher(vendors(spark)), ranges.geo_enricher(view(spark, sf, "fx_geo"), None)])
+    return out.select("event_id", "client_mac_vendor", "lan_ip_country_code", "wan_ip_country_code")
+
+
 def geo_sql(columns: str) -> str:
     return oracle(geo_body(columns))
 

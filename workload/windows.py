@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowloom.fields import ROUTES
 from flowloom.operators import counters, metrics, records, rollup
+from flowloom.plans.index import index
 from flowloom.plans.route import route
 from flowloom.sources.topics import keyed_output, parse_json
 from workload.catalog import query
+from workload.near import near_exact, near_sql
 from workload.scalar import SLICES, SRC_PLAIN
 from workload.views import oracle, view
 
@@ -81,8 +85,6 @@ RENAMED = {
     "iot": {},
     "monitor": {},
 }
-# A schemaless rollup groups by whatever the records carry.
-KEPT = {"monitor": ["timestamp", "monitor", "sensor_uuid", "namespace_uuid", "type", "value"]}
 START, SQUEEZE = 1704067200, 720
 ROUNDED = {"sum_value", "sum_popularity", "sum_signal_strength", "sum_duration"}
 
@@ -91,8 +93,7 @@ def measured(spark: SparkSession, sf: str, name: str) -> DataFrame:
     # an hour of minutes holds the month of events, so that groups have several rows
     dense = F.lit(START) + F.expr(f"(timestamp - {START}) div {SQUEEZE}")
     df = view(spark, sf, "fx_measure").withColumn("timestamp", dense)
-    df = df.withColumnsRenamed(RENAMED[name]).drop("event_id")
-    return df.select(*KEPT[name]) if name in KEPT else df
+    return df.withColumnsRenamed(RENAMED[name]).drop("event_id")
 
 
 def rollup_sql(name: str) -> str:
@@ -101,8 +102,9 @@ def rollup_sql(name: str) -> str:
     base = ["timestamp", "type", "monitor", "value", "sensor_uuid", "namespace_uuid", "client_mac", "wireless_station", "wireless_channel",
             "wireless_tx_power", "client_rssi_num", "dwell_time", "session", "popularity", "repetitions", "hash", "msg", "endpoint_uuid", "ioc",
             "followers", "duration", "signal_strength"]
-    have = KEPT.get(name) or [RENAMED[name].get(c, c) for c in base]
-    dims = [d for d in spec.dims if d in have] if spec.dims is not None else ["monitor", "sensor_uuid", "namespace_uuid"]
+    have = [RENAMED[name].get(c, c) for c in base]
+    # a schemaless rollup groups by whatever the records carry
+    dims = [d for d in (spec.dims or [c for c in have if c not in ("timestamp", "value", *spec.exclude)]) if d in have]
     column = lambda c: f'"{back.get(c, c)}"'
     out = ['"timestamp" - "timestamp" % 60 as "timestamp"', *[f'{column(d)} as "{d}"' for d in dims]]
     for alias, (kind, source) in spec.aggs.items():
@@ -137,12 +139,28 @@ def _register_rollups() -> None:
         kinds = {kind for kind, _ in rollup.SPECS[name].aggs.values()}
         if kinds & {"distinct", "histogram"}:
             def approx(spark: SparkSession, sf: str, name: str = name) -> DataFrame:
-                return rollup.rollup(measured(spark, sf, name), rollup.SPECS[name])
-            query(f"rollup_{name}_approx")(approx)
+                return _rounded(near_exact(measured(spark, sf, name), rollup.SPECS[name]))
+            query(f"rollup_{name}_approx", near_sql(rollup_sql(name), rollup.SPECS[name]))(approx)
 
 
 _register_rollups()
 
+BIN_SQL = "case when dwell_time between 3 and 1440 then least(49, cast(floor((dwell_time - 3) * 50 / 1437.0) as bigint)) end"
+
+
+@query("rollup_location_merged", oracle(f"""
+select "timestamp" - "timestamp" % 3600 as "timestamp", type, count(*) as events, cast(sum(dwell_time) as bigint) as sum_dwell_time,
+  count(*) filter (dwell_time < 3) as hist_dwell_below, count(*) filter (dwell_time > 1440) as hist_dwell_above,
+  concat_ws(',', {', '.join(f'count(*) filter (bin = {i})' for i in range(rollup.HISTOGRAM_BINS))}) as hist_dwell
+from (select *, {BIN_SQL} as bin from fx_measure) t group by 1, 2"""))
+def rollup_location_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly dwell histograms from minute rollups."""
+    spec = replace(rollup.LOCATION, dims=("type",))
+    minutes = rollup.rollup(view(spark, sf, "fx_measure"), spec, mode="sketch")
+    hours = rollup.merge_rollups(minutes, spec, ["type"])
+    return hours.select("timestamp", "type", "events", "sum_dwell_time", "hist_dwell_below", "hist_dwell_above",
+                        F.array_join(F.col("hist_dwell").cast("array<string>"), ",").alias("hist_dwell"))
+
 
 # ---------------------------------------------------------------- counters
 
@@ -175,11 +193,11 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("prev_window_count", oracle("""
 select n.event_id, n.datasource, case when n.ws > f.first_ws then coalesce(c.n, 0) end as flows_count
-from (select *, "timestamp" - "timestamp" % 3600 as ws from named) n
-join (select datasource, min("timestamp" - "timestamp" % 3600) as first_ws from named group by 1) f on f.datasource = n.datasource
-left join (select datasource, "timestamp" - "timestamp" % 3600 as ws, count(*) as n from named group by 1, 2) c on c.datasource = n.datasource and c.ws = n.ws - 3600""", NAMED))
+from (select *, "timestamp" - "timestamp" % 60 as ws from named) n
+join (select datasource, min("timestamp" - "timestamp" % 60) as first_ws from named group by 1) f on f.datasource = n.datasource
+left join (select datasource, "timestamp" - "timestamp" % 60 as ws, count(*) as n from named group by 1, 2) c on c.datasource = n.datasource and c.ws = n.ws - 60""", NAMED))
 def prev_window_count(spark: SparkSession, sf: str) -> DataFrame:
-    out = counters.with_prev_window_count(named_flows(spark, sf), seconds=3600)
+    out = counters.with_prev_window_count(named_flows(spark, sf))
     return out.select("event_id", "datasource", "flows_count")
 
 
@@ -206,15 +224,55 @@ def capacity_report(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- routing and topics
 
 
+EVERY_TOPIC = PICK([topic for topic, _, _ in ROUTES] + ["other"], f"event_id % {len(ROUTES) + 1}")
+
+
+def route_case(part: int) -> str:
+    return "case topic " + " ".join(f"when '{r[0]}' then '{r[part]}'" for r in ROUTES) + " end"
+
+
+@query("index_all_topics", oracle(f"""
+select base || case when namespace_uuid is null then '' else '_' || namespace_uuid end as datasource, "timestamp" - "timestamp" % 60 as "timestamp", count(*) as events,
+  round(sum(case when target in ('state', 'monitor', 'iot') then value else 0 end), 3) as sum_value,
+  cast(sum(case when target = 'location' then dwell_time else 0 end) as bigint) as sum_dwell_time
+from (select *, {route_case(1)} as target, {route_case(2)} as base from topical) t where base is not null group by 1, 2""",
+    f"topical as (select *, {EVERY_TOPIC} as topic from fx_measure)"))
+def index_all_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """All indexed topics through the index job; counts and sums per datasource and minute."""
+    records = view(spark, sf, "fx_measure").withColumn("topic", F.expr(EVERY_TOPIC))
+    topics = {topic: records.filter(F.col("topic") == topic).drop("topic", "event_id").withColumnsRenamed(RENAMED.get(target, {})) for topic, target, _ in ROUTES}
+    zero = lambda df, c, kind: (F.col(c) if c in df.columns else F.lit(0)).cast(kind).alias(c)
+    parts = [df.select("datasource", "timestamp", "events", zero(df, "sum_value", "double"), zero(df, "sum_dwell_time", "bigint")) for df in index(topics).values()]
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("datasource", "timestamp").agg(
+        F.sum("events").alias("events"), F.round(F.sum("sum_value"), 3).alias("sum_value"), F.sum("sum_dwell_time").alias("sum_dwell_time"))
+
+
+# dimensions that the flow view lacks get a value made from their name
+FLOW_OWN = {"application_id_name", "client_mac", "namespace_uuid", "service_provider_uuid", "lan_ip", "wan_ip", "duration"}
+FLOW_MADE = [d for d in rollup.FLOW.dims if d not in FLOW_OWN]
+
+
+@query("rollup_flow", oracle(f"""
+select st - st % 60 as "timestamp", {', '.join('cast(spent as varchar) as duration' if d == 'duration' else d for d in rollup.FLOW.dims)}, count(*) as events,
+  cast(sum(slice_bytes) as bigint) as sum_bytes, cast(sum(slice_pkts) as bigint) as sum_pkts, cast(sum(client_rssi_num) as bigint) as sum_rssi,
+  count(distinct client_mac) as clients, count(distinct wireless_station) as wireless_stations
+from (select s.st, s.bytes as slice_bytes, s.pkts as slice_pkts, case when s.k = 1 then s.duration end as spent, f.*, -(f.event_id % 90) as client_rssi_num,
+  {', '.join(f"'{d}-' || (f.event_id % {2 + i % 3}) as {d}" for i, d in enumerate(FLOW_MADE))} from slices s join fx_flow f on f.event_id = s.event_id) s group by all""", SRC_PLAIN + "," + SLICES))
+def rollup_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """All dimensions and aggregators of the flow datasource."""
+    i = F.col("event_id")
+    made = {d: F.concat(F.lit(f"{d}-"), (i % (2 + n % 3)).cast("string")) for n, d in enumerate(FLOW_MADE)}
+    flows = records.flow(view(spark, sf, "fx_flow").withColumns({**made, "client_rssi_num": -(i % 90)}), now="arrival")
+    return rollup.rollup(flows, rollup.FLOW, mode="exact", complete=True)
+
+
 @query("route_datasource", oracle("""
 select event_id, topic, target, case when base is not null then base || case when namespace_uuid is null then '' else '_' || namespace_uuid end end as datasource
-from (select *, case topic when 'rb_flow_post' then 'flow' when 'rb_monitor' then 'monitor' when 'rb_event_post' then 'event' when 'rb_state_post' then 'state'
-   when 'rb_social' then 'social' when 'rb_loc_post' then 'location' when 'rb_iot_post' then 'iot' end as target,
-  case topic when 'rb_flow_post' then 'rb_flow' when 'rb_monitor' then 'rb_monitor' when 'rb_event_post' then 'rb_event' when 'rb_state_post' then 'rb_state'
-   when 'rb_social' then 'rb_social' when 'rb_loc_post' then 'rb_location' when 'rb_iot_post' then 'rb_iot' end as base from topical) t""",
-    f"topical as (select *, {TOPIC_SQL} as topic from fx_flow)"))
+from (select *, """ + route_case(1) + " as target, " + route_case(2) + """ as base from topical) t""",
+    f"topical as (select *, {EVERY_TOPIC} as topic from fx_flow)"))
 def route_datasource(spark: SparkSession, sf: str) -> DataFrame:
-    out = route(view(spark, sf, "fx_flow").withColumn("topic", F.expr(TOPIC_SQL)))
+    out = route(view(spark, sf, "fx_flow").withColumn("topic", F.expr(EVERY_TOPIC)))
     return out.select("event_id", "topic", "target", "datasource")
 
 
