@@ -35,6 +35,24 @@ class StoreSpec:
     guard_namespace: bool = False
 
 
+@dataclass(frozen=True)
+class LearnedStore:
+    """One step of a chain that merges client state learned from the topics themselves.
+
+    The state's payload stands in a struct column ``name`` of the record (see :func:`flowloom.operators.asof.asof_lookup`);
+    it is merged at this place of the chain and the column goes.
+    """
+
+    name: str
+    overwrite: bool = True
+
+    def fields(self, df: DataFrame) -> list[str]:
+        return [f.name for f in df.schema[self.name].dataType.fields] if self.name in df.columns else []
+
+
+Store = StoreSpec | LearnedStore
+
+
 def merge_columns(df: DataFrame, found: dict[str, Column], overwrite: bool) -> DataFrame:
     """Merge looked-up values into the record; NULL counts as absent on both sides."""
     out = {}
@@ -59,13 +77,20 @@ def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str], payload: Seque
     return df.join(dim, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def lookup_chain(df: DataFrame, stores: Sequence[StoreSpec], namespace: str = "namespace_uuid") -> DataFrame:
-    """Apply the stores in order; a later store sees the columns an earlier one added."""
-    guarded = any(s.guard_namespace for s in stores)
+def lookup_chain(df: DataFrame, stores: Sequence[Store], namespace: str = "namespace_uuid") -> DataFrame:
+    """Apply the stores in order; a later store sees the columns an earlier one added.
+
+    Learned stores and tables may alternate. A learned store whose state the record lacks adds nothing.
+    """
+    guarded = any(isinstance(s, StoreSpec) and s.guard_namespace for s in stores)
     if guarded:
         own = F.col(namespace) if namespace in df.columns else F.lit(None)
         df = df.withColumn("_own_ns", own.cast("string"))
     for store in stores:
+        if isinstance(store, LearnedStore):
+            found = {f: F.col(f"`{store.name}`.`{f}`") for f in store.fields(df)}
+            df = merge_columns(df, found, store.overwrite).drop(store.name)
+            continue
         keys = list(store.keys)
         payload = [c for c in store.table.columns if c not in keys]
         for k in keys:
@@ -94,11 +119,11 @@ def _keeping(df: DataFrame, names: Sequence[str], change: Enricher) -> DataFrame
     return out.drop(*[f"_own_{n}" for n in names])
 
 
-def enrich_record(df: DataFrame, stores: Sequence[StoreSpec] = (), enrichers: Sequence[Enricher] = (),
+def enrich_record(df: DataFrame, stores: Sequence[Store] = (), enrichers: Sequence[Enricher] = (),
                   own_wins: bool = False) -> DataFrame:
     """Store lookups, then (optionally) the record's own fields on top, then the enrichers."""
     if stores:
-        payload = {c for s in stores for c in s.table.columns if c not in s.keys}
+        payload = {c for s in stores for c in (s.fields(df) if isinstance(s, LearnedStore) else s.table.columns) if isinstance(s, LearnedStore) or c not in s.keys}
         own = [c for c in df.columns if c in payload] if own_wins else []
         df = _keeping(df, own, lambda d: lookup_chain(d, stores))
     return enrich_chain(df, enrichers)

@@ -6,11 +6,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowloom import fields
 from flowloom.operators import location as loc
 from flowloom.operators import metrics, nmsp, records
-from flowloom.operators.lookup import Enricher, StoreSpec, enrich_record
+from flowloom.operators.lookup import Enricher, Store, enrich_record
+from flowloom.plans.states import attach_states
+from flowloom.sources.topics import SEQUENCE
 
 Step = Callable[[DataFrame, "Context"], DataFrame]
 
@@ -27,11 +30,14 @@ TOPIC_ENRICHERS = {
 class Context:
     """Tables and settings a topic's steps may use.
 
+    ``stores`` is the chain of lookups in its configured order: tables (``StoreSpec``) and client states learned from the
+    topics (``LearnedStore``), whose history is given in ``states`` (see :func:`flowloom.plans.states.learned_states`).
     ``enrichers`` maps a name to an enricher; a topic uses those of :data:`TOPIC_ENRICHERS` that are
     present. ``now`` is a Column for the processing time (default: the record's ``arrival``).
     """
 
-    stores: Sequence[StoreSpec] = ()
+    stores: Sequence[Store] = ()
+    states: Sequence[DataFrame] = ()
     enrichers: dict[str, Enricher] = field(default_factory=dict)
     topic_enrichers: dict[str, list[str]] = field(default_factory=lambda: dict(TOPIC_ENRICHERS))
     now: object = None
@@ -42,13 +48,19 @@ class Context:
     def chain(self, topic: str) -> list[Enricher]:
         return [self.enrichers[n] for n in self.topic_enrichers.get(topic, []) if n in self.enrichers]
 
+    def known(self, df: DataFrame) -> DataFrame:
+        """Records with the learned states that the chain will merge."""
+        wanted = {s.name for s in self.stores}
+        found = attach_states(df, self.states)
+        return found.drop(*[n for d in self.states for n in d.columns if n not in df.columns and n not in wanted])
+
 
 def _flow(df: DataFrame, c: Context) -> DataFrame:
-    return records.flow(df, c.stores, c.chain(fields.FLOW), nmsp.arrival(df, c.now))
+    return records.flow(c.known(df), c.stores, c.chain(fields.FLOW), nmsp.arrival(df, c.now))
 
 
 def _event(df: DataFrame, c: Context) -> DataFrame:
-    return records.event(df, c.stores, c.chain(fields.EVENT))
+    return records.event(c.known(df), c.stores, c.chain(fields.EVENT))
 
 
 def _state(df: DataFrame, c: Context) -> DataFrame:
@@ -59,7 +71,7 @@ def _nmsp(df: DataFrame, c: Context) -> DataFrame:
     info = nmsp.nmsp_info(df, c.now)
     measures = nmsp.nmsp_measure(df, nmsp.info_state(info), c.rssi_limit, c.now)
     rows = measures.unionByName(info, allowMissingColumns=True)
-    return enrich_record(rows, c.stores, c.chain(fields.NMSP), own_wins=True)
+    return enrich_record(c.known(rows), c.stores, c.chain(fields.NMSP), own_wins=True)
 
 
 def _loc(df: DataFrame, c: Context) -> DataFrame:
@@ -68,13 +80,13 @@ def _loc(df: DataFrame, c: Context) -> DataFrame:
     followed = loc.follow_clients(loc.notifications(new, c.now), loc.v89_state(old), c.sticky)
     chain = c.chain(fields.LOC)
     # store policy decides for version 8/9, the record's own fields win for version 10
-    return enrich_record(old, c.stores, chain).unionByName(
-        enrich_record(loc.shape_v10(followed), c.stores, chain, own_wins=True), allowMissingColumns=True)
+    return enrich_record(c.known(old), c.stores, chain).unionByName(
+        enrich_record(c.known(loc.shape_v10(followed)), c.stores, chain, own_wins=True), allowMissingColumns=True)
 
 
 def _radius(df: DataFrame, c: Context) -> DataFrame:
     rows = records.radius_output(records.radius(df, c.now))
-    return enrich_record(rows, c.stores, c.chain(fields.RADIUS), own_wins=True)
+    return enrich_record(c.known(rows), c.stores, c.chain(fields.RADIUS), own_wins=True)
 
 
 def _metrics(df: DataFrame, c: Context) -> DataFrame:
@@ -100,7 +112,8 @@ def register(topic: str, *steps: Step, append: bool = False) -> None:
 def run_topic(df: DataFrame, topic: str, context: Context | None = None) -> list[DataFrame]:
     """Outputs of the topic's steps, each of which reads the topic itself.
 
-    An unknown topic, or an enricher name that nobody supplied, raises here rather than at run time.
+    An unknown topic, or an enricher name that nobody supplied, raises here rather than at run time. Rows without a
+    sequence column (see :func:`flowloom.sources.topics.read_topic`) are numbered in file order.
     """
     if topic not in REGISTRY:
         raise KeyError(f"no steps registered for topic {topic!r}")
@@ -109,6 +122,8 @@ def run_topic(df: DataFrame, topic: str, context: Context | None = None) -> list
     missing = wanted - set(context.enrichers)
     if missing:
         raise KeyError(f"enrichers not supplied for {topic!r}: {sorted(missing)}")
+    if SEQUENCE not in df.columns:
+        df = df.withColumn(SEQUENCE, F.monotonically_increasing_id())
     return [step(df, context) for step in REGISTRY[topic]]
 
 
