@@ -77,3 +77,24 @@ def batch_sink(transform: Callable[[DataFrame], DataFrame], path: str, partition
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{path}/batch_id={batch_id}")
     return write
+
+
+def prev_window_sink(folder: str, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, seconds: int = counters.WINDOW_SECONDS,
+                     ts: str = "timestamp") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that adds ``flows_count`` with windows counted over all micro-batches so far.
+
+    Each batch leaves its counts, one row per datasource and window, in ``folder/counts`` and its rows in ``folder/out``; a batch
+    that runs again replaces its own. Rows in time order get what the batch operator gives; a record that comes after its
+    successor window was written is counted from then on.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = prepare(batch).persist()
+        try:
+            counters.datasource_counts(rows, seconds, ts).write.mode("overwrite").parquet(f"{folder}/counts/batch_id={batch_id}")
+            earlier = spark.read.parquet(f"{folder}/counts").filter(F.col("batch_id") <= batch_id)
+            known = earlier.groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
+            counters.with_prev_window_count(rows, known, seconds, ts).write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+    return write

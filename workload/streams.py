@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators import records
 from flowloom.operators.counters import datasource_name
 from flowloom.streaming import clients, windows
-from flowloom.streaming.wiring import run_available
+from flowloom.streaming.wiring import run_available, shared_folder
 from workload.catalog import query
 from workload.clients import JUDGED, V10_DROP, as_notification, followed_sql
 from workload.scalar import FLOW_SMALL, LABEL, PROFILE, SLICES, SRC_PLAIN
 from workload.views import VIEWS, oracle, view
+from workload.windows import NAMED, PREV_SQL
 
 
 def stream_view(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,3 +62,13 @@ counted as (select case when namespace_uuid is null then 'rb_flow' else 'rb_flow
 def stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     flows = stream_view(spark, sf, "fx_flow").withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
     return run_available(windows.stream_window_counts(flows), name="counts")
+
+
+@query("stream_prev_window_count", oracle(PREV_SQL, NAMED))
+def stream_prev_window_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The previous window's count from a table that the micro-batches keep."""
+    name = lambda rows: rows.withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
+    folder = f"{shared_folder(spark)}/prev-window-{uuid.uuid4().hex}"
+    flow = stream_view(spark, sf, "fx_flow").writeStream.foreachBatch(windows.prev_window_sink(folder, name))
+    flow.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_id", "datasource", "flows_count")

@@ -191,11 +191,14 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counters.stream_counts(view(spark, sf, "fx_flow").withColumn("topic", F.expr(TOPIC_SQL)))
 
 
-@query("prev_window_count", oracle("""
+PREV_SQL = """
 select n.event_id, n.datasource, case when n.ws > f.first_ws then coalesce(c.n, 0) end as flows_count
 from (select *, "timestamp" - "timestamp" % 60 as ws from named) n
 join (select datasource, min("timestamp" - "timestamp" % 60) as first_ws from named group by 1) f on f.datasource = n.datasource
-left join (select datasource, "timestamp" - "timestamp" % 60 as ws, count(*) as n from named group by 1, 2) c on c.datasource = n.datasource and c.ws = n.ws - 60""", NAMED))
+left join (select datasource, "timestamp" - "timestamp" % 60 as ws, count(*) as n from named group by 1, 2) c on c.datasource = n.datasource and c.ws = n.ws - 60"""
+
+
+@query("prev_window_count", oracle(PREV_SQL, NAMED))
 def prev_window_count(spark: SparkSession, sf: str) -> DataFrame:
     out = counters.with_prev_window_count(named_flows(spark, sf))
     return out.select("event_id", "datasource", "flows_count")
