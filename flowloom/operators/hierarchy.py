@@ -33,7 +33,8 @@ def ancestors(sensors: DataFrame) -> DataFrame:
     A node encloses a sensor when its ``[lft, rgt]`` covers the sensor's. With several at one level the
     smallest id is taken. Containment is found by prefix equality, not by comparing all pairs.
     """
-    width = 16
+    # as many digits as the positions' type needs: every digit less is a probe less for each sensor
+    width = 8 if sensors.schema["lft"].dataType.typeName() == "integer" and sensors.schema["rgt"].dataType.typeName() == "integer" else 16
     points = sensors.select(
         F.col("id").alias("_sensor"), F.col("rgt").alias("_rgt"), fixed_hex(F.col("lft").cast("bigint"), width).alias("point")
     )

@@ -15,7 +15,7 @@ from workload.catalog import query
 from workload.clients import JUDGED, V10_DROP, as_notification, followed_sql
 from workload.scalar import FLOW_SMALL, LABEL, PROFILE, SLICES, SRC_PLAIN
 from workload.views import VIEWS, oracle, view
-from workload.windows import NAMED, PREV_SQL
+from workload.windows import CAPACITY, NAMED, PREV_SQL, hourly_load
 
 
 def stream_view(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -72,3 +72,16 @@ def stream_prev_window_count(spark: SparkSession, sf: str) -> DataFrame:
     flow = stream_view(spark, sf, "fx_flow").writeStream.foreachBatch(windows.prev_window_sink(folder, name))
     flow.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("event_id", "datasource", "flows_count")
+
+
+@query("stream_capacity_report", oracle("""
+select r.datasource, r.ws as window_start, cast(current as int) as partitions, cast(greatest(l.index_replicas, 1) as int) as replicas
+from runs r join limits l on l.datasource = r.datasource""", CAPACITY))
+def stream_capacity_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of window counts, followed as a stream with limits per datasource."""
+    counts, limits = hourly_load(spark, sf)
+    folder = f"{shared_folder(spark)}/window-counts-{uuid.uuid4().hex}"
+    counts.write.parquet(folder)
+    feed = spark.readStream.schema(counts.schema).parquet(folder)
+    out = run_available(windows.stream_capacity(feed, limits, seconds=3600, per_task=200), name="capacity")
+    return out.select("datasource", "window_start", "partitions", "replicas")

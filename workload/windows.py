@@ -204,23 +204,32 @@ def prev_window_count(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", "datasource", "flows_count")
 
 
-@query("capacity_report", oracle("""
-select r.datasource, cast(current as int) as partitions, cast(greatest(l.index_replicas, 1) as int) as replicas, cast(r.k as int) as windows
-from runs r join limits l on l.datasource = r.datasource where r.k = l.n""", NAMED + """,
- loads as (select datasource, row_number() over (partition by datasource order by ws) as k, (events // 3600) * 4 as load from
+CAPACITY = NAMED + """,
+ loads as (select datasource, ws, row_number() over (partition by datasource order by ws) as k, (events // 3600) * 4 as load from
   (select datasource, "timestamp" - "timestamp" % 3600 as ws, cast(sum(bytes) as bigint) as events from named group by 1, 2) t),
  limits as (select datasource, max(k) as n, case when datasource = 'rb_flow' then 1 else 6 end as lim, case when datasource = 'rb_flow' then 0 else 2 end as index_replicas from loads group by 1),
- runs as (select o.datasource, o.k, least(greatest(ceil(o.load / 200.0), 1), l.lim) as current from loads o join limits l on l.datasource = o.datasource where o.k = 1
-  union all select o.datasource, o.k, case when r.current * 200 * 0.8 <= o.load then least(greatest(ceil(o.load / 200.0), 1), l.lim)
+ runs as (select o.datasource, o.ws, o.k, least(greatest(ceil(o.load / 200.0), 1), l.lim) as current from loads o join limits l on l.datasource = o.datasource where o.k = 1
+  union all select o.datasource, o.ws, o.k, case when r.current * 200 * 0.8 <= o.load then least(greatest(ceil(o.load / 200.0), 1), l.lim)
    when r.current * 200 * 0.2 >= o.load then least(greatest(ceil(o.load / 200.0), 1), r.current) else r.current end
-  from runs r join loads o on o.datasource = r.datasource and o.k = r.k + 1 join limits l on l.datasource = o.datasource)"""))
-def capacity_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Partitions after the last hour, with bytes standing in for messages so that the load moves."""
+  from runs r join loads o on o.datasource = r.datasource and o.k = r.k + 1 join limits l on l.datasource = o.datasource)"""
+
+
+def hourly_load(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Counts and limits, with bytes standing in for messages so that the load moves."""
     start = F.col("timestamp") - F.col("timestamp") % 3600
     counts = named_flows(spark, sf).groupBy("datasource", start.alias("window_start")).agg(F.sum("bytes").alias("events"))
     plain = F.col("datasource") == "rb_flow"
     limits = counts.select("datasource").distinct().withColumns({
         "index_partitions": F.when(plain, 1).otherwise(6), "index_replicas": F.when(plain, 0).otherwise(2)})
+    return counts, limits
+
+
+@query("capacity_report", oracle("""
+select r.datasource, cast(current as int) as partitions, cast(greatest(l.index_replicas, 1) as int) as replicas, cast(r.k as int) as windows
+from runs r join limits l on l.datasource = r.datasource where r.k = l.n""", CAPACITY))
+def capacity_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitions after the last hour."""
+    counts, limits = hourly_load(spark, sf)
     return counters.capacity_report(counts, limits, seconds=3600, per_task=200)
 
 
