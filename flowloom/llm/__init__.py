@@ -1 +1,10 @@
-"""Operators of a training-data pipeline; nothing else in the library imports this subpackage."""
+"""Operators of a training-data pipeline; nothing else in the library imports this subpackage.
+
+Functions that run inside tasks are sent by value, so executors need no copy of the package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

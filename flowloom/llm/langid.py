@@ -17,7 +17,6 @@ with more training documents, then the smaller name; an empty table gives an emp
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,14 @@ FOLDS, HELD_OUT, UNKNOWN, MOST_LANGS = 4, 2, "und", 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(1)
+_LETTERS: list[np.ndarray] = []
+
+
 def letters() -> np.ndarray:
-    """For each code point whether it is a letter."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    """For each code point whether it is a letter; made once per process or task."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
+    return _LETTERS[0]
 
 
 def grams(text: str | None) -> np.ndarray:
