@@ -102,6 +102,7 @@ def group_bits(bits: np.ndarray, m: int) -> list[list[int]]:
 def allocate(groups: list[list[int]], sample: np.ndarray, n: int, radius: int = RADIUS) -> tuple[float, list[int]]:
     """Cheapest thresholds for the partitions by dynamic programming: (cost, thresholds), sum(t + 1) = radius + 1."""
     a, b = sample[: len(sample) // 2], sample[len(sample) // 2:]
+    n = max(n, 2)  # with nothing to find every plan would cost the same, large ones too
     pairs = n * n / 2
     plans: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for group in groups:

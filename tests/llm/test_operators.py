@@ -330,7 +330,8 @@ def test_simhash_masks_cover_every_close_pair():
     from flowloom.llm.simhash import probe_masks
     rng = np.random.default_rng(4)
     sample = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
-    for n in (100, 10 ** 6, 10 ** 10):
+    assert len(probe_masks(sample[:0], 0)) <= 64
+    for n in (1, 100, 10 ** 6, 10 ** 10):
         masks = probe_masks(sample, n)
         for _ in range(300):
             flips = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
