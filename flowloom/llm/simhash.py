@@ -249,12 +249,11 @@ def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return fps.join(near_components(fps, radius), "fp")
 
 
-def one_of_each_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The columns of ``docs``; of each group of near-duplicates only the row with the smallest id stays."""
-    first = near_groups(docs, radius).groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("x"))
+def only_rows(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """The columns of ``docs``; only the rows (id, mark) of ``first`` stay, each once."""
     # one key without nulls for the join and the removal of equal rows, so that the texts are shuffled once
     own = {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "__own": F.xxhash64("text")}
-    keepers = first.select(F.col("x.none").alias("__none"), F.coalesce("x.id", F.lit(0).cast("long")).alias("__id"), F.col("x.mark").alias("__own"))
+    keepers = first.select(F.col("id").isNull().alias("__none"), F.coalesce("id", F.lit(0).cast("long")).alias("__id"), F.col("mark").alias("__own"))
     return docs.withColumns(own).join(keepers, list(own), "left_semi").dropDuplicates(list(own)).drop(*own)
 
 
