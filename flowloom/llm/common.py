@@ -41,24 +41,46 @@ def unit_hash(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+#: Folders made for sessions on one machine that name none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only a session on one machine may leave it unset."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    """The folder in ``spark.checkpoint.dir``; a session on one machine that leaves it unset gets a temporary one."""
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="flowloom-llm-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    if context.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="flowloom-llm-")
+        context.setCheckpointDir(_OWN_FOLDERS[context.applicationId])
+    return _OWN_FOLDERS[context.applicationId]
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, so a lost executor costs
-    no recomputation of what led to it. The files go when the session's JVM ends."""
+    no recomputation of what led to it. The files go with :func:`release`, or when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing reads any more; other frames are left alone."""
+    for table in tables:
+        path = getattr(table, "stored_at", None)
+        if path:
+            place, files = _place(table.sparkSession, path)
+            files.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -1,17 +1,18 @@
 """Language identification with language-bitmask n-gram filters.
 
 A language's set holds the letter n-grams (3 and 4 letters, word boundaries included) found in at least ``LEAST_SHARE`` of its sampled
-training documents. All sets live in one bit-sliced Bloom filter: slot x holds a bitmask with one bit per language, and the AND of an
-n-gram's ``PROBES`` slots is the set of all languages that contain it. Per document, each language's hits among the N n-grams are counted and
+training documents. All sets live in one bit-sliced Bloom filter: slot x holds a bitmask with one bit per language (as many 64-bit words as
+the languages need), and the AND of an n-gram's ``PROBES`` slots is the set of all languages that contain it. Per document, each language's hits among the N n-grams are counted and
 corrected for its false-positive rate f = fill^PROBES:  (hits - N f) / (1 - f). The largest corrected count decides; the score is its share
 of all corrected counts.
 
 Sampling: at most about ``PER_LANG`` whole documents a language, chosen by a hash of the id (the fraction is PER_LANG over
-the language's count). Slots are a fixed number, so the filter that is collected and broadcast is too.
+the language's count). Slots are a fixed number, so the filter that is collected and broadcast grows with the languages only, by
+8 MB for each 64. Of fewer than ``FEW`` training documents every n-gram counts.
 
 Defined results: null, empty and letter-free texts are ``und`` with score 0; with letters but no hit at all, the language with most training
 documents is returned, score 0; rows with null lang aren't learned from; with nothing to learn from all is ``und``; ties go to the language
-with more training documents, then the smaller name; an empty table gives an empty result. At most 64 languages are supported.
+with more training documents, then the smaller name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from flowloom.llm.common import documents, id_bucket, store, unit_hash
 
 PER_LANG, LEAST_SHARE = 2000, 0.01
 ORDERS, SLOT_BITS, PROBES = (3, 4), 20, 3
-FOLDS, HELD_OUT, UNKNOWN, MOST_LANGS = 4, 2, "und", 64
+FOLDS, HELD_OUT, UNKNOWN, FEW = 4, 2, "und", 10
+WORD_BITS = 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,27 +89,25 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         code = batch.column("code").to_numpy()
         for slot in slots(batch.column("gram").to_numpy().view(np.uint64)):
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.left_shift(np.int64(1), code.astype(np.int64)))], names=["slot", "mask"])
+            mask = np.left_shift(np.int64(1), (code % WORD_BITS).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(code // WORD_BITS), pa.array(mask)], names=["slot", "word", "mask"])
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
-    """(languages, slot masks) learned from rows outside the held-out fold."""
+    """(languages, slot masks by word) learned from rows outside the held-out fold."""
     spark = docs.sparkSession
     rows = docs.where(F.col("lang").isNotNull() & (id_bucket("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS + 1).collect()
-    if len(sizes) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
-    table = np.zeros(1 << SLOT_BITS, np.uint64)
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row a language
+    table = np.zeros((max(1, -(-len(sizes) // WORD_BITS)), 1 << SLOT_BITS), np.uint64)
     if not sizes:
         return [], table
     shares = F.broadcast(spark.createDataFrame([(r["lang"], i, min(1.0, per_lang / r["count"])) for i, r in enumerate(sizes)], "lang string, code int, share double"))
     sample = rows.join(shares, "lang").where(unit_hash(F.col("doc_id"), F.lit("lang")) < F.col("share")).select("code", "text")
     counted = store(sample.mapInArrow(_counts, "code int, gram long, n long").groupBy("code", "gram").agg(F.sum("n").alias("n")), "grams")
-    least = {i: max(2, round(LEAST_SHARE * min(per_lang, r["count"]))) for i, r in enumerate(sizes)}
-    enough = F.element_at(F.create_map(*[F.lit(x) for kv in least.items() for x in kv]), F.col("code"))
-    kept = counted.where(F.col("n") >= enough)
-    masks = kept.mapInArrow(_slots, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most 2^SLOT_BITS rows
-    table[masks.column("slot").to_numpy()] = masks.column("mask").to_numpy().view(np.uint64)
+    least = [(i, 1 if r["count"] < FEW else max(2, round(LEAST_SHARE * min(per_lang, r["count"])))) for i, r in enumerate(sizes)]
+    kept = counted.join(F.broadcast(spark.createDataFrame(least, "code int, least long")), "code").where("n >= least").select("code", "gram")
+    masks = kept.mapInArrow(_slots, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table[masks.column("word").to_numpy(), masks.column("slot").to_numpy()] = masks.column("mask").to_numpy().view(np.uint64)  # at most 2^SLOT_BITS rows a word
     return [r["lang"] for r in sizes], table
 
 
@@ -115,10 +115,10 @@ def decide(h: np.ndarray, langs: list[str], table: np.ndarray, false_rate: np.nd
     if not len(h) or not langs:
         return UNKNOWN, 0.0
     first, *others = slots(h)
-    found = table[first]
+    found = table[:, first]
     for slot in others:
-        found = found & table[slot]
-    hits = np.array([np.count_nonzero(found >> np.uint64(i) & np.uint64(1)) for i in range(len(langs))])
+        found = found & table[:, slot]
+    hits = np.array([np.count_nonzero(found[i // WORD_BITS] >> np.uint64(i % WORD_BITS) & np.uint64(1)) for i in range(len(langs))])
     right = np.maximum(0.0, (hits - len(h) * false_rate) / (1 - false_rate))
     best = int(np.argmax(right))
     return langs[best], float(right[best] / right.sum()) if right.sum() > 0 else 0.0
@@ -128,7 +128,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
     docs = docs.drop("lang_pred", "score")
     langs, table = model
-    fill = np.array([np.count_nonzero(table >> np.uint64(i) & np.uint64(1)) / len(table) for i in range(len(langs))])
+    fill = np.array([np.count_nonzero(table[i // WORD_BITS] >> np.uint64(i % WORD_BITS) & np.uint64(1)) / table.shape[1] for i in range(len(langs))])
     shared = docs.sparkSession.sparkContext.broadcast((langs, table, np.minimum(fill ** PROBES, 0.99)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

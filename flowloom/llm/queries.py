@@ -3,8 +3,10 @@
 from flowloom.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
+    fill_middle,
     langid,
     mixing,
+    pieces,
     pii,
     quality,
     secrets,

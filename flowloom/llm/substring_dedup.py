@@ -256,7 +256,7 @@ def _index(window: int):
         order = np.argsort(b, kind="stable")
         b, r, s, e = b[order], r[order].astype(np.int32), out_start[order].astype(np.int32), out_end[order].astype(np.int32)
         cuts = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1]))) if len(b) else np.zeros(0, np.int64)
-        parts = [slice(i, j) for i, j in zip(cuts, np.append(cuts[1:], len(b)), strict=True)]
+        parts = [slice(i, j) for i, j in zip(cuts, np.append(cuts, len(b))[1:], strict=True)]
         return pa.table({
             "block": pa.array([int(b[p.start]) for p in parts], pa.int32()), "rows": pa.array([r[p].tobytes() for p in parts], pa.binary()),
             "starts": pa.array([s[p].tobytes() for p in parts], pa.binary()), "ends": pa.array([e[p].tobytes() for p in parts], pa.binary())}, schema)
