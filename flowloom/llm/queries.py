@@ -8,6 +8,7 @@ from flowloom.llm import (  # noqa: F401
     mixing,
     pieces,
     pii,
+    prefix_trie,
     quality,
     secrets,
     sharding,
