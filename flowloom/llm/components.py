@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.common import release, store
+
 #: A node with more than edges / HUBS edges (and LEAST at least) is a hub; there are at most 2 * HUBS of them.
 HUBS, LEAST = 200, 50
 
@@ -41,15 +43,17 @@ def _mark(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long), root being the smallest node reachable.
 
-    Steps are partial aggregates and equi-joins. Each round is checkpointed and the rounds grow with the logarithm of the
-    longest chain. Only a count and a hash per round reach the driver.
+    Steps are partial aggregates and equi-joins. Each round is stored, the round before deleted, and the rounds grow with the
+    logarithm of the longest chain. Only a count and a hash per round reach the driver.
     """
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
+    edges = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     mark = _mark(edges)
     while True:
         limit = max(LEAST, mark[0] // HUBS)
-        starred = _large_star(edges, limit).checkpoint()
-        edges = _small_star(starred, limit).checkpoint()
+        starred = store(_large_star(edges, limit), "starred")
+        release(edges)
+        edges = store(_small_star(starred, limit), "edges")
+        release(starred)
         if (now := _mark(edges)) == mark:
             break
         mark = now

@@ -1,14 +1,17 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-1. Spans. One pass over the texts extracts, per kind, all matches and the stretches between them; running lengths give positions, the
-   stretch before a match is its context. ``BASE`` kinds are found as stated and always stay; ``MORE`` kinds are candidates.
-   The patterns loop over single characters only, so very long runs neither overflow the matcher's stack nor rescan.
-2. Votes. Every span is judged by labelers that may abstain: a format check (regular expression), gazetteers (top-level domains, card issuers,
-   country codes, ...), words in the context that speak for and against, and what touches the span on either side.
-3. Reliabilities. Votes are counted per kind and pattern, a table of at most kinds x 3^labelers rows, and expectation-maximisation
+1. Matches. One pass over the texts extracts, per kind, all matches and the stretches between them, as arrays that a generator turns into columns
+   of their own, so that no array is evaluated anew for each of its elements. The stretch before a match is its context. The patterns loop over single
+   characters only, so very long runs neither overflow the matcher's stack nor rescan.
+2. Positions. Matches become slim rows of (document, kind, order, lengths); running sums give their places. ``BASE`` kinds are found as
+   stated and always stay; ``MORE`` kinds are candidates, left out where they overlap a base span (running extremes over the starts).
+   Both are windows within one document, linear but for sorting, so a page that lists 100 000 addresses takes seconds.
+3. Votes. Every span is judged by labelers that may abstain: a format check (regular expression), gazetteers (top-level domains, card issuers,
+   calling codes, account lengths by country), words in the context that speak for and against, and what touches the span on either side.
+4. Reliabilities. Votes are counted per kind and pattern, a table of at most kinds x 3^labelers rows, and expectation-maximisation
    on these counts estimates each labeler's accuracy, its coverage and each kind's prior.
-4. Classifier. A logistic regression on the span's own features (kind, length class, digits, context, neighbours; at most 2^features
-   different rows after grouping) is fitted to the probabilities from step 3. Candidates it scores at ``KEEP`` or more become spans.
+5. Classifier. A logistic regression on the span's own features (kind, length class, digits, context, neighbours; at most 2^features
+   different rows after grouping) is fitted to the probabilities from step 4. Candidates it scores at ``KEEP`` or more become spans.
 
 Only the two grouped tables reach the driver; their size depends on the numbers of labelers and features, not on the data.
 
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.llm.catalog import query
@@ -42,11 +45,23 @@ MORE = (
 KINDS = [k for k, _ in BASE + MORE]
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 CONTEXT = 30
-#: Gazetteers and context words (fixed values).
-TOP_LEVEL = "com|org|net|edu|gov|info|io|co|de|fr|es|it|uk|eu|nl|ch|at|us|example|test"
-ISSUERS = "(?:4|5[1-5]|2[2-7]|3[47]|30|36|38|6011|65|62|35)"
-CALLING = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
-IBAN_COUNTRIES = "(?:DE|FR|ES|IT|NL|BE|AT|CH|GB|IE|PT|PL|SE|DK|NO|FI|LU)"
+#: Gazetteers (fixed public values): top-level domains in common use and those reserved for examples,
+TOP_LEVEL = (
+    "com net org edu gov mil int info biz name pro aero coop museum mobi jobs travel tel cat asia post xyz online site shop store tech app dev blog cloud club live news page email "
+    "ac ad ae af ag ai al am ao ar at au az ba bd be bg bh bo br by bz ca cc ch ci cl cm cn co cr cu cy cz de dk do dz ec ee eg es et eu fi fj fm fo fr ge gg gh gi gl gr gt hk hn hr "
+    "hu id ie il im in io iq ir is it je jm jo jp ke kg kh kr kw kz la lb li lk lt lu lv ly ma mc md me mg mk ml mm mn mo mt mu mv mx my mz na ng ni nl no np nz om pa pe ph pk pl pr ps "
+    "pt py qa ro rs ru rw sa se sg si sk sn so sr st su sv sy tg th tj tm tn to tr tt tv tw tz ua ug uk us uy uz va ve vn ws ye za zm zw example test invalid localhost").split()
+#: leading digits of card issuers, digits of calling codes,
+ISSUERS = "(?:4|5[0-8]|2[2-7]|3[0-9]|6)"
+CALLING = "(?:1|7|2[07]|2[1-69][0-9]|3[0-469]|3[578][0-9]|4[013-9]|42[0-9]|5[1-8]|5[09][0-9]|6[0-6]|6[7-9][0-9]|8[1246]|8[0578][0-9]|9[0-58]|9[679][0-9])"
+#: and lengths of account numbers by country.
+ACCOUNT_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "XK": 20,
+}
+#: Context words (fixed values).
 FOR = r"(?i)(?:e-?mail|mail|contact|phone|tel|call|fax|mobile|card|visa|account|iban|ssn|social|address|server|host|ip|reach|write)[^\x20]{0,3}(?:\x20[^\x20]{0,4})?\x20?$"
 AGAINST = r"(?i)(?:version|isbn|order|sku|part|page|chapter|section|serial|model|doi|rev|build)[^\x20]{0,3}\x20?$"
 STEPS, KEEP = 60, 0.5
@@ -70,7 +85,7 @@ def _passes(kind: str, value: Column) -> Column:
 
 def _format(kind: str, v: Column) -> Column:
     return {
-        "email": F.rlike(v, F.lit(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,10}$")),
+        "email": F.rlike(v, F.lit(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,10}$")),
         "ip": F.rlike(v, F.lit(r"^(?:[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$")),
         "card": F.rlike(v, F.lit(r"^(?:[0-9]{14,16}|[0-9]{4}(?:[\x20-][0-9]{4}){3})$")),
         "phone": F.rlike(v, F.lit(r"^\+[0-9]{1,3}[\x20(.-]")),
@@ -81,49 +96,66 @@ def _format(kind: str, v: Column) -> Column:
 
 
 def _listed(kind: str, v: Column) -> Column:
+    if kind == "email":
+        return F.lower(F.substring_index(v, ".", -1)).isin(TOP_LEVEL)
+    if kind == "iban":
+        own = F.regexp_replace(v, r"\x20", "")
+        return F.concat(F.left(own, F.lit(2)), F.length(own).cast("string")).isin([f"{c}{n}" for c, n in ACCOUNT_LENGTHS.items()])
     return {
-        "email": F.rlike(v, F.lit(rf"(?i)\.(?:{TOP_LEVEL})$")), "ip": ~F.rlike(v, F.lit(r"^0|^[0-9]\.[0-9]\.[0-9]\.[0-9]$")),
-        "card": F.rlike(digits(v), F.lit(f"^{ISSUERS}")), "phone": F.rlike(digits(v), F.lit(f"^{CALLING}")),
-        "tel": F.rlike(v, F.lit(r"^\(?[2-9][0-8]")), "ssn": F.rlike(v, F.lit("^[0-8]")), "iban": F.rlike(v, F.lit(f"^{IBAN_COUNTRIES}")),
+        "ip": ~F.rlike(v, F.lit(r"^0|^[0-9]\.[0-9]\.[0-9]\.[0-9]$")), "card": F.rlike(digits(v), F.lit(f"^{ISSUERS}")), "phone": F.rlike(digits(v), F.lit(f"^{CALLING}")),
+        "tel": F.rlike(v, F.lit(r"^\(?[2-9][0-8]")), "ssn": F.rlike(v, F.lit("^[0-8]")),
     }[kind]
 
 
-def spans_of(kind: str, pattern: str, text: Column) -> Column:
-    """All passing matches of one kind with their positions, votes (-1 abstains) and features."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    ends = F.aggregate(
-        F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).cast("long").alias("g"), F.length(m).cast("long").alias("m"))),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("ends")),
-        lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            (acc["at"] + x["g"] + x["m"]).alias("at"), F.array_append(acc["ends"], acc["at"] + x["g"] + x["m"]).alias("ends"))),
-    )["ends"]
-
-    def vote(yes: Column, no: Column) -> Column:
-        return F.when(yes, 1).when(no, 0).otherwise(-1)
-
-    def span(i: Column) -> Column:
-        v, end = found[i], ends[i]
-        before, after = F.right(gaps[i], F.lit(CONTEXT)), F.left(gaps[i + 1], F.lit(1))
-        well, listed = _format(kind, v), _listed(kind, v)
-        cue, counter = F.rlike(before, F.lit(FOR)), F.rlike(before, F.lit(AGAINST))
-        touched = F.rlike(F.concat(F.right(before, F.lit(1)), F.lit(" "), after), F.lit(r"^[\p{L}\p{N}_/#]|[\p{L}\p{N}_/#]$"))
-        never = F.lit(False)
-        votes = F.array(vote(well, ~well), vote(listed, ~listed), vote(cue, never), vote(never, counter), vote(never, touched))
-        flags = [F.length(v) >= 16, F.length(digits(v)) >= 10, cue, counter, touched, listed]
-        return F.struct(F.lit(kind).alias("kind"), (end - F.length(v)).alias("start"), end.alias("end"), _passes(kind, v).alias("ok"),
-                        votes.alias("votes"), F.array(*[f.cast("int") for f in flags]).alias("flags"))
-    each = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(F.transform(each, span), lambda s: s["ok"])
-
-
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, more): arrays of spans per document; candidates that overlap a base span are left out."""
+def _vote(yes: Column, no: Column) -> Column:
+    return F.when(yes, 1).when(no, 0).otherwise(-1)
+
+
+def _judged(kind: str, v: Column, before: Column, after: Column) -> tuple[Column, Column]:
+    """Votes (-1 abstains) and features of a match between ``before`` and ``after``."""
+    well, listed = _format(kind, v), _listed(kind, v)
+    cue, counter = F.rlike(before, F.lit(FOR)), F.rlike(before, F.lit(AGAINST))
+    touched = F.rlike(F.concat(F.right(before, F.lit(1)), F.lit(" "), after), F.lit(r"^[\p{L}\p{N}_/#]|[\p{L}\p{N}_/#]$"))
+    never = F.lit(False)
+    votes = [_vote(well, ~well), _vote(listed, ~listed), _vote(cue, never), _vote(never, counter), _vote(never, touched)]
+    flags = [F.length(v) >= 16, F.length(digits(v)) >= 10, cue, counter, touched, listed]
+    return F.array(*votes), F.array(*[f.cast("int") for f in flags])
+
+
+def _matches(number: int, kind: str, found: str, gaps: str) -> Column:
+    """One kind's matches in order, each with the length of what lies before it."""
+    rows = F.arrays_zip(F.col(found).alias("v"), F.col(gaps).alias("g"), F.slice(F.col(gaps), 2, F.size(gaps)).alias("next"))
+
+    def match(x: Column, i: Column) -> Column:
+        v, before, after = x["v"], F.right(x["g"], F.lit(CONTEXT)), F.left(F.coalesce(x["next"], F.lit("")), F.lit(1))
+        votes, flags = _judged(kind, v, before, after)
+        length = F.length(v).cast("long")
+        return F.struct(F.lit(number).alias("kind"), i.alias("i"), (F.length(x["g"]) + length).alias("step"), length.alias("length"), _passes(kind, v).alias("ok"),
+                        votes.alias("votes"), flags.alias("flags"))
+    return F.transform(F.filter(rows, lambda x: x["v"].isNotNull()), match)
+
+
+def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, id, found): a number for each document and its matches of all kinds."""
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    found = text.select(
-        "id", F.concat(*[spans_of(k, p, F.col("t")) for k, p in BASE]).alias("base"), F.concat(*[spans_of(k, p, F.col("t")) for k, p in MORE]).alias("more"))
-    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
-    return found.select("id", "base", apart.alias("more"))
+    arrays = []
+    for n, (_, pattern) in enumerate(BASE + MORE):
+        arrays += [F.regexp_extract_all("t", F.lit(pattern), F.lit(0)).alias(f"m{n}"), F.split("t", pattern).alias(f"g{n}")]
+    # the generator makes columns of the arrays: they are evaluated once, whatever names them later
+    apart = text.select("id", F.inline(F.array(F.struct(*arrays))))
+    return apart.select(F.monotonically_increasing_id().alias("row"), "id", F.concat(*[_matches(n, k, f"m{n}", f"g{n}") for n, k in enumerate(KINDS)]).alias("found"))
+
+
+def placed(found: DataFrame) -> DataFrame:
+    """(row, kind, start, end, base, votes, flags): base spans, and candidates that overlap none."""
+    each = found.select("row", F.explode("found").alias("x")).select("row", "x.*").repartition("row")
+    so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = each.withColumn("end", F.sum("step").over(so_far)).where("ok").withColumns({"start": F.col("end") - F.col("length"), "base": F.col("kind") < len(BASE)})
+    up = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, -1)
+    open_till, next_start = F.max(F.when(F.col("base"), F.col("end"))).over(up), F.min(F.when(F.col("base"), F.col("start"))).over(down)
+    apart = (F.coalesce(open_till, F.lit(0)) <= F.col("start")) & (F.coalesce(next_start, F.col("end")) >= F.col("end"))
+    return spans.withColumn("apart", apart).where("base or apart").select("row", "kind", "start", "end", "base", "votes", "flags")
 
 
 def _sigmoid(x: float) -> float:
@@ -178,47 +210,47 @@ def fit_classifier(rows: list[tuple[list[float], float, float]], ridge: float =
     return w
 
 
-def learn(found: DataFrame) -> list[float] | None:
+def learn(spans: DataFrame) -> list[float] | None:
     """Weights for (1, kinds, features), or None where there is nothing to learn from."""
-    each = found.select(F.explode(F.concat("base", "more")).alias("s"))
-    grouped = each.groupBy("s.kind", "s.votes", "s.flags").agg(F.count("*").alias("n"))
-    rows = grouped.collect()  # at most kinds x 3^labelers x 2^features; the features follow from nearly the same facts as the votes
+    rows = spans.groupBy("kind", "votes", "flags").agg(F.count("*").alias("n")).collect()  # at most kinds x 3^labelers x 2^features, and features follow from nearly the same facts as votes
     if not rows:
         return None
     patterns: dict[tuple[str, tuple[int, ...]], int] = {}
     for r in rows:
-        patterns[r["kind"], tuple(r["votes"])] = patterns.get((r["kind"], tuple(r["votes"])), 0) + r["n"]
+        patterns[KINDS[r["kind"]], tuple(r["votes"])] = patterns.get((KINDS[r["kind"]], tuple(r["votes"])), 0) + r["n"]
     prior, dist = reliabilities([(k, v, n) for (k, v), n in sorted(patterns.items())])
     merged: dict[tuple, list[float]] = {}
     for r in rows:
-        p = posterior(r["kind"], tuple(r["votes"]), prior, dist)
-        x = merged.setdefault((r["kind"], tuple(r["flags"])), [0.0, 0.0])
+        p = posterior(KINDS[r["kind"]], tuple(r["votes"]), prior, dist)
+        x = merged.setdefault((KINDS[r["kind"]], tuple(r["flags"])), [0.0, 0.0])
         x[0] += r["n"] * p
         x[1] += r["n"] * (1 - p)
     return fit_classifier([([1.0, *[float(k == kind) for kind in KINDS], *map(float, flags)], one, zero) for (k, flags), (one, zero) in sorted(merged.items())])
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, spans): base spans, and all spans with the candidates that the classifier keeps."""
-    found = store(candidates(docs, id_col, text_col), "spans")
-    weights = learn(found)
+    """(id, base, spans): base spans, and all spans with the candidates that the classifier keeps, in order of start and kind."""
+    found = store(matches(docs, id_col, text_col), "matches")
+    spans = store(placed(found), "spans")
+    weights = learn(spans)
     if weights is None:
-        return found.select("id", "base", F.col("base").alias("spans"))
-    by_kind = dict(zip(KINDS, weights[1:], strict=False))
-    own = weights[1 + len(KINDS):]
+        score = F.lit(0.0)
+    else:
+        of_kind = F.element_at(F.array(*[F.lit(w) for w in weights[1:1 + len(KINDS)]]), F.col("kind") + 1)
+        score = F.lit(weights[0]) + of_kind + sum((F.col("flags")[i] * F.lit(w) for i, w in enumerate(weights[1 + len(KINDS):])), F.lit(0.0))
+    kept = spans.where(F.col("base") | (score >= math.log(KEEP / (1 - KEEP)))).select("row", F.struct("start", "kind", "end").alias("s"))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    whole = kept.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("s"))  # bounded by one document's spans
+    whole = found.select("row", "id").join(whole, "row", "left").select("id", F.coalesce("s", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")).alias("s"))
 
-    def score(s: Column) -> Column:
-        of_kind = F.element_at(F.create_map(*[F.lit(x) for kv in by_kind.items() for x in kv]), s["kind"])
-        return F.lit(weights[0]) + of_kind + sum((s["flags"][i] * F.lit(w) for i, w in enumerate(own)), F.lit(0.0))
-    limit = math.log(KEEP / (1 - KEEP))
-    return found.select("id", "base", F.concat("base", F.filter("more", lambda s: score(s) >= limit)).alias("spans"))
+    def named(s: Column) -> Column:
+        return F.transform(s, lambda x: F.struct(F.element_at(names, x["kind"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    return whole.select("id", named(F.filter("s", lambda x: x["kind"] < len(BASE))).alias("base"), named(F.col("s")).alias("spans"))
 
 
 def listing(spans: Column) -> Column:
-    """kind:start:end by start, then kind as listed, joined by commas."""
-    order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.element_at(order, s["kind"]).alias("o"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return F.array_join(F.transform(F.sort_array(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    """kind:start:end of spans in order, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 @query("op6_pii")

@@ -224,16 +224,20 @@ def _edges(radius: int):
     return run
 
 
-def near_components(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint of ``fps`` (id, fp; a stored table)."""
-    distinct = store(fps.groupBy("fp").agg(F.min("id").alias("first_id")), "fps")
+def near_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Tree edges (a, b) among distinct fingerprints (fp; a stored table), with the components of all links within the radius."""
     n = distinct.count()
     sample = [r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").select("fp").limit(SAMPLE).collect()]  # at most SAMPLE values
     masks = probe_masks(np.array(sample, np.int64).view(np.uint64), n, radius)
     ways = F.array(*[F.struct(F.lit(i).alias("way"), F.lit(_signed(x)).cast("long").alias("mask")) for i, x in enumerate(masks)])
     probes = distinct.select("fp", F.explode(ways).alias("w")).select(F.xxhash64("w.way", F.col("fp").bitwiseAND(F.col("w.mask"))).alias("key"), "fp")
-    edges = probes.repartition("key").sortWithinPartitions("key").mapInArrow(_edges(radius), "a long, b long")
-    roots = connected_components(edges)
+    return probes.repartition("key").sortWithinPartitions("key").mapInArrow(_edges(radius), "a long, b long")
+
+
+def near_components(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, component_id) for every distinct fingerprint of ``fps`` (id, fp; a stored table)."""
+    distinct = store(fps.groupBy("fp").agg(F.min("id").alias("first_id")), "fps")
+    roots = connected_components(near_edges(distinct, radius))
     rooted = store(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "roots")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(ids, "root").select("fp", "component_id")
