@@ -35,16 +35,15 @@ def datasource_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, ts: str = "t
     ).agg(F.count(F.lit(1)).alias("events"))
 
 
-def window_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, container: str = "0", task: str = "0",
-                  ts: str = "timestamp", prefix: str = "samza") -> DataFrame:
-    """Monitor rows of the message counters, stamped with the end of their window and named after ``prefix``.
+def monitor_rows(counts: DataFrame, seconds: int = WINDOW_SECONDS, container: str = "0", task: str = "0",
+                 prefix: str = "task") -> DataFrame:
+    """Monitor rows of :func:`datasource_counts`, stamped with the end of their window and named after ``prefix``.
 
-    The namespace is the last ``_`` part of a datasource name with three or more parts.
+    The namespace is the last ``_`` part of a datasource name with three or more parts. Windows that counted nothing give no row.
     """
-    counts = datasource_counts(df, seconds, ts)
     parts = F.split("datasource", "_")
     spaced = (F.size(parts) >= 3) & (F.col("datasource") != "rb_loc_post")
-    return counts.filter(F.col("datasource").isNotNull()).select(
+    return counts.filter(F.col("datasource").isNotNull() & (F.col("events") > 0)).select(
         (F.col("window_start") + seconds).alias("timestamp"),
         F.lit("enrichmentstreamtask").alias("type"),
         F.lit("enrichmentstreamtask_messages").alias("monitor"),
@@ -54,6 +53,11 @@ def window_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, container: str =
     )
 
 
+def window_counts(df: DataFrame, seconds: int = WINDOW_SECONDS, ts: str = "timestamp", **names: str) -> DataFrame:
+    """Monitor rows of the message counters of ``df``; ``names`` as in :func:`monitor_rows`."""
+    return monitor_rows(datasource_counts(df, seconds, ts), seconds, **names)
+
+
 def stream_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
     """Rows per topic family and namespace; unknown families count under an empty name."""
     family = F.coalesce(*[F.when(F.contains(F.col(topic), F.lit(f)), F.lit(f)) for f in FAMILIES], F.lit(""))
@@ -63,24 +67,30 @@ def stream_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
 
 
 def with_prev_window_count(df: DataFrame, counts: DataFrame | None = None, seconds: int = WINDOW_SECONDS,
-                           ts: str = "timestamp") -> DataFrame:
+                           ts: str = "timestamp", first: DataFrame | None = None, since: int | None = None) -> DataFrame:
     """Add ``flows_count``: rows of the same datasource in the window before this one.
 
     Once a datasource has appeared its counter stays known and an idle window counts zero; before its
     first completed window the value is NULL. ``counts`` may come from a written
-    :func:`datasource_counts` table; it is far smaller than the data and broadcast when its size allows.
+    :func:`datasource_counts` table; it is far smaller than the data and broadcast when its size allows. Where it holds only
+    the windows from ``since`` on, ``first`` (datasource, window_start) tells when each datasource appeared, and rows whose window
+    before is older than ``since`` get NULL.
     """
     counts = datasource_counts(df, seconds, ts) if counts is None else counts
-    first = counts.groupBy("datasource").agg(F.min("window_start").alias("_first"))
+    first = counts.groupBy("datasource").agg(F.min("window_start").alias("window_start")) if first is None else first
+    first = first.select("datasource", F.col("window_start").alias("_first"))
     prev = counts.select(
         F.col("datasource").alias("_ds"), (F.col("window_start") + seconds).alias("_next"), F.col("events").alias("_n"))
     start = _window_start(F.col(ts), seconds)
     # one row per datasource and window that occurs, so the wide rows are joined once
     table = counts.join(first, "datasource", "left").join(
         prev, (F.col("datasource") == F.col("_ds")) & (F.col("window_start") == F.col("_next")), "left")
+    known = F.col("window_start") > F.col("_first")
+    if since is not None:
+        known = known & (F.col("window_start") - seconds >= since)
     table = table.select(
         F.col("datasource").alias("_ds"), F.col("window_start").alias("_ws"),
-        F.when(F.col("window_start") > F.col("_first"), F.coalesce(F.col("_n"), F.lit(0))).alias("flows_count"))
+        F.when(known, F.coalesce(F.col("_n"), F.lit(0))).alias("flows_count"))
     rows = df.drop("flows_count").withColumn("_start", start)
     hit = (F.col("datasource") == F.col("_ds")) & (F.col("_start") == F.col("_ws"))
     return rows.join(table, hit, "left").drop("_start", "_ds", "_ws")

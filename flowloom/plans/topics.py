@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom import fields
+from flowloom.operators import counters, metrics, nmsp, records
 from flowloom.operators import location as loc
-from flowloom.operators import metrics, nmsp, records
 from flowloom.operators.lookup import Enricher, Store, enrich_record
 from flowloom.plans.states import attach_states
 from flowloom.sources.topics import SEQUENCE
 
 Step = Callable[[DataFrame, "Context"], DataFrame]
 
+# Base datasource under which a topic's records are counted; the other topics have no counter.
+COUNTED = {fields.FLOW: "rb_flow", fields.STATE: "rb_state", fields.NMSP: "rb_location", fields.LOC: "rb_location", fields.RADIUS: "rb_location"}
+
+#: marks records that are counted but not sent on
+PUBLISH = "_publish"
+CLOCK = "_clock"
+
 # Enrichers of each topic, in order.
 TOPIC_ENRICHERS = {
     fields.FLOW: ["mac_vendor", "geo_ip", "mac_hashing"],
@@ -69,8 +77,8 @@ def _state(df: DataFrame, c: Context) -> DataFrame:
 
 def _nmsp(df: DataFrame, c: Context) -> DataFrame:
     info = nmsp.nmsp_info(df, c.now)
-    measures = nmsp.nmsp_measure(df, nmsp.info_state(info), c.rssi_limit, c.now)
-    rows = measures.unionByName(info, allowMissingColumns=True)
+    measures = nmsp.judge_measures(nmsp.pair_with_info(df, nmsp.info_state(info), c.now), c.rssi_limit).drop("_stale")
+    rows = measures.unionByName(info.withColumn(PUBLISH, F.lit(True)), allowMissingColumns=True)
     return enrich_record(c.known(rows), c.stores, c.chain(fields.NMSP), own_wins=True)
 
 
@@ -109,12 +117,15 @@ def register(topic: str, *steps: Step, append: bool = False) -> None:
     REGISTRY[topic] = [*(REGISTRY.get(topic, []) if append else []), *steps]
 
 
-def run_topic(df: DataFrame, topic: str, context: Context | None = None) -> list[DataFrame]:
-    """Outputs of the topic's steps, each of which reads the topic itself.
+class Outputs(list):
+    """The record frames of a topic's steps; with windows also ``counts`` (datasource, window_start, events) and ``monitor`` rows."""
 
-    An unknown topic, or an enricher name that nobody supplied, raises here rather than at run time. Rows without a
-    sequence column (see :func:`flowloom.sources.topics.read_topic`) are numbered in file order.
-    """
+    counts: DataFrame | None = None
+    monitor: DataFrame | None = None
+
+
+def run_steps(df: DataFrame, topic: str, context: Context | None = None) -> list[DataFrame]:
+    """The steps' frames as they are, with records that are only counted (:data:`PUBLISH` false) and the clock column, where kept."""
     if topic not in REGISTRY:
         raise KeyError(f"no steps registered for topic {topic!r}")
     context = context or Context()
@@ -127,6 +138,54 @@ def run_topic(df: DataFrame, topic: str, context: Context | None = None) -> list
     return [step(df, context) for step in REGISTRY[topic]]
 
 
+def run_topic(df: DataFrame, topic: str, context: Context | None = None, window_seconds: int | None = None) -> Outputs:
+    """Outputs of the topic's steps, each of which reads the topic itself.
+
+    An unknown topic, or an enricher name that nobody supplied, raises here rather than at run time. Rows without a
+    sequence column (see :func:`flowloom.sources.topics.read_topic`) are numbered in file order.
+
+    With ``window_seconds`` the records of a counted topic (:data:`COUNTED`) get ``flows_count``, what their datasource counted in the
+    window before, and the result has the counts and their monitor rows. Windows follow the processing time of a flow or state record,
+    else the record's own time; a flow counts once per slice. In batch the counts are a second pass over the steps;
+    a stream computes records once per micro-batch (:func:`flowloom.streaming.topics.topic_sink`).
+    """
+    if window_seconds is not None and topic in COUNTED:
+        df = with_clock(df, context)
+    frames = run_steps(df, topic, context)
+    if window_seconds is None or topic not in COUNTED:
+        return Outputs(published(f).drop(CLOCK) for f in frames)
+    named = [name_and_clock(f, topic) for f in frames]
+    counts = count_frames(named, window_seconds)
+    out = Outputs(counters.with_prev_window_count(published(f), counts, window_seconds, CLOCK).drop("datasource", CLOCK) for f in named)
+    out.counts, out.monitor = counts, counters.monitor_rows(counts, window_seconds)
+    return out
+
+
+def published(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(PUBLISH)).drop(PUBLISH) if PUBLISH in df.columns else df
+
+
+def with_clock(df: DataFrame, context: Context | None) -> DataFrame:
+    timed = df if "timestamp" in df.columns or "arrival" in df.columns else None
+    now = context.now if context else None
+    return df.withColumn(CLOCK, nmsp.arrival(df, now).cast("bigint")) if timed is not None or now is not None else df
+
+
+def name_and_clock(df: DataFrame, topic: str) -> DataFrame:
+    """Records with the datasource that counts them and the time by which they are counted."""
+    namespace = F.col("namespace_uuid") if "namespace_uuid" in df.columns else F.lit(None).cast("string")
+    at = F.col(CLOCK) if CLOCK in df.columns else F.col("timestamp").cast("bigint")
+    return df.withColumns({"datasource": counters.datasource_name(COUNTED[topic], namespace), CLOCK: at})
+
+
+def count_frames(named: Sequence[DataFrame], seconds: int) -> DataFrame:
+    """Counts per datasource and window over all frames of :func:`name_and_clock`."""
+    each = [counters.datasource_counts(f.filter(F.col(CLOCK).isNotNull()), seconds, CLOCK) for f in named]
+    if len(each) == 1:
+        return each[0]
+    return reduce(DataFrame.unionByName, each).groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
+
+
 def meraki_step(df: DataFrame, c: Context) -> DataFrame:
     """Cloud-controller topic, for :func:`register`; it is not wired by default."""
     return enrich_record(loc.meraki(df), c.stores, (), own_wins=True)

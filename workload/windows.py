@@ -172,7 +172,7 @@ def named_flows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("window_counts", oracle("""
-select ws + 60 as "timestamp", 'enrichmentstreamtask' as type, 'enrichmentstreamtask_messages' as monitor, 'samza-0-0-' || datasource as sensor_name,
+select ws + 60 as "timestamp", 'enrichmentstreamtask' as type, 'enrichmentstreamtask_messages' as monitor, 'task-0-0-' || datasource as sensor_name,
   n as value, case when len(string_split(datasource, '_')) >= 3 then string_split(datasource, '_')[-1] end as namespace_uuid
 from (select datasource, "timestamp" - "timestamp" % 60 as ws, count(*) as n from named group by 1, 2) t""", NAMED))
 def window_counts(spark: SparkSession, sf: str) -> DataFrame:
