@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: windows that a long stretch is searched for at a time
+PART = 96
+
 
 class Bits:
     """A packed bit vector with rank."""
@@ -80,9 +83,13 @@ class FmIndex:
     def matching(self, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every window of ``depth`` symbols in the given stretches of the text: (position, first row of its interval).
 
-        All stretches are read from right to left at once. Each step drops the rightmost symbol by widening to the rows that share
-        depth - 1 symbols, then extends to the left by one backward-search step.
+        All stretches are read from right to left at once, long ones in parts of ``PART`` windows. Each step drops the rightmost symbol by
+        widening to the rows that share depth - 1 symbols, then extends to the left by one backward-search step.
         """
+        parts = np.maximum(1, -(-(lengths - self.depth + 1) // PART))
+        part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        starts = np.repeat(starts, parts) + part * PART
+        lengths = np.minimum(np.repeat(lengths, parts) - part * PART, PART + self.depth - 1)
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], lengths[order]
         positions, rows = [], []

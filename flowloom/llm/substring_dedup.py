@@ -2,28 +2,29 @@
 
 A shard holds every stretch of text that could match another one in it, so no document needs to be streamed through all shards:
 
-1. Blocks. Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash of their id, one shuffle that later steps reuse.
+1. Blocks. Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash of their id and text, one shuffle that later steps reuse.
 2. Minimisers. The smallest hash among the ``GRAM``-word grams of a window names it; equal windows have equal names, and neighbouring
    windows mostly share one (about one name per eight words). A name seen once in the whole corpus cannot repeat: only names that
    occur twice are answered to the blocks.
-3. Shards. Stretches of windows with a repeated name go, as text, to the shard of that name; equal stretches of a block go once,
-   with all their places. Names with more than ``HOT`` different stretches are split into single windows dealt by their own
-   hash, so a name shared by a third of all documents does not meet in one shard.
+3. Shards. Stretches of windows with a repeated name go, as text, to the shard of that name, each different stretch of a block once and with
+   its earliest place only: the block's other places of it are known to be repeats and stay where they are. So a passage that a third of all
+   documents share sends one row per block. Names with more than ``HOT`` different stretches are split into single windows dealt by their own hash.
 4. Index. Each shard builds an FM-index (wavelet matrix over the Burrows-Wheeler column) of its distinct stretches and streams them
-   through it: backward search yields, per window, the interval of equal windows; the smallest (doc_id, start) there is the one that stays.
-5. The intervals above the threshold go back to the blocks, where the words are taken out.
+   through it: backward search yields, per window, the interval of equal windows; the smallest (doc_id, text hash, start) there is the one that stays.
+5. The verdicts go back to the blocks, where the words are taken out.
 
-Words are compared as text from step 3 on, so hashes only route. Groups are bounded: a block by bytes, a shard by the number of
-shards (two per block) and step 3's splitting.
+Words are compared as text from step 3 on, so hashes only route. Groups are bounded: a block by bytes, a shard by the number of shards (two per
+block), the pre-aggregation and the splitting of step 3.
 
 Defined results: a null text has no words; a null id sorts after all others; rows that share an id are one document only
-if their texts are equal too, and equal rows keep the same words; texts below ``WINDOW`` words lose nothing; an empty table gives an
-empty result; other columns are ignored.
+if their texts are equal too (else the smaller text hash counts as the earlier document), and equal rows keep the same words; texts below
+``WINDOW`` words lose nothing; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.catalog import query
-from flowloom.llm.common import documents
+from flowloom.llm.common import documents, store
 from flowloom.llm.fmindex import FmIndex
 
 WINDOW, GRAM = 20, 6
@@ -159,8 +160,13 @@ def _repeated(batches):
         yield out(*held)
 
 
+#: A block's distinct stretch: its shard, number in the block, words, earliest place, and all its places as (row, start) in the block.
+STRETCH = "shard int, block int, no int, words binary, id long, mark long, start int, windows int, rows binary, starts binary"
+
+
 def _stretches(window: int, gram: int, shards: int):
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("words", pa.binary()), ("ids", pa.binary()), ("rows", pa.binary()), ("starts", pa.binary())])
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in STRETCH.split(", "))])
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
@@ -191,90 +197,112 @@ def _stretches(window: int, gram: int, shards: int):
         for s, (a, b) in zip(shard, plain.tolist(), strict=True):
             places.setdefault((s, b" ".join(words[a:b + window - 1])), []).append(a)
         out: dict[str, list] = {f.name: [] for f in schema}
-        for (s, text), at in places.items():
-            at = np.array(at)
+        for no, ((s, text), at) in enumerate(places.items()):
+            at = np.array(at)  # ascending, so the earliest place (id, mark, start) comes first
             row = block.doc[at]
-            out["shard"].append(s)
-            out["block"].append(number)
-            out["words"].append(text)
-            out["ids"].append(block.ids[row].tobytes())
-            out["rows"].append(row.astype(np.int32).tobytes())
-            out["starts"].append((at - block.offsets[row]).astype(np.int32).tobytes())
+            start = (at - block.offsets[row]).astype(np.int32)
+            for name, value in zip(out, (s, number, no, text, int(block.ids[row[0]]), int(block.marks[row[0]]), int(start[0]), text.count(b" ") + 2 - window,
+                                         row.astype(np.int32).tobytes(), start.tobytes()), strict=True):
+                out[name].append(value)
         return pa.table(out, schema)
     return run
 
 
+#: What a shard says about a block's stretches: numbers of those repeated as a whole, and (number, offset) of single repeated windows.
+VERDICT = "block int, whole binary, nos binary, offsets binary"
+
+
 def _index(window: int):
-    schema = pa.schema([("block", pa.int32()), ("rows", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
+    schema = pa.schema([("block", pa.int32()), *[(c, pa.binary()) for c in ("whole", "nos", "offsets")]])
 
     def run(table: pa.Table) -> pa.Table:
-        numbers: dict[bytes, int] = {}
-        kind = np.array([numbers.setdefault(w, len(numbers)) for w in table.column("words").to_pylist()])
-        blocks = table.column("block").to_numpy()
-        unpack = {c: [np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("ids", np.int64), ("rows", np.int32), ("starts", np.int32))}
-        times = np.array([len(x) for x in unpack["rows"]])
-        ids, rows, starts = (np.concatenate(unpack[c]) for c in ("ids", "rows", "starts"))
-        kinds, blocks = np.repeat(kind, times), np.repeat(blocks, times)
+        words = table.column("words").combine_chunks()
+        coded = words.dictionary_encode()
+        kind = coded.indices.to_numpy().astype(np.int64)
+        block, no, ids, marks, starts = (table.column(c).to_numpy() for c in ("block", "no", "id", "mark", "start"))
         # the distinct stretches as symbols, each ended by 0
         symbols: dict[bytes, int] = {}
         text: list[int] = []
-        lengths = np.zeros(len(numbers), np.int64)
-        for words, k in numbers.items():
-            found = words.split()
+        distinct = coded.dictionary.to_pylist()
+        lengths = np.zeros(len(distinct), np.int64)
+        for k, stretch in enumerate(distinct):
+            found = stretch.split()
             lengths[k] = len(found)
             text += [symbols.setdefault(w, len(symbols) + 1) for w in found]
             text.append(0)
         text = np.array(text, np.int64)
         offsets = np.concatenate(([0], np.cumsum(lengths + 1)))[:-1]
         # earliest place of each stretch; every other place of it repeats all its windows
-        order = np.lexsort((rows, starts, ids, kinds))
-        new = np.concatenate(([True], kinds[order][1:] != kinds[order][:-1]))
+        order = np.lexsort((starts, marks, ids, kind))
+        new = np.concatenate(([True], kind[order][1:] != kind[order][:-1]))
         earliest = order[new]
-        first_of = earliest[kinds]
-        copied = (ids > ids[first_of]) | (starts > starts[first_of])
-        index = FmIndex(text, window)
-        at, interval = index.matching(offsets, lengths)
+        copied = np.ones(len(kind), bool)
+        copied[earliest] = False
+        at, interval = FmIndex(text, window).matching(offsets, lengths)
         owner = np.searchsorted(offsets, at, side="right") - 1
-        from_id, from_start = ids[earliest[owner]], starts[earliest[owner]] + (at - offsets[owner])
-        order = np.lexsort((from_start, from_id, interval))
+        offset = at - offsets[owner]
+        row = earliest[owner]
+        from_id, from_mark, from_start = ids[row], marks[row], starts[row] + offset
+        order = np.lexsort((from_start, from_mark, from_id, interval))
         new = np.concatenate(([True], interval[order][1:] != interval[order][:-1])) if len(order) else np.zeros(0, bool)
         head = order[new][np.cumsum(new) - 1]  # the earliest window of each interval
-        repeats = (from_id[order] > from_id[head]) | (from_start[order] > from_start[head])
+        repeats = (from_id[order] != from_id[head]) | (from_mark[order] != from_mark[head]) | (from_start[order] != from_start[head])
         gone = order[repeats]
-        gone_rows = earliest[owner[gone]]
-        # a stretch's other rows with the same id and start (equal rows of the table) lose the same windows
-        twins = np.flatnonzero(~copied & (np.arange(len(kinds)) != first_of))
-        more_rows, more_starts = [], []
-        for t in twins.tolist():
-            mine = gone[owner[gone] == kinds[t]]
-            more_rows.append(np.full(len(mine), t))
-            more_starts.append(starts[t] + at[mine] - offsets[kinds[t]])
-        out_rows = np.concatenate([np.flatnonzero(copied), gone_rows, *more_rows]).astype(np.int64)
-        out_start = np.concatenate([starts[copied], from_start[gone], *more_starts]).astype(np.int64)
-        out_end = np.concatenate([starts[copied] + lengths[kinds[copied]], from_start[gone] + window, *[s + window for s in more_starts]])
-        b, r = blocks[out_rows], rows[out_rows]
-        order = np.argsort(b, kind="stable")
-        b, r, s, e = b[order], r[order].astype(np.int32), out_start[order].astype(np.int32), out_end[order].astype(np.int32)
-        cuts = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1]))) if len(b) else np.zeros(0, np.int64)
-        parts = [slice(i, j) for i, j in zip(cuts, np.append(cuts, len(b))[1:], strict=True)]
-        return pa.table({
-            "block": pa.array([int(b[p.start]) for p in parts], pa.int32()), "rows": pa.array([r[p].tobytes() for p in parts], pa.binary()),
-            "starts": pa.array([s[p].tobytes() for p in parts], pa.binary()), "ends": pa.array([e[p].tobytes() for p in parts], pa.binary())}, schema)
+        of_blocks: dict[int, list] = {}
+        for slot, rows, extra in ((0, np.flatnonzero(copied), None), (1, row[gone], offset[gone])):
+            order = np.argsort(block[rows], kind="stable")
+            rows = rows[order]
+            cuts = np.flatnonzero(np.concatenate(([True], block[rows][1:] != block[rows][:-1], [True]))) if len(rows) else np.zeros(1, np.int64)
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                own = of_blocks.setdefault(int(block[rows[i]]), [b"", b"", b""])
+                own[slot] = no[rows[i:j]].astype(np.int32).tobytes()
+                if extra is not None:
+                    own[2] = extra[order[i:j]].astype(np.int32).tobytes()
+        return pa.table({"block": list(of_blocks), **{c: [own[i] for own in of_blocks.values()] for i, c in enumerate(("whole", "nos", "offsets"))}}, schema)
     return run
 
 
 def _remove(window: int, gram: int):
     schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
+    def ranges(block: Block, found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Where repeated words start and end, from the block's places and the shards' verdicts."""
+        is_place = found.column("no").is_valid().to_numpy()
+        own = found.filter(pa.array(is_place)).sort_by("no")
+        verdicts = found.filter(pa.array(~is_place))
+        if not own.num_rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        joined = {c: np.frombuffer(b"".join(own.column(c).to_pylist()), np.int32).astype(np.int64) for c in ("rows", "starts")}
+        times = np.array([len(x) // 4 for x in own.column("rows").to_pylist()])
+        first = np.concatenate(([0], np.cumsum(times)))[:-1]
+        windows = own.column("windows").to_numpy().astype(np.int64)
+        number = np.repeat(np.arange(len(times)), times)
+        row, start = joined["rows"], joined["starts"]
+        head = first[number]
+        as_head = (block.ids[row] == block.ids[row[head]]) & (block.marks[row] == block.marks[row[head]]) & (start == start[head])
+        packed = {c: np.frombuffer(b"".join(verdicts.column(c).to_pylist()), np.int32).astype(np.int64) for c in ("whole", "nos", "offsets")}
+        whole = np.zeros(len(times), bool)
+        whole[packed["whole"]] = True  # numbers run from 0 without gaps
+        gone = ~as_head | whole[number]
+        begin = block.offsets[row] + start
+        starts, ends = [begin[gone]], [(begin + windows[number] + window - 1)[gone]]
+        # the places that are the head, or equal rows of the table, lose the head's windows
+        heads = np.flatnonzero(as_head & ~gone)
+        per = np.bincount(number[heads], minlength=len(times))
+        upto = np.concatenate(([0], np.cumsum(per)))
+        for k in range(int(per.max()) if len(per) else 0):
+            some = per[packed["nos"]] > k
+            place = heads[upto[packed["nos"][some]] + k]
+            starts.append(begin[place] + packed["offsets"][some])
+            ends.append(begin[place] + packed["offsets"][some] + window)
+        return np.concatenate(starts), np.concatenate(ends)
+
     def run(table: pa.Table, found: pa.Table, with_text: bool) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
         block = Block(table, window, gram)
-        change = np.zeros(block.n + 1, np.int32)
-        for rows, starts, ends in zip(*[found.column(c).to_pylist() for c in ("rows", "starts", "ends")], strict=True):
-            base = block.offsets[np.frombuffer(rows, np.int32)]
-            np.add.at(change, base + np.frombuffer(starts, np.int32), 1)
-            np.add.at(change, base + np.frombuffer(ends, np.int32), -1)
+        begins, ends = ranges(block, found)
+        change = np.bincount(begins, minlength=block.n + 1) - np.bincount(ends, minlength=block.n + 1)
         gone = np.cumsum(change[:-1]) > 0
         totals = np.concatenate(([0], np.cumsum(gone)))
         removed = totals[block.offsets[1:]] - totals[block.offsets[:-1]]
@@ -282,7 +310,7 @@ def _remove(window: int, gram: int):
         for i, (a, b) in enumerate(zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True)):
             words = block.words[a:b]
             if removed[i]:
-                words = [words[k] for k in np.flatnonzero(~gone[a:b]).tolist()]
+                words = list(compress(words, (~gone[a:b]).tolist()))
             joined = b" ".join(words)
             digests.append(hashlib.sha256(joined).hexdigest())
             kept.append(joined.decode("utf-8", "surrogatepass") if with_text else None)
@@ -302,9 +330,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_block = dealt.groupBy("block")
     names = by_block.applyInArrow(_names(window, gram), "name long, block int, n int")
     answers = names.repartition("name").sortWithinPartitions("name").mapInArrow(_repeated, "name long, block int, hot boolean")
-    stretches = by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _stretches(window, gram, shards), "shard int, block int, words binary, ids binary, rows binary, starts binary")
-    repeats = stretches.groupBy("shard").applyInArrow(_index(window), "block int, rows binary, starts binary, ends binary")
+    stretches = store(by_block.cogroup(answers.groupBy("block")).applyInArrow(_stretches(window, gram, shards), STRETCH), "stretches")
+    verdicts = stretches.select("shard", "block", "no", "words", "id", "mark", "start").groupBy("shard").applyInArrow(_index(window), VERDICT)
+    repeats = stretches.select("block", "no", "windows", "rows", "starts").unionByName(verdicts, allowMissingColumns=True)
     remove = _remove(window, gram)
     return by_block.cogroup(repeats.groupBy("block")).applyInArrow(
         lambda table, found: remove(table, found, with_text), "id long, n_words long, n_removed long, kept_sha256 string, kept string")
