@@ -39,23 +39,45 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_substring_dedup(spark, corpus):
-    folder, docs = corpus
+def text_mark(text):
+    """Spark's xxhash64 of a text; a null one leaves the seed."""
+    value = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def without_repeats_by_hand(docs):
+    """Documents of one id are told apart by the hash of their text."""
     seen: dict = {}
     for i, text, *_ in docs:
-        words = tuple(WORD.findall(text or ""))
+        words, mark = tuple(WORD.findall(text or "")), text_mark(text)
         for s in range(len(words) - 19):
-            place = (LAST if i is None else i, s)
+            place = (LAST if i is None else i, mark, s)
             seen[words[s:s + 20]] = min(place, seen.get(words[s:s + 20], place))
     wanted = []
     for i, text, *_ in docs:
-        words = tuple(WORD.findall(text or ""))
+        words, mark = tuple(WORD.findall(text or "")), text_mark(text)
         gone = [False] * len(words)
         for s in range(len(words) - 19):
-            if seen[words[s:s + 20]] < (LAST if i is None else i, s):
+            if seen[words[s:s + 20]] < (LAST if i is None else i, mark, s):
                 gone[s:s + 20] = [True] * 20
         wanted.append({"doc_id": i, "n_words": len(words), "n_removed": sum(gone), "kept_sha256": sha(" ".join(w for w, g in zip(words, gone, strict=True) if not g))})
-    same(rows_of(spark, "op1_substring_dedup", folder), wanted, ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    return wanted
+
+
+def test_substring_dedup_of_shared_stretches(spark, tmp_path, write_corpus):
+    """Stretches shared without a repeated window, and rows without id that share an opening."""
+    stretch, opening = " ".join(f"w{i}" for i in range(18)), " ".join(f"v{i}" for i in range(25))
+    short = [(i, f"a{i} {stretch} b{i}", None, None, None) for i in range(20)]
+    assert {r["n_removed"] for r in rows_of(spark, "op1_substring_dedup", write_corpus(tmp_path / "a", short))} == {0}
+    docs = short + [(None, f"{opening} tail {i}", None, None, None) for i in range(3)] + [(7, f"{opening} other", None, None, None), (7, f"{opening} other", None, None, None), (7, f"x {opening}", None, None, None)]
+    got = rows_of(spark, "op1_substring_dedup", write_corpus(tmp_path / "b", docs))
+    same(got, without_repeats_by_hand(docs), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    assert sorted(r["n_removed"] for r in got if r["doc_id"] is None) == [25, 25, 25]
+
+
+def test_substring_dedup(spark, corpus):
+    folder, docs = corpus
+    same(rows_of(spark, "op1_substring_dedup", folder), without_repeats_by_hand(docs), ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def test_substring_dedup_hot_names(spark, edge_dir, edge_rows, monkeypatch):
