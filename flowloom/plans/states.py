@@ -27,22 +27,27 @@ def location_state(rows: DataFrame) -> DataFrame:
 
 def learned_states(nmsp_rows: DataFrame | None = None, location_rows: DataFrame | None = None, meraki_rows: DataFrame | None = None,
                    radius_rows: DataFrame | None = None, guest_rows: DataFrame | None = None, now: Column | None = None,
-                   sticky: bool = True) -> list[DataFrame]:
+                   sticky: bool = True, carried: dict[str, DataFrame] | None = None) -> list[DataFrame]:
     """``shared`` frames of :func:`flowloom.operators.asof.asof_lookup` from the topics' parsed records.
 
-    Names: ``nmsp-measure``, ``nmsp-info``, ``location`` (all three location feeds), ``radius`` and ``pms``.
+    Names: ``nmsp-measure``, ``nmsp-info``, ``location`` (all three location feeds), ``radius`` and ``pms``. ``carried`` holds, by name,
+    the latest states of earlier micro-batches, which new records of their clients are judged by; they are not part of the result.
     """
     out: list[DataFrame] = []
+    carried = carried or {}
     if nmsp_rows is not None:
         info = nmsp.info_state(nmsp.nmsp_info(nmsp_rows, now))
-        out += nmsp.client_history(info, nmsp.judge_measures(nmsp.pair_with_info(nmsp_rows, info, now)))
+        known = info if "nmsp-info" not in carried else info.unionByName(_unpacked(carried["nmsp-info"], "nmsp-info"), allowMissingColumns=True)
+        out += nmsp.client_history(info, nmsp.judge_measures(nmsp.pair_with_info(nmsp_rows, known, now)))
     resets = location.meraki_state(location.meraki(meraki_rows)) if meraki_rows is not None else None
     if location_rows is not None:
         old = location.v89_state(location.location_v89(location_rows.filter("StreamingNotification is not null"), now))
         resets = old if resets is None else old.unionByName(resets, allowMissingColumns=True)
         if "notifications" in location_rows.columns:
             new = location_rows.filter("StreamingNotification is null and notifications is not null")
-            followed = location.follow_clients(location.notifications(new, now), resets, sticky)
+            # what earlier batches left is where the client's record starts from, just as after a reset
+            start = resets if "location" not in carried else resets.unionByName(_unpacked(carried["location"], "location"), allowMissingColumns=True)
+            followed = location.follow_clients(location.notifications(new, now), start, sticky)
             out.append(location_state(location.v10_state(followed)))
     if resets is not None:
         out.append(location_state(resets))
@@ -53,6 +58,12 @@ def learned_states(nmsp_rows: DataFrame | None = None, location_rows: DataFrame
     return out
 
 
+def _unpacked(state: DataFrame, name: str) -> DataFrame:
+    """State rows with their payload as columns; removed states are left out."""
+    fields = [f.name for f in state.schema[name].dataType if f.name != "_gone"]
+    return state.filter(~F.col(f"`{name}`._gone")).select(*PLACE, *[F.col(f"`{name}`.`{f}`").alias(f) for f in fields])
+
+
 def attach_states(df: DataFrame, states: Sequence[DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Records with one struct column per learned state, as of their own time; see ``LearnedStore``."""
     return asof_lookup(df, {}, shared=states, hot_rows=hot_rows, count_on=[df]) if states else df

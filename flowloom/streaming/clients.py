@@ -13,6 +13,10 @@ from flowloom.operators import location, nmsp
 from flowloom.streaming.asof import stream_asof
 
 
+#: an association counts for INFO_TTL of event time; the store keeps it so many times as long in processing time
+KEPT = 4
+
+
 def stream_nmsp(df: DataFrame, limit: int = nmsp.RSSI_LIMIT, now: Column | None = None) -> DataFrame:
     """Measure records of a stream judged against the associations seen so far (``_publish``, ``_stale`` kept)."""
     info = nmsp.info_state(nmsp.nmsp_info(df, now))
@@ -20,7 +24,7 @@ def stream_nmsp(df: DataFrame, limit: int = nmsp.RSSI_LIMIT, now: Column | None
     measures = measures.withColumn("_now", nmsp.arrival(df, now).cast("bigint"))
     measures = measures.withColumn("timestamp", F.coalesce(F.col("timestamp").cast("bigint"), F.col("_now")))
     spare = [c for c in (*nmsp.INFO_FIELDS, "dot11_status", "vlan_id") if c in measures.columns]
-    paired = stream_asof(measures.drop(*spare), {"_info": info}, nmsp.KEYS)
+    paired = stream_asof(measures.drop(*spare), {"_info": info}, nmsp.KEYS, ttl_seconds=KEPT * nmsp.INFO_TTL)
     return nmsp.judge_measures(paired, limit)
 
 

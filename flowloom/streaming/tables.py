@@ -1,54 +1,93 @@
-"""As-of enrichment of a stream with its client state in a table.
+"""As-of enrichment of a stream with its client state in tables of hash buckets.
 
 The keyed operators of :mod:`flowloom.streaming.asof` hand all rows of one client in a micro-batch to one
-task. Where a client may dominate the stream, :func:`asof_sink` runs the batch operator on each
-micro-batch instead, which splits hot keys, and keeps the newest state per client in a table between batches.
+task. Where a client may dominate the stream, or where several topics feed one client's states, :func:`asof_sink` runs the batch
+operator on each micro-batch instead, which splits hot keys, and keeps the newest state per client in a versioned table between batches. A batch
+reads the buckets of its own clients, rewrites only those whose clients changed, and a turn of the others so that expired clients go.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from inspect import signature
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.operators.asof import HOT_ROWS, asof_lookup, latest_per_key
+from flowloom.sources.versioned import VersionedTable
 
 KEYS = ("client_mac", "namespace_uuid")
+BUCKETS, SWEEP = 64, 16
+
+
+def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), F.lit(buckets)).cast("string")
+
+
+def _buckets_in(frames: Sequence[DataFrame], keys: Sequence[str], buckets: int) -> set[str]:
+    """The buckets that the rows fall in; at most as many as there are."""
+    parts = [d.filter(F.col(keys[0]).isNotNull()).select(bucket_of(keys, buckets).alias("b")) for d in frames if keys[0] in d.columns]
+    return {r["b"] for r in reduce(DataFrame.union, parts).distinct().collect()} if parts else set()
 
 
 def asof_sink(
     folder: str,
-    split: Callable[[DataFrame], tuple[DataFrame, list[DataFrame]]],
+    split: Callable[..., tuple[DataFrame, list[DataFrame]]],
     finish: Callable[[DataFrame], DataFrame] = lambda found: found,
     keys: Sequence[str] = KEYS,
     ts: str = "timestamp",
     seq: str = "event_id",
     hot_rows: int = HOT_ROWS,
+    ttl_seconds: int | None = None,
+    buckets: int = BUCKETS,
+    sweep: int = SWEEP,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that attaches the latest state to each record.
 
-    ``split`` turns a micro-batch into probe rows and state frames (``shared`` of :func:`asof_lookup`);
-    ``finish`` shapes the enriched rows. Batch ``n`` reads the state left by batch ``n - 1`` and overwrites
-    its own ``out`` and ``state`` folders, so a batch that is run again gives the same result. State
-    folders older than the previous batch are no longer read and may be removed.
+    ``split`` turns a micro-batch into probe rows and state frames (``shared`` of :func:`asof_lookup`); if it takes a second
+    argument, that is the state left by earlier batches for the batch's clients, as frames by state name. ``finish`` shapes the enriched rows. Batch
+    ``n`` reads the state version ``n - 1``, overwrites its own ``out`` folder and state version, so a batch that is run again gives the
+    same result. With ``ttl_seconds`` a client whose state is older than the newest record by that much is forgotten when its bucket is
+    written next: with its changes, or on its turn, every ``sweep`` batches.
     """
     place = [*keys, ts, seq]
+    takes_known = len(signature(split).parameters) > 1
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
-            probes, frames = split(batch)
-            names = list(dict.fromkeys(c for d in frames for c in d.columns if c not in place))
-            at = lambda n, i: f"{folder}/state/{n}/batch_id={i}"
-            known = {n: batch.sparkSession.read.parquet(at(n, batch_id - 1)) for n in names} if batch_id else {}
+            tables = {n: VersionedTable(spark, f"{folder}/state/{n}", "bucket") for n in _names(spark, folder)} if batch_id else {}
+            before = {n: max((v for v in t.versions() if v < batch_id), default=None) for n, t in tables.items()}
+            here = _buckets_in([batch], keys, buckets)
+            known = {n: d.drop("bucket") for n, t in tables.items() if (d := t.read(before[n], here)) is not None}
+            probes, frames = split(batch, known) if takes_known else split(batch)
             found = asof_lookup(probes, {}, keys, ts, seq, shared=[*known.values(), *frames], hot_rows=hot_rows, count_on=[batch])
             finish(found).write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
-            for n in names:
-                parts = [d.select(*place, n) for d in [*known.values(), *frames] if n in d.columns]
-                rows = reduce(DataFrame.unionByName, parts).filter(F.col(f"`{n}`").isNotNull() & F.col(keys[0]).isNotNull())
-                latest_per_key(rows, keys, [ts, seq]).select(*place, n).write.mode("overwrite").parquet(at(n, batch_id))
+            newest = batch.agg(F.max(F.col(ts).cast("bigint"))).first()[0] if ttl_seconds is not None and ts in batch.columns else None
+            for n in dict.fromkeys([*tables, *(c for d in frames for c in d.columns if c not in place)]):
+                table = VersionedTable(spark, f"{folder}/state/{n}", "bucket")
+                fresh = [d.select(*place, n).filter(F.col(f"`{n}`").isNotNull() & F.col(keys[0]).isNotNull()) for d in frames if n in d.columns]
+                turn = {str(b) for b in range(batch_id % sweep, buckets, sweep)} if ttl_seconds is not None else set()
+                changed = _buckets_in(fresh, keys, buckets) | turn
+                old = table.read(before.get(n), changed)
+                if not fresh and old is None:
+                    continue
+                rows = reduce(DataFrame.unionByName, [*fresh, *([old.select(*place, n)] if old is not None else [])])
+                rows = latest_per_key(rows, keys, [ts, seq]).select(*place, n)
+                if newest is not None:
+                    rows = rows.filter(F.col(ts) > newest - ttl_seconds)
+                table.commit(batch_id, rows.withColumn("bucket", bucket_of(keys, buckets)).repartition("bucket"), changed, before.get(n))
+                table.vacuum()
         finally:
             batch.unpersist()
     return write
+
+
+def _names(spark, folder: str) -> list[str]:
+    """State names that earlier batches have written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/state")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []

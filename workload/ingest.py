@@ -94,7 +94,8 @@ def ingest_radius(spark: SparkSession, sf: str) -> DataFrame:
 
 ALL_SEEN = SEEN + f""",
  loc as (select event_id, client_mac, namespace_uuid, "timestamp", 'C' || (event_id % 3) as campus, 'B' || (event_id % 4) as building,
-   case when event_id % 2 = 1 then 'ASSOCIATED' else 'PROBING' end as status, case when event_id % 2 = 1 then 'lap-' || (event_id % 5) end as station from fx_flow where event_id % 7 = 1),
+   case when event_id % 2 = 1 then 'ASSOCIATED' else 'PROBING' end as status, case when event_id % 2 = 1 then 'lap-' || (event_id % 5) end as station from fx_flow where event_id % 7 = 1
+  union all select event_id, client_mac, null, "timestamp", null, null, case when event_id % 3 = 0 then 'ASSOCIATED' else 'PROBING' end, 'cloud-' || (event_id % 2) from fx_flow where event_id % 7 = 4),
  rad as (select event_id, replace(lower(client_mac), '-', ':') as client_mac, namespace_uuid, "timestamp", 'u-' || event_id as client_id, 'net' as ssid from fx_flow where event_id % 11 = 2),
  pms as (select event_id, client_mac, namespace_uuid, "timestamp", 'g-' || event_id as name from fx_flow where event_id % 13 = 3),
  moves as (select client_mac, namespace_uuid, "timestamp" as ts, 0 as rk, event_id, event_id as lid, null as rid, null as pid from loc
@@ -111,9 +112,8 @@ ALL_SEEN = SEEN + f""",
 STATE_COLUMNS = ["client_rssi_num", "wireless_station", "wireless_id", "dot11_status", "campus", "building", "client_id", "client_fullname"]
 
 
-def every_store(spark: SparkSession, sf: str) -> Context:
-    """Five learned states with a table between them; radius fills gaps only, and comes after the table."""
-    flows = view(spark, sf, "fx_flow")
+def learned(flows: DataFrame, nmsp_rows: DataFrame, carried: dict[str, DataFrame] | None = None) -> list[DataFrame]:
+    """States of all six feeds, most of them made from flow records."""
     i = F.col("event_id")
     place = F.to_json(F.struct(
         F.col("client_mac").alias("macAddress"), F.when(i % 2 == 1, "ASSOCIATED").otherwise("PROBING").alias("dot11Status"),
@@ -122,14 +122,24 @@ def every_store(spark: SparkSession, sf: str) -> Context:
         F.struct(F.lit(1.5).alias("lattitude"), F.lit(2.5).alias("longitude")).alias("GeoCoordinate")))
     stamp = F.concat(F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000"))
     located = flows.filter(i % 7 == 1).select("event_id", "namespace_uuid", F.struct(stamp.alias("timestamp"), place.alias("location")).alias("StreamingNotification"))
+    clouds = flows.filter(i % 7 == 4).select(
+        "event_id", "timestamp", "client_mac", "namespace_uuid", F.when(i % 3 == 0, "10.0.0.1").alias("src"), F.concat(F.lit("cloud-"), (i % 2).cast("string")).alias("wireless_station"))
     accounted = flows.filter(i % 11 == 2).select(
         "event_id", "timestamp", "namespace_uuid", F.col("client_mac").alias("Calling-Station-Id"), F.lit("Start").alias("Acct-Status-Type"),
         F.concat(F.lit("u-"), i.cast("string")).alias("User-Name"), F.lit("net").alias("Airespace-Wlan_Id"))
     guests = flows.filter(i % 13 == 3).select("event_id", "timestamp", "client_mac", "namespace_uuid", F.concat(F.lit("g-"), i.cast("string")).alias("guest_name"))
-    states = learned_states(view(spark, sf, "fx_nmsp"), located, None, accounted, guests)
-    return Context(states=states, stores=[
-        LearnedStore("nmsp-measure"), LearnedStore("nmsp-info"), LearnedStore("location"),
-        StoreSpec("places", places(spark), keys=("wireless_station",), overwrite=False), LearnedStore("radius", overwrite=False), LearnedStore("pms")])
+    return learned_states(nmsp_rows, located, clouds, accounted, guests, carried=carried)
+
+
+def chain(spark: SparkSession) -> list:
+    """Learned states with a table between them; radius fills gaps only, and comes after the table."""
+    return [LearnedStore("nmsp-measure"), LearnedStore("nmsp-info"), LearnedStore("location"),
+            StoreSpec("places", places(spark), keys=("wireless_station",), overwrite=False), LearnedStore("radius", overwrite=False), LearnedStore("pms")]
+
+
+def every_store(spark: SparkSession, sf: str) -> Context:
+    nmsp_rows = view(spark, sf, "fx_nmsp")
+    return Context(states=learned(view(spark, sf, "fx_flow"), nmsp_rows), stores=chain(spark))
 
 
 @query("flow_all_states", oracle("""

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom import fields
+from flowloom.operators import records
 from flowloom.plans.topics import Outputs, run_topic
+from flowloom.streaming.tables import asof_sink
 from flowloom.streaming.topics import read_outputs, run_stream
 from flowloom.streaming.wiring import shared_folder
 from workload.catalog import query
 from workload.clients import JUDGED
+from workload.ingest import ALL_SEEN, STATE_COLUMNS, chain, learned
 from workload.scalar import SLICES, SRC_PLAIN
 from workload.views import oracle, view
 
@@ -78,3 +81,29 @@ def stream_topic_flow_counts(spark: SparkSession, sf: str) -> DataFrame:
 def stream_topic_monitor_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Each window's row once, the last ones by closing the ended stream."""
     return streamed_flows(spark, sf)[1].monitor
+
+
+# ---------------------------------------------------------------- all learned states over micro-batches
+
+@query("stream_flow_all_states", oracle("""
+select s.event_id, s.st as "timestamp", s.bytes, client_rssi_num, wireless_station, wireless_id, dot11_status, campus, building, client_id, client_fullname
+from slices s join every_state e on e.event_id = s.event_id""", SRC_PLAIN + "," + SLICES + "," + ALL_SEEN))
+def stream_flow_all_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows and the six feeds that leave client state, as one stream in three runs; state stays in hash buckets between micro-batches."""
+    flows, signals = view(spark, sf, "fx_flow"), view(spark, sf, "fx_nmsp")
+    own = [c for c in signals.columns if c not in flows.columns]
+    both = flows.withColumn("feed", F.lit("flow")).unionByName(signals.withColumn("feed", F.lit("nmsp")), allowMissingColumns=True)
+    folder = f"{shared_folder(spark)}/states-{uuid.uuid4().hex}"
+    stores = chain(spark)
+
+    def split(batch: DataFrame, known: dict[str, DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+        probes = batch.filter("feed = 'flow'").drop("feed", *own)
+        return probes, learned(probes, batch.filter("feed = 'nmsp'").select(*signals.columns), known)
+
+    def finish(found: DataFrame) -> DataFrame:
+        return records.flow(found, stores, now="arrival").select("event_id", "timestamp", "bytes", *STATE_COLUMNS)
+
+    for stream in in_parts(spark, both, "timestamp", folder):
+        sink = stream.writeStream.foreachBatch(asof_sink(folder, split, finish)).option("checkpointLocation", f"{folder}/checkpoint")
+        sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch_id")
