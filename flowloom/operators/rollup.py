@@ -153,6 +153,10 @@ SPECS = {s.name: s for s in (
 
 # Dwell-time histogram size and bounds in minutes.
 HISTOGRAM_BINS, HISTOGRAM_LOW, HISTOGRAM_HIGH = 50, 3, 1440
+HISTOGRAM_BUCKETS = 30
+
+#: Size of the quantile sketch behind a histogram: ranks are off by RANK_ERROR of the values at most (99 %), merged or not.
+SKETCH_SIZE, RANK_ERROR = 200, 0.02
 
 
 def absent_dims(df: DataFrame, spec: RollupSpec) -> list[str]:
@@ -207,7 +211,9 @@ def _aggregate(df: DataFrame, kind: str, source: str | None, name: str, mode: st
             return parts + [F.count(inside).alias(f"{name}_inside")]
         # counts of fixed bins, so that histograms of several minutes add up
         at = bucket(x)
-        return parts + [F.array(*[F.count_if(at == i) for i in range(HISTOGRAM_BINS)]).alias(name)]
+        bins = F.array(*[F.count_if(at == i) for i in range(HISTOGRAM_BINS)]).alias(name)
+        # bins adapted to the values, as a sketch that merges
+        return parts + [bins] + ([F.kll_sketch_agg_double(inside, F.lit(SKETCH_SIZE)).alias(f"{name}_sketch")] if mode == "sketch" else [])
     raise ValueError(f"unknown aggregator {kind}")
 
 
@@ -255,8 +261,11 @@ def rollup(df: DataFrame, spec: RollupSpec, mode: str = "approx", now: Column |
     return grouped.select(start.alias("timestamp"), *rest)
 
 
-def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: str = "1 hour") -> DataFrame:
-    """Coarser rollup from ``mode="sketch"`` rows: sums and histogram bins add up, extremes combine, sketches union."""
+def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: str = "1 hour", keep_sketches: bool = False) -> DataFrame:
+    """Coarser rollup from ``mode="sketch"`` rows, or with ``every="1 minute"`` one row for each minute that several batches wrote.
+
+    Sums and histogram bins add up, extremes combine, sketches union; with ``keep_sketches`` the result can be merged again.
+    """
     aggs: list[Column] = []
     for name, (kind, _) in spec.aggs.items():
         if kind in ("count", "lsum", "dsum"):
@@ -264,11 +273,30 @@ def merge_rollups(parts: DataFrame, spec: RollupSpec, dims: list[str], every: st
         elif kind in ("min", "max"):
             aggs.append(getattr(F, kind)(name).alias(name))
         elif kind == "distinct":
-            aggs.append(F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name))
+            union = F.hll_union_agg(name)
+            aggs.append((union if keep_sketches else F.hll_sketch_estimate(union)).alias(name))
         else:
             aggs += [F.sum(f"{name}_{side}").alias(f"{name}_{side}") for side in ("below", "above")]
             aggs.append(F.array(*[F.sum(F.element_at(name, i + 1)) for i in range(HISTOGRAM_BINS)]).alias(name))
+            if f"{name}_sketch" in parts.columns:
+                aggs.append(F.kll_merge_agg_double(f"{name}_sketch").alias(f"{name}_sketch"))
     at = F.window(F.timestamp_seconds("timestamp"), every).alias("window")
     merged = parts.groupBy(at, *dims).agg(*aggs)
     rest = [c for c in merged.columns if c != "window"]
     return merged.select(F.unix_timestamp(F.col("window.start")).alias("timestamp"), *rest)
+
+
+def quantiles(sketch: Column | str, shares: list[float]) -> Column:
+    """Values at the given shares of what a histogram sketch has seen, NULL where it has seen nothing."""
+    sketch = F.col(sketch) if isinstance(sketch, str) else sketch
+    some = F.kll_sketch_get_n_double(sketch) > 0
+    return F.when(some, F.array(*[F.kll_sketch_get_quantile_double(sketch, F.lit(float(p))) for p in shares]))
+
+
+def buckets(sketch: Column | str, n: int = HISTOGRAM_BUCKETS) -> Column:
+    """``n`` buckets of equal width between the histogram's bounds: array of (from, count), counts estimated from ranks."""
+    sketch = F.col(sketch) if isinstance(sketch, str) else sketch
+    seen = F.kll_sketch_get_n_double(sketch)
+    edges = [HISTOGRAM_LOW + (HISTOGRAM_HIGH - HISTOGRAM_LOW) * i / n for i in range(n + 1)]
+    ranks = [F.lit(0.0), *[F.kll_sketch_get_rank_double(sketch, F.lit(e)) for e in edges[1:-1]], F.lit(1.0)]
+    return F.when(seen > 0, F.array(*[F.struct(F.lit(edges[i]).alias("from"), ((ranks[i + 1] - ranks[i]) * seen).alias("count")) for i in range(n)]))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.fields import ROUTES
 from flowloom.operators.counters import datasource_name
-from flowloom.operators.rollup import SPECS, RollupSpec, rollup
+from flowloom.operators.rollup import GRANULARITY, SPECS, RollupSpec, merge_rollups, rollup
 from flowloom.sources.topics import with_extras, write_topic
+from flowloom.sources.versioned import VersionedTable
 
 _NUMERIC = {"lsum": "bigint", "dsum": "double", "min": "double", "max": "double", "histogram": "double"}
 
@@ -53,6 +54,50 @@ def index(topics: dict[str, DataFrame], mode: str = "approx", now: Column | None
     return out
 
 
+PART, PART_SECONDS = "part", 3600
+
+
+def index_sink(folder: str, target: str, topics_of: Callable[[DataFrame], dict[str, DataFrame]], now: Column | None = None, part_seconds: int = PART_SECONDS, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps one row per minute and dimensions of a target, whatever batches its records came in.
+
+    A batch is rolled up with sketches and merged with the rows of the times it touches, in parts of ``part_seconds``; only those parts are
+    written, as a new version of the table, so late minutes and repeated batches never leave doubled rows. Read it with :func:`read_index`.
+    """
+    spec = SPECS[target]
+    own_part = F.floor(F.col("timestamp") / part_seconds).cast("string")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = VersionedTable(batch.sparkSession, f"{folder}/{target}", PART)
+        base = max((v for v in table.versions() if v < batch_id), default=None)
+        parts = index(topics_of(batch), "sketch", now)[target]
+        parts = parts.withColumn(PART, own_part).persist()
+        try:
+            touched = [r[PART] for r in parts.select(PART).distinct().collect()]  # hours of one micro-batch
+            old = table.read(base, touched)
+            rows = parts.drop(PART) if old is None else parts.drop(PART).unionByName(old.drop(PART), allowMissingColumns=True)
+            dims = ["datasource", *[c for c in rows.columns if c not in _made(spec) and c not in ("datasource", "timestamp")]]
+            merged = merge_rollups(rows, spec, dims, GRANULARITY, keep_sketches=True)
+            table.commit(batch_id, merged.withColumn(PART, own_part).repartition(PART, "datasource"), touched, base)
+            table.vacuum(keep)
+        finally:
+            parts.unpersist()
+    return write
+
+
+def read_index(spark: SparkSession, folder: str, target: str) -> DataFrame | None:
+    """The newest version of a target's minutes, with sketches as numbers (histogram sketches stay)."""
+    table = VersionedTable(spark, f"{folder}/{target}", PART)
+    rows = table.read(max(table.versions(), default=None))
+    if rows is None:
+        return None
+    sketches = {n: F.hll_sketch_estimate(n) for n, (kind, _) in SPECS[target].aggs.items() if kind == "distinct"}
+    return rows.drop(PART).withColumns(sketches)
+
+
+def _made(spec: RollupSpec) -> set[str]:
+    return {*spec.aggs, *[f"{n}_{side}" for n, (kind, _) in spec.aggs.items() if kind == "histogram" for side in ("below", "above", "sketch")]}
+
+
 def write_index(rollups: dict[str, DataFrame], location: str, **options) -> list:
     """Write each target's rollups under ``location``, one folder per datasource; for streams, the started queries."""
     def at(target: str) -> dict:

@@ -1 +1,10 @@
-"""Structured Streaming forms of the stateful and windowed operators."""
+"""Structured Streaming forms of the stateful and windowed operators.
+
+Functions that run inside tasks are sent by value, so executors need no copy of the package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

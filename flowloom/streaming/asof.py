@@ -5,7 +5,7 @@ arrive in time order across micro-batches; inside a micro-batch their order does
 
 A client's rows of a micro-batch are read in Arrow chunks and never put together: its state changes (small) are gathered, its records
 wait in a list state, off the heap, if they fill more than one chunk, and leave chunk by chunk. What a client leaves for later batches is one
-row per state name, which the store forgets when the client has been silent for the operator's time to live.
+row per state name, which a timer removes when the stream's newest record is a time to live ahead of it.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ class _Follower(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         fields = ", ".join(f"s{i} string, t{i} bigint" for i in range(len(self.names)))
-        ttl = {} if self.ttl is None else {"ttlDurationMs": 1000 * self.ttl}
-        self.known = handle.getValueState("known", fields, **ttl)
+        self.handle = handle
+        self.known = handle.getValueState("known", fields)
         self.waiting = handle.getListState("waiting", "ts bigint, seq bigint, payload string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
@@ -69,6 +69,10 @@ class _Follower(StatefulProcessor):
                 after[2 * i:2 * i + 2] = [values[-1], int(times[-1])]
         if made is not None:
             self.known.update(tuple(after))
+            if self.ttl is not None and (newest := self._newest(after)) != (last := self._newest(before)):
+                if last is not None:
+                    self.handle.deleteTimer(1000 * last)
+                self.handle.registerTimer(1000 * newest)
         if held is not None:
             yield self._attached(key, held, timelines)
         if spilled:
@@ -96,6 +100,14 @@ class _Follower(StatefulProcessor):
             out[f"asof_s{i}"] = found
         return pd.DataFrame(out)[self.columns]
 
+    def _newest(self, known) -> int | None:
+        return max((t for t in known[1::2] if t is not None), default=None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if self.known.exists() and 1000 * self._newest(self.known.get()) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.known.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -104,10 +116,10 @@ def stream_asof(probes: DataFrame, states: dict[str, DataFrame], keys: Sequence[
                 ts: str = "timestamp", seq: str = "event_id", ttl_seconds: int | None = None, max_age: int | None = None) -> DataFrame:
     """Streaming form of ``asof_lookup``: payloads travel as JSON text and come back typed.
 
-    State is one small JSON text per state name and client. ``ttl_seconds`` (processing time) is how long the store keeps a client that
-    sends no state; it bounds the store by the clients seen in that time. ``max_age`` (event time) hides states older than that from a
-    record. A time to live of several times the age that a consumer still accepts never changes results, as long as a micro-batch is not that
-    far behind. Probe rows without a first key neither leave nor see state: they pass by the state operator.
+    State is one small JSON text per state name and client. A client's state goes once the stream's newest record is ``ttl_seconds`` (event
+    time) ahead of it, which bounds the store by the clients that left state in that time; without it nothing goes. ``max_age`` hides states
+    older than that from a record. No record is dropped for being late: only one that comes more than the time to live late may miss
+    a state that was in force. Probe rows without a first key neither leave nor see state: they pass by the state operator.
     """
     keys, names = list(keys), list(states)
     skip = {*keys, ts, seq}
@@ -125,13 +137,16 @@ def stream_asof(probes: DataFrame, states: dict[str, DataFrame], keys: Sequence[
     union = reduce(DataFrame.unionByName, parts).withColumn("asof_nulls", F.concat(*[
         F.col(k).isNull().cast("int").cast("string") for k in keys]))
     groups = union.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in keys})
+    if ttl_seconds is not None:
+        # the watermark moves timers only: without its column the operator leaves no late row out
+        groups = groups.withColumn("asof_at", F.timestamp_seconds("asof_ts")).withWatermark("asof_at", f"{ttl_seconds} seconds").drop("asof_at")
 
     columns = [*keys, "asof_nulls", "asof_ts", "asof_seq", "asof_payload", *[f"asof_s{i}" for i in range(len(names))]]
     output = ", ".join([
         *[f"`{k}` string" for k in keys], "asof_nulls string, asof_ts bigint, asof_seq bigint, asof_payload string",
         *[f"asof_s{i} string" for i in range(len(names))]])
     flowing = groups.groupBy(*keys, "asof_nulls").transformWithStateInPandas(
-        _Follower(names, columns, ttl_seconds, max_age), output, "append", "ProcessingTime")
+        _Follower(names, columns, ttl_seconds, max_age), output, "append", "None" if ttl_seconds is None else "EventTime")
     back = lambda i, k: F.when(F.substring("asof_nulls", i + 1, 1) == "0", F.col(k)).alias(k)
     typed = flowing.select(
         *[back(i, k) for i, k in enumerate(keys)], F.col("asof_ts").alias(ts), F.col("asof_seq").alias(seq),

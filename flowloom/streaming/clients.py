@@ -13,8 +13,8 @@ from flowloom.operators import location, nmsp
 from flowloom.streaming.asof import stream_asof
 
 
-#: an association counts for INFO_TTL of event time; the store keeps it so many times as long in processing time
-KEPT = 4
+#: an association counts for INFO_TTL; the store keeps it so many times as long, for records that come late
+KEPT = 2
 
 
 def stream_nmsp(df: DataFrame, limit: int = nmsp.RSSI_LIMIT, now: Column | None = None) -> DataFrame:
