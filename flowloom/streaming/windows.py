@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom.operators import counters
-from flowloom.operators.rollup import RollupSpec, rollup
+from flowloom.operators.rollup import RollupSpec, event_seconds, rollup
+from flowloom.streaming.wiring import run_available
 
 
 def stream_rollup(df: DataFrame, spec: RollupSpec, mode: str = "sketch", extra_dims: tuple[str, ...] = ()) -> DataFrame:
@@ -27,6 +28,38 @@ def stream_window_counts(df: DataFrame, late: str = "0 seconds", seconds: int =
     return counted.select("datasource", F.unix_timestamp(F.col("w.start")).alias("window_start"), "events")
 
 
+def _late_seconds(late: str) -> int:
+    number, unit = late.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+
+
+def rollup_to_end(stream: DataFrame, rows: DataFrame, spec: RollupSpec, mode: str = "sketch", extra_dims: tuple[str, ...] = (),
+                  folder: str | None = None, name: str = "rollup") -> DataFrame:
+    """:func:`stream_rollup` of a source that has an end: what the stream wrote, and the windows it left open.
+
+    ``rows`` is the source as a batch. The last watermark is its newest time less the late limit; windows that end behind it were
+    closed by the stream, the others are rolled up in one batch pass over their rows only.
+    """
+    closed = run_available(stream_rollup(stream, spec, mode, extra_dims), folder, name)
+    at = event_seconds(rows, spec)
+    newest = rows.agg(F.max(at)).first()[0]
+    if newest is None:
+        return closed
+    still = rows.filter(at - F.pmod(at, F.lit(60)) + 60 > newest - _late_seconds(spec.late))
+    return closed.unionByName(rollup(still, spec, mode, extra_dims=extra_dims).select(*closed.columns))
+
+
+def window_counts_to_end(stream: DataFrame, rows: DataFrame, late: str = "0 seconds", seconds: int = counters.WINDOW_SECONDS,
+                         folder: str | None = None, name: str = "counts") -> DataFrame:
+    """:func:`stream_window_counts` of a source that has an end, with the windows left open; ``rows`` is the source as a batch."""
+    closed = run_available(stream_window_counts(stream, late, seconds), folder, name)
+    newest = rows.agg(F.max("timestamp")).first()[0]
+    if newest is None:
+        return closed
+    counts = counters.datasource_counts(rows.filter(F.col("timestamp") + seconds > newest - _late_seconds(late)), seconds)
+    return closed.unionByName(counts.filter(F.col("window_start") + seconds > newest - _late_seconds(late)).select(*closed.columns))
+
+
 def stream_capacity(counts: DataFrame, limits: DataFrame | None = None, seconds: int = counters.WINDOW_SECONDS,
                     per_task: int = counters.EVENTS_PER_TASK, up: float = counters.UP, down: float = counters.DOWN,
                     partitions: dict[str, int] | None = None) -> DataFrame:
@@ -80,21 +113,36 @@ def batch_sink(transform: Callable[[DataFrame], DataFrame], path: str, partition
 
 
 def prev_window_sink(folder: str, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows, seconds: int = counters.WINDOW_SECONDS,
-                     ts: str = "timestamp") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that adds ``flows_count`` with windows counted over all micro-batches so far.
+                     ts: str = "timestamp", kept_windows: int | None = 15) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that adds ``flows_count`` with windows counted over the micro-batches so far.
 
-    Each batch leaves its counts, one row per datasource and window, in ``folder/counts`` and its rows in ``folder/out``; a batch
-    that runs again replaces its own. Rows in time order get what the batch operator gives; a record that comes after its
-    successor window was written is counted from then on.
+    Batch ``n`` reads the counters that batch ``n - 1`` left (when each datasource appeared, and its last ``kept_windows``
+    windows; None keeps all) and overwrites its own, and its rows in ``folder/out``, so a batch that runs again replaces its own. Rows in time order get
+    what the batch operator gives; a record that comes after its successor window was written is counted from then on.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        at = lambda table, i: f"{folder}/{table}/batch_id={i}"
         rows = prepare(batch).persist()
         try:
-            counters.datasource_counts(rows, seconds, ts).write.mode("overwrite").parquet(f"{folder}/counts/batch_id={batch_id}")
-            earlier = spark.read.parquet(f"{folder}/counts").filter(F.col("batch_id") <= batch_id)
-            known = earlier.groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
-            counters.with_prev_window_count(rows, known, seconds, ts).write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+            known = counters.datasource_counts(rows, seconds, ts)
+            first = known.groupBy("datasource").agg(F.min("window_start").alias("window_start"))
+            since = None
+            if batch_id:
+                left = spark.read.parquet(at("counts", batch_id - 1))
+                if kept_windows is not None:
+                    since = left.agg(F.max("window_start") - kept_windows * seconds).first()[0]
+                known = known.unionByName(left).groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
+                first = first.unionByName(spark.read.parquet(at("first", batch_id - 1))).groupBy("datasource").agg(F.min("window_start").alias("window_start"))
+            known = known.persist()
+            counters.with_prev_window_count(rows, known, seconds, ts, first, since).write.mode("overwrite").parquet(at("out", batch_id))
+            if kept_windows is not None:
+                newest = known.agg(F.max("window_start")).first()[0]
+                kept = known.filter(F.col("window_start") >= newest - kept_windows * seconds) if newest is not None else known
+            kept_counts = kept if kept_windows is not None else known
+            kept_counts.coalesce(1).write.mode("overwrite").parquet(at("counts", batch_id))
+            first.coalesce(1).write.mode("overwrite").parquet(at("first", batch_id))
+            known.unpersist()
         finally:
             rows.unpersist()
     return write

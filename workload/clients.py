@@ -24,28 +24,40 @@ JUDGED = INFO + """,
  paired as (select m.event_id, m."timestamp", m.client_mac, m.namespace_uuid, m.ap_mac, m.rssi, i.event_id as iid, i.wireless_station as st, i.wireless_id as wid, i.lan_vlan as lv, i.last_seen as seen
   from fx_nmsp m join known k on k.event_id = m.event_id and k.rk = 1 left join info i on i.event_id = k.last_iid where m.type = 'measure'),
  decided as (select *, iid is not null and seen + 3600 > "timestamp" as fresh, list_contains(ap_mac, st) as heard from paired),
- judged as (select event_id, "timestamp", client_mac, namespace_uuid, fresh as joined, iid is not null and not fresh as stale,
+ judged as (select event_id, "timestamp", client_mac, namespace_uuid, iid, fresh as joined, iid is not null and not fresh as stale,
   case when fresh then rssi[list_position(ap_mac, st)] else greatest(rssi[1], rssi[2]) end as client_rssi_num,
   case when fresh then st when rssi[1] >= rssi[2] then ap_mac[1] else ap_mac[2] end as wireless_station,
   case when fresh then wid end as wireless_id, case when fresh then lv end as lan_vlan, case when fresh then seen end as last_seen
   from decided where not fresh or heard)"""
 
 
+def signals(spark: SparkSession, sf: str) -> DataFrame:
+    """The signal view with the radio fields that an association carries."""
+    return with_radio(view(spark, sf, "fx_nmsp"))
+
+
+def with_radio(df: DataFrame) -> DataFrame:
+    return df.withColumns({"wireless_channel": F.concat(F.lit("ch-"), (F.col("event_id") % 11).cast("string")), "dot11_protocol": F.lit("802.11n")})
+
+
+#: the radio fields of the association that a measure was joined to
+RADIO = "case when joined then 'ch-' || (iid % 11) end as wireless_channel, case when joined then '802.11n' end as dot11_protocol"
+
+
 @query("nmsp_info", oracle("""
 select event_id, "timestamp", 'nmsp-info' as type, client_mac, namespace_uuid, wireless_station, wireless_id, lan_vlan, last_seen,
-  'ASSOCIATED' as dot11_status, 'hard' as client_profile from info""", INFO))
+  'ASSOCIATED' as dot11_status, 'hard' as client_profile, 'ch-' || (event_id % 11) as wireless_channel, '802.11n' as dot11_protocol from info""", INFO))
 def nmsp_info(spark: SparkSession, sf: str) -> DataFrame:
-    return nmsp.nmsp_info(view(spark, sf, "fx_nmsp")).drop("wireless_channel", "dot11_protocol")
+    return nmsp.nmsp_info(signals(spark, sf))
 
 
 @query("nmsp_measure", oracle(f"""
 select event_id, "timestamp", 'nmsp-measure' as type, client_mac, namespace_uuid, client_rssi_num, wireless_station, wireless_id, lan_vlan, last_seen,
   {LABEL.format('client_rssi_num', 'excellent')} as client_rssi, {PROFILE.format('client_rssi_num')} as client_profile,
-  case when joined then 'ASSOCIATED' else 'PROBING' end as dot11_status from judged where client_rssi_num >= -80 or joined""", JUDGED))
+  case when joined then 'ASSOCIATED' else 'PROBING' end as dot11_status, {RADIO} from judged where client_rssi_num >= -80 or joined""", JUDGED))
 def nmsp_measure(spark: SparkSession, sf: str) -> DataFrame:
-    df = view(spark, sf, "fx_nmsp")
-    out = nmsp.nmsp_measure(df, nmsp.info_state(nmsp.nmsp_info(df)))
-    return out.drop("wireless_channel", "dot11_protocol")
+    df = signals(spark, sf)
+    return nmsp.nmsp_measure(df, nmsp.info_state(nmsp.nmsp_info(df)))
 
 
 # ---------------------------------------------------------------- locations
@@ -57,6 +69,7 @@ def as_notification() -> Column:
         F.col("notification_type").alias("notificationType"), F.col("device_id").alias("deviceId"),
         F.col("ap_mac_address").alias("apMacAddress"), F.col("location_map_hierarchy").alias("locationMapHierarchy"),
         F.col("timestamp_ms").alias("timestamp"), "status", "username", "namespace_uuid",
+        F.when(F.col("event_id") % 8 < 5, F.concat(F.lit("ssid-"), (F.col("event_id") % 3).cast("string"))).alias("ssId"), F.lit("IEEE_802_11_B").alias("band"),
         F.concat(F.lit("sub-"), (F.col("event_id") % 4).cast("string")).alias("subscriptionName"),
         F.when(F.col("event_id") % 3 == 0, "m").alias("market"), F.when(F.col("event_id") % 6 == 0, "sn").alias("sensor_name"),
         F.lit("sp").alias("service_provider"))
@@ -70,7 +83,8 @@ STATUS_CASE = "case status " + " ".join(f"when {k} then '{v}'" for k, v in STATU
 V10 = f"""v10 as (select event_id, timestamp_ms // 1000 as ts, device_id as mac, namespace_uuid as ns, notification_type = 'association' as rs,
   string_split(location_map_hierarchy, '>') as p, ap_mac_address as station, {STATUS_CASE} as st, nullif(username, '') as usr from fx_location10),
  flat as (select *, case when rs then st end as f_status, case when rs then usr end as f_client, case when not rs then p[1] end as f_campus,
-  case when not rs then p[2] end as f_building, case when not rs then p[3] end as f_floor from v10),
+  case when not rs then p[2] end as f_building, case when not rs then p[3] end as f_floor, case when not rs then p[4] end as f_zone,
+  case when rs and event_id % 8 < 5 then 'ssid-' || (event_id % 3) end as f_ssid, case when rs then 'IEEE_802_11_B' end as f_band from v10),
  grouped as (select *, sum(case when rs then 1 else 0 end) over (partition by mac, ns order by ts, event_id {RUNNING}) as g from flat)"""
 
 
@@ -80,22 +94,20 @@ def followed_sql(pick: str) -> str:
 select event_id, ts as "timestamp", case when rs then 'mse10-association' else 'mse10-location' end as type, mac as client_mac,
   case when not rs then ns end as namespace_uuid, case when g = 0 then 'PROBING' else {field('f_status')} end as dot11_status,
   {field('station')} as wireless_station, {field('f_client')} as client_id, {field('f_campus')} as campus, {field('f_building')} as building, {field('f_floor')} as floor,
+  {field('f_zone')} as zone, {field('f_ssid')} as wireless_id, {field('f_band')} as dot11_protocol, cast(null as varchar) as client_latlong, 'sub-' || cast(event_id % 4 as varchar) as "subscriptionName",
   case when rs then 'hard' end as client_profile, case when event_id % 3 = 0 then 'm' end as market,
   case when event_id % 6 = 0 then 'sn' else 'sub-' || cast(event_id % 4 as varchar) end as sensor_name,
   case when not rs then 'sp' end as service_provider from grouped""", V10)
 
 
-V10_DROP = ("wireless_id", "dot11_protocol", "zone", "client_latlong", "subscriptionName")
-
-
 @query("location_v10", followed_sql("first_value"))
 def location_v10(spark: SparkSession, sf: str) -> DataFrame:
-    return location.location_v10(notification_lists(spark, sf)).drop(*V10_DROP)
+    return location.location_v10(notification_lists(spark, sf))
 
 
 @query("location_v10_newest", followed_sql("last_value"))
 def location_v10_newest(spark: SparkSession, sf: str) -> DataFrame:
-    return location.location_v10(notification_lists(spark, sf), sticky=False).drop(*V10_DROP)
+    return location.location_v10(notification_lists(spark, sf), sticky=False)
 
 
 def streaming_notifications(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,10 +195,14 @@ def radius(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("pms_profile", oracle("""
-select event_id, client_mac, namespace_uuid, coalesce(staff_name, guest_name) as client_fullname, client_gender, auth_type as client_auth_type
+select event_id, client_mac, namespace_uuid, coalesce(staff_name, guest_name) as client_fullname, client_gender, auth_type as client_auth_type,
+  case when event_id % 9 = 0 then 'vip' end as client_vip, case when event_id % 7 < 3 then 'tier-' || (event_id % 3) end as client_loyality
 from fx_pms where coalesce(staff_name, guest_name, client_gender, auth_type) is not null"""))
 def pms_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return records.guest_profiles(view(spark, sf, "fx_pms")).drop("client_vip", "client_loyality")
+    i = F.col("event_id")
+    guests = view(spark, sf, "fx_pms").withColumns({
+        "client_vip": F.when(i % 9 == 0, "vip"), "client_loyality": F.when(i % 7 < 3, F.concat(F.lit("tier-"), (i % 3).cast("string")))})
+    return records.guest_profiles(guests.filter("coalesce(staff_name, guest_name, client_gender, auth_type) is not null"))
 
 
 # ---------------------------------------------------------------- as-of enrichment

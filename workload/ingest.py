@@ -71,12 +71,12 @@ def ingest_location_topic(spark: SparkSession, sf: str) -> DataFrame:
     one = F.struct(F.col("event_id").alias("order"), as_notification().alias("n"))
     grouped = df.groupBy(F.expr("event_id div 3").alias("event_id")).agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["n"]).alias("notifications"))
     out, = run_topic(messages(grouped, fields.LOC, ["notifications"]), fields.LOC)
-    # fields that only version 8/9 records have, and those the notifications of this view leave empty
+    # version 8/9 records have more fields
     return out.select(*[c for c in out.columns if c in LOCATION_COLUMNS])
 
 
 LOCATION_COLUMNS = ["event_id", "timestamp", "type", "client_mac", "namespace_uuid", "dot11_status", "wireless_station", "client_id", "campus", "building", "floor",
-                    "client_profile", "market", "sensor_name", "service_provider"]
+                    "client_profile", "market", "sensor_name", "service_provider", "zone", "wireless_id", "dot11_protocol", "client_latlong", "subscriptionName"]
 
 
 @query("ingest_radius", oracle(f"""
