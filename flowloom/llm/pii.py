@@ -40,7 +40,7 @@ BASE = (("email", EMAIL), ("ip", IP), ("card", CARD), ("phone", PHONE))
 MORE = (
     ("tel", r"(?<![0-9+(-])\(?[0-9]{3}[)\x20.-]\x20?[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])"),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
 )
 KINDS = [k for k, _ in BASE + MORE]
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
