@@ -74,7 +74,7 @@ def test_dwell_histogram_bounds(spark):
 def test_window_rows(spark):
     df = spark.createDataFrame([("rb_flow_ns-1", 5), ("rb_flow_ns-1", 59), ("rb_loc_post", 61), (None, 5)], "datasource string, timestamp bigint")
     out = {r.sensor_name: (r.timestamp, r.value, r.namespace_uuid) for r in counters.window_counts(df).collect()}
-    assert out == {"samza-0-0-rb_flow_ns-1": (60, 2, "ns-1"), "samza-0-0-rb_loc_post": (120, 1, None)}
+    assert out == {"task-0-0-rb_flow_ns-1": (60, 2, "ns-1"), "task-0-0-rb_loc_post": (120, 1, None)}
 
 
 def test_previous_window(spark):
