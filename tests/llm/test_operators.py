@@ -72,7 +72,7 @@ def test_substring_dedup_of_shared_stretches(spark, tmp_path, write_corpus):
     docs = short + [(None, f"{opening} tail {i}", None, None, None) for i in range(3)] + [(7, f"{opening} other", None, None, None), (7, f"{opening} other", None, None, None), (7, f"x {opening}", None, None, None)]
     got = rows_of(spark, "op1_substring_dedup", write_corpus(tmp_path / "b", docs))
     same(got, without_repeats_by_hand(docs), ["doc_id", "n_words", "n_removed", "kept_sha256"])
-    assert sorted(r["n_removed"] for r in got if r["doc_id"] is None) == [25, 25, 25]
+    assert sorted(r["n_removed"] for r in got if r["doc_id"] is None) == [25, 26, 26]  # the word "tail" is shared as well
 
 
 def test_substring_dedup(spark, corpus):
