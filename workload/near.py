@@ -13,11 +13,11 @@ from flowloom.operators import rollup
 def compare(exact: DataFrame, estimate: DataFrame, dims: list[str], counts: list[str], bins: list[str] = ()) -> DataFrame:
     """``exact`` with ``<name>_near``: whether the estimate lies within its stated error of the exact count.
 
-    Distinct counts are estimated with 5 % standard deviation (four of them, or 2, are allowed); a histogram must hold every value.
+    Distinct counts are estimated with 5 % standard deviation (three of them, or 1, are allowed); a histogram must hold every value.
     """
     known = estimate.select(*[F.col(d).alias(f"e_{d}") for d in dims], *[F.col(c).alias(f"e_{c}") for c in [*counts, *bins]])
     same = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"e_{d}")) for d in dims])
-    near = {f"{c}_near": F.abs(F.col(f"e_{c}") - F.col(c)) <= F.greatest(F.lit(2.0), 0.2 * F.col(c)) for c in counts}
+    near = {f"{c}_near": F.abs(F.col(f"e_{c}") - F.col(c)) <= F.greatest(F.lit(1.0), 0.15 * F.col(c)) for c in counts}
     near |= {f"{b}_near": F.aggregate(f"e_{b}", F.lit(0).cast("bigint"), lambda a, x: a + x) == F.col(f"{b}_inside") for b in bins}
     return exact.join(known, same, "left").withColumns(near).select(*exact.columns, *near)
 
