@@ -70,21 +70,25 @@ def address_values(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: DataFrame | None,
-               lan: str = "lan_ip", wan: str = "wan_ip", addresses_of: DataFrame | None = None) -> DataFrame:
+               lan: str = "lan_ip", wan: str = "wan_ip", addresses_of: DataFrame | None = None,
+               row_id: str | None = None) -> DataFrame:
     """Country code and network owner of both addresses.
 
     ``country_ranges`` is ``(start_ip, end_ip, family, country_code)`` and ``asn_ranges``
     ``(start_ip, end_ip, family, as_info)``; a missing table adds nothing. The ``ip_*`` columns and
     ``public_ip`` come from the WAN side when it is known there, else from the LAN side. Each distinct
     address is looked up once; ``addresses_of`` may name a cheaper frame that holds all of them, such as
-    the records before earlier joins.
+    the records before earlier joins. ``row_id`` names a column, never NULL, that tells records apart (in ``addresses_of``
+    too, where given): the sides then meet on narrow rows, without those that have no address, and wide records are joined
+    once instead of once per side.
     """
     sides = [c for c in (lan, wan) if c in df.columns]
     if not sides or (country_ranges is None and asn_ranges is None):
         return df
     source = df if addresses_of is None else addresses_of
-    both = source.select(F.explode(F.array(*sides)).alias("ip"))
-    addresses = both.filter(F.col("ip").isNotNull()).distinct()
+    own = [row_id] if row_id else []
+    uses = source.select(*own, F.posexplode(F.array(*sides)).alias("_side", "ip")).filter(F.col("ip").isNotNull())
+    addresses = uses.select("ip").distinct()
     known = addresses
     for table, value, name in ((country_ranges, "country_code", "_cc"), (asn_ranges, "as_info", "_as")):
         if table is None:
@@ -94,9 +98,15 @@ def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: Data
             known = known.join(values, "ip", "left")
     known = known.withColumn("_as", as_name(F.col("_as"))).filter(
         F.coalesce("_cc", "_as").isNotNull())
-    for side in sides:
-        dim = known.select(F.col("ip").alias(f"_{side}"), F.col("_cc").alias(f"_cc_{side}"), F.col("_as").alias(f"_as_{side}"))
-        df = df.join(dim, F.col(side) == F.col(f"_{side}"), "left").drop(f"_{side}")
+    if row_id:
+        value = lambda name, i: F.max(F.when(F.col("_side") == i, F.col(name)))
+        met = uses.join(known, "ip").groupBy(F.col(row_id).alias("_row")).agg(
+            *[value(n, i).alias(f"{n}_{s}") for i, s in enumerate(sides) for n in ("_cc", "_as")])
+        df = df.join(met, F.col(row_id) == F.col("_row"), "left").drop("_row")
+    else:
+        for side in sides:
+            dim = known.select(F.col("ip").alias(f"_{side}"), F.col("_cc").alias(f"_cc_{side}"), F.col("_as").alias(f"_as_{side}"))
+            df = df.join(dim, F.col(side) == F.col(f"_{side}"), "left").drop(f"_{side}")
     found: dict[str, Column] = {}
     for side in sides:
         found[f"{side}_country_code"] = F.col(f"_cc_{side}")
@@ -110,8 +120,8 @@ def geo_lookup(df: DataFrame, country_ranges: DataFrame | None, asn_ranges: Data
 
 
 def geo_enricher(country_ranges: DataFrame | None, asn_ranges: DataFrame | None,
-                 addresses_of: DataFrame | None = None) -> Enricher:
-    fn = lambda df: geo_lookup(df, country_ranges, asn_ranges, addresses_of=addresses_of)
+                 addresses_of: DataFrame | None = None, row_id: str | None = None) -> Enricher:
+    fn = lambda df: geo_lookup(df, country_ranges, asn_ranges, addresses_of=addresses_of, row_id=row_id)
     fn.fills = ("lan_ip_country_code", "wan_ip_country_code", "lan_ip_as_name", "wan_ip_as_name",
                 "ip_country_code", "ip_as_name", "public_ip")
     return fn

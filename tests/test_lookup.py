@@ -215,3 +215,27 @@ def test_refresh_cadence(spark):
     loads = iter(range(100))
     dim = dimensions.Refreshing(lambda: next(loads))
     assert [dim.tick() for _ in range(12)] == [0, 0, 0, 0, 0, 1, 1, 1, 1, 1, 2, 2]
+
+
+def test_ranges_of_version_6_over_many_blocks(spark):
+    import ipaddress
+    import random
+    rng = random.Random(11)
+    base, spans = int(ipaddress.ip_address("2a02::")), []
+    for _ in range(120):
+        lo = base + rng.randrange(2 ** rng.choice([40, 90, 110]))
+        spans.append((lo, lo + rng.randrange(2 ** rng.randrange(1, 112))))
+    text = lambda n: str(ipaddress.ip_address(n))
+    table = spark.createDataFrame([(text(a), text(b), 6, f"{a}-{b}") for a, b in spans], "start_ip string, end_ip string, family int, v string")
+    points = sorted({p for a, b in spans for p in (a - 1, a, b, b + 1, (a + b) // 2, a | (2**80 - 1), b & ~(2**80 - 1))})
+    ips = spark.createDataFrame([(text(p),) for p in points] + [("no address",), ("",)], "ip string")
+    got = {r.ip: r._value for r in ranges.address_values(ips, ranges.range_table(table, "v")).collect()}
+    want = {text(p): max((a, -b, f"{a}-{b}") for a, b in spans if a <= p <= b)[2] for p in points if any(a <= p <= b for a, b in spans)}
+    assert got == want and len(want) > 300
+
+
+def test_geo_by_row_id_equals_geo_by_side(spark, geo):
+    rows = [(1, "86.121.44.1", "8.8.8.8"), (2, None, "2a02:26f0:8:183::90"), (3, "9.9.9.9", None), (4, None, None), (5, "text", ""), (6, "8.8.8.8", "8.8.8.8")]
+    df = spark.createDataFrame(rows, "event_id long, lan_ip string, wan_ip string")
+    plain, slim = (sorted(map(str, ranges.geo_lookup(df, *geo, row_id=r).collect())) for r in (None, "event_id"))
+    assert plain == slim and len(plain) == 6
