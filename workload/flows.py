@@ -35,7 +35,7 @@ def flow_pipeline(spark: SparkSession, sf: str, mode: str = "exact") -> DataFram
     out = records.flow(
         flows,
         [StoreSpec("places", places(spark), keys=("wireless_station",), overwrite=False)],
-        [lookup.vendor_enricher(vendors(spark)), ranges.geo_enricher(geo, geo, addresses_of=raw), privacy.mac_enricher(salts(spark))],
+        [lookup.vendor_enricher(vendors(spark)), ranges.geo_enricher(geo, geo, addresses_of=raw, row_id="event_id"), privacy.mac_enricher(salts(spark))],
         now="arrival")
     out = out.withColumn("datasource", datasource_name("rb_flow", F.col("namespace_uuid")))
     return rollup.rollup(out, PATH, mode=mode, extra_dims=("datasource",))
