@@ -1,13 +1,16 @@
 """Streams cut into several micro-batches give what the batch operators give."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from flowloom.operators import asof, counters, location, nmsp, records, rollup
 from flowloom.streaming import clients, windows
 from flowloom.streaming.asof import stream_asof
 from flowloom.streaming.tables import asof_sink
-from flowloom.streaming.wiring import run_available
+from flowloom.streaming.wiring import PROVIDER_SETTING, run_available
 from workload.clients import as_notification
 from workload.scalar import FLOW_SMALL
 from workload.views import view
@@ -148,3 +151,23 @@ def test_previous_window_over_micro_batches(spark, feed, tmp_path):
     got = {r.event_id: r.flows_count for r in spark.read.parquet(str(tmp_path / "w" / "out")).collect()}
     assert got == {r.event_id: r.flows_count for r in counters.with_prev_window_count(df).collect()}
     assert got[5] == 2 and got[7] == 0 and got[0] is None
+
+
+@pytest.mark.parametrize("name", ["stream_nmsp_measure", "stream_client_asof"])
+def test_keyed_state_in_a_session_with_the_default_store(spark, tmp_path, name):
+    """Timers and lists need RocksDB; a session that names another store keeps it, and the queries still run."""
+    kinds = ["signup", "view", "click"]
+    rows = [(i, datetime.datetime(2024, 1, 1, i % 5, i % 60), i % 7, kinds[i % 3], 1.0, "{}") for i in range(60)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(PROVIDER_SETTING)
+    spark.conf.set(PROVIDER_SETTING, default)
+    try:
+        got = queries()[name](spark, str(tmp_path))
+        assert spark.conf.get(PROVIDER_SETTING) == default
+        measures = events.filter("event_type <> 'signup'").count()
+        wanted = queries()["nmsp_measure"](spark, str(tmp_path)).count() if name == "stream_nmsp_measure" else measures
+        assert got.count() == wanted > 0
+    finally:
+        spark.conf.set(PROVIDER_SETTING, before)

@@ -13,7 +13,7 @@ from flowloom.plans.index import index_sink, read_index
 from flowloom.sources import dimensions
 from flowloom.sources.versioned import PinnedDimension
 from flowloom.streaming.asof import stream_asof
-from flowloom.streaming.wiring import run_available, shared_folder
+from flowloom.streaming.wiring import ROCKSDB, run_available, shared_folder
 from workload.catalog import query
 from workload.clients import RUNNING
 from workload.near import compare
@@ -134,7 +134,7 @@ def stream_client_asof(spark: SparkSession, sf: str) -> DataFrame:
     for stream in in_parts(spark, df, "timestamp", folder, 2):
         info = nmsp.info_state(nmsp.nmsp_info(stream))
         probes = stream.filter("type = 'measure'").select("event_id", "timestamp", "client_mac", "namespace_uuid", "vlan_id")
-        out = run_available(stream_asof(probes, {"i": info}, nmsp.KEYS, ttl_seconds=7200, max_age=7200), folder)
+        out = run_available(stream_asof(probes, {"i": info}, nmsp.KEYS, ttl_seconds=7200, max_age=7200), folder, provider=ROCKSDB)
     return out.select("event_id", "timestamp", "client_mac", "namespace_uuid", "vlan_id", *[F.col(f"i.{c}") for c in ("wireless_station", "wireless_id", "lan_vlan", "last_seen")])
 
 
