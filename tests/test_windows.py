@@ -206,3 +206,13 @@ def test_nmsp_topic_keeps_own_fields_over_the_store(spark):
     out, = topics.run_topic(good, fields.NMSP, topics.Context(stores=[StoreSpec("s", table)]))
     row = out.first()
     assert (row.wireless_station, row.building, row.type) == ("own", "b", "nmsp-info")
+
+
+def test_exact_counts_of_own_dimensions_expand_no_rows(spark):
+    """A group holds one value of a dimension, so counting it needs no copy of the rows per counted column."""
+    rows = [(60, "a", "m1", "s1"), (61, "a", "m1", "s1"), (62, "a", None, "s1"), (63, "a", None, None), (125, "a", "m2", None)]
+    df = spark.createDataFrame(rows, "timestamp bigint, application_id_name string, client_mac string, wireless_station string").withColumns({"bytes": F.lit(2), "pkts": F.lit(1), "client_rssi_num": F.lit(-1)})
+    out = rollup.rollup(df, rollup.FLOW, "exact")
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.timestamp, r.client_mac, r.wireless_station): (r.events, r.clients, r.wireless_stations) for r in out.collect()}
+    assert got == {(60, "m1", "s1"): (2, 1, 1), (60, None, "s1"): (1, 0, 1), (60, None, None): (1, 0, 0), (120, "m2", None): (1, 1, 0)}
