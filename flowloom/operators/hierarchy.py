@@ -35,19 +35,23 @@ def ancestors(sensors: DataFrame) -> DataFrame:
     """
     # as many digits as the positions' type needs: every digit less is a probe less for each sensor
     width = 8 if sensors.schema["lft"].dataType.typeName() == "integer" and sensors.schema["rgt"].dataType.typeName() == "integer" else 16
-    points = sensors.select(
-        F.col("id").alias("_sensor"), F.col("rgt").alias("_rgt"), fixed_hex(F.col("lft").cast("bigint"), width).alias("point")
-    )
-    nodes = sensors.filter(F.col("domain_type").isin(list(LEVELS.values()))).select(
+    # nodes and sensors may lie on one another: each place is asked for once, and a place has one node per level that can win
+    places = sensors.select("lft", F.col("rgt").alias("_rgt")).distinct()
+    points = places.select("lft", "_rgt", fixed_hex(F.col("lft").cast("bigint"), width).alias("point"))
+    nodes = sensors.filter(F.col("domain_type").isin(list(LEVELS.values()))).groupBy("lft", "rgt", "domain_type").agg(
+        F.min(F.struct("id", "name", "uuid")).alias("_node")
+    ).select(
         fixed_hex(F.col("lft").cast("bigint"), width).alias("lo"),
         fixed_hex(F.col("rgt").cast("bigint"), width).alias("hi"),
-        F.col("rgt").alias("_node_rgt"), F.col("domain_type").alias("_level"),
-        F.struct(F.col("id"), F.col("name"), F.col("uuid")).alias("_node"),
+        F.col("rgt").alias("_node_rgt"), F.col("domain_type").alias("_level"), "_node",
     )
     pairs = stab(points, nodes, width).filter(F.col("_node_rgt") >= F.col("_rgt"))
-    found = pairs.groupBy("_sensor").agg(*[
+    around = pairs.groupBy("lft", "_rgt").agg(*[
         F.min(F.when(F.col("_level") == code, F.col("_node"))).alias(level) for level, code in LEVELS.items()
     ])
+    own = sensors.select(F.col("id").alias("_sensor"), F.col("lft").alias("_lft"), F.col("rgt").alias("_own_rgt"))
+    found = own.join(around, (F.col("_lft") == F.col("lft")) & (F.col("_own_rgt") == F.col("_rgt"))).groupBy("_sensor").agg(
+        *[F.min(level).alias(level) for level in LEVELS])
     return found.select(
         "_sensor",
         *[F.col(f"{level}.name").alias(level) for level in LEVELS],

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.operators import lookup, privacy, ranges
+from flowloom.operators import hierarchy, lookup, privacy, ranges
 from flowloom.operators.lookup import StoreSpec
 from flowloom.sources import dimensions
 
@@ -239,3 +239,19 @@ def test_geo_by_row_id_equals_geo_by_side(spark, geo):
     df = spark.createDataFrame(rows, "event_id long, lan_ip string, wan_ip string")
     plain, slim = (sorted(map(str, ranges.geo_lookup(df, *geo, row_id=r).collect())) for r in (None, "event_id"))
     assert plain == slim and len(plain) == 6
+
+
+def test_sensors_on_one_place_are_asked_for_once(spark, monkeypatch):
+    """Many sensors with the same interval make one pair per place and level, not one per sensor and node."""
+    rows = [(1, "root", "u1", 6, 0, 1000)] + [(100 + i, f"dep{i}", f"d{i}", 7, 5, 5) for i in range(300)] + [(900, "null", "n", 7, None, None)]
+    sensors = spark.createDataFrame(rows, "id int, name string, uuid string, domain_type int, lft int, rgt int")
+    made = []
+
+    def counted(points, intervals, width, least=0):
+        out = ranges.stab(points, intervals, width, least)
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(hierarchy, "stab", counted)
+    got = {r["_sensor"]: (r["service_provider"], r["deployment"]) for r in hierarchy.ancestors(sensors).collect()}
+    assert made[0] <= 4
+    assert got == {1: ("root", None), **{100 + i: ("root", "dep0") for i in range(300)}}
