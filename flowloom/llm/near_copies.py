@@ -8,10 +8,12 @@
   - MinHash: ``BANDS`` keys of ``ROWS`` minima each. Two sets that are 4/5 alike share no key with a probability of (1 - 0.8^ROWS)^BANDS = 5e-5.
     Under a key every member is compared with two leaders, the nodes nearest to and farthest from the key's own bits, so no pairs within
     a key are made. Leaders differ from key to key; in ``ROUNDS`` rounds they are chosen anew, for members not yet linked to them.
+  - The rest: pairs under a key that met no leader and are in different groups after those rounds are all held against each other, keys of
+    more than ``FEW`` nodes in blocks of ``BLOCK``, by size and parity sketch. This is quadratic in the nodes of such a key, but only pairs left open are kept.
 * Every link is verified by the size of the intersection of the two sets. Before that, parity sketches (about one bit a shingle)
   rule pairs out: they differ in at most as many bits as the sets in shingles, which is (n + m) / 9 at most for a link.
 
-Links are exact; groups may miss one only where two texts met no common leader under any shared key in any round (recall measured in the tests
+Links are exact; groups may miss one only where two texts share no key at all (the probability above; recall measured in the tests
 against brute force, and stated in the README). Stored tables of a round are deleted once the next is written.
 
 Keys under which very many nodes lie get their leaders by a broadcast of at most ``HUBS`` rows, the others by a shuffle.
@@ -36,6 +38,8 @@ from flowloom.llm.simhash import near_edges
 SHINGLE = 5
 #: MinHash keys of a set and minima in each, rounds of leaders, keys by broadcast, members from which a key may be one, size of the sieve of texts.
 BANDS, ROWS, ROUNDS, HUBS, HUB_LEAST, SIEVE_BITS = 25, 5, 3, 500, 1000, 20
+#: Nodes of a key whose open pairs one join makes, and of a block where there are more.
+FEW, BLOCK = 64, 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Odd multipliers, one per minimum.
 FACTORS = np.random.default_rng(8).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -207,6 +211,56 @@ def leader_pairs(own: DataFrame, turn: int) -> DataFrame:
     return _ordered(found.select("node", "lo").union(found.select("node", "hi")))
 
 
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of ``width`` words: halves laid over one another keep every parity."""
+    out = np.zeros((len(sketches), width), np.uint64)
+    for row, x in zip(out, sketches, strict=True):
+        row[:] = np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, width), axis=0)
+    return out
+
+
+def _open_in_blocks(table: pa.Table) -> pa.Table:
+    """The pairs (a, b) of two blocks of one key that may link and are in different groups; each pair of nodes once."""
+    block, node, root, size = (table.column(c).to_numpy() for c in ("block", "node", "root", "size"))
+    sketches = table.column("sketch").to_pylist()
+    width = min(len(x) for x in sketches) // 8
+    words = _folded(sketches, width)
+    first = np.flatnonzero(block == table.column("i")[0].as_py())
+    second = np.flatnonzero(block == table.column("j")[0].as_py())
+    found = []
+    for at in first:
+        may = second[(root[second] != root[at]) & (5 * np.minimum(size[second], size[at]) >= 4 * np.maximum(size[second], size[at]))]
+        if table.column("i")[0] == table.column("j")[0]:
+            may = may[may > at]
+        for k in range(0, len(may), CHUNK):
+            part = may[k:k + CHUNK]
+            differ = np.bitwise_count(words[part] ^ words[at]).sum(axis=1, dtype=np.int64)
+            part = part[9 * differ <= size[part] + size[at]]
+            found.append(np.stack([np.minimum(node[part], node[at]), np.maximum(node[part], node[at])]))
+    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
+
+
+def open_pairs(keys: DataFrame, firsts: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b): all pairs under a key that are in different groups and may link."""
+    own = keys.withColumn("root", F.col("node")) if roots is None else keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = store(own, "own")
+    # of up to three nodes two are leaders, so all pairs have been tested
+    mixed = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
+    mixed = mixed.select("key", "n") if roots is None else mixed.where("n > 3").select("key", "n")
+    own = own.join(mixed, "key").join(firsts.select("node", F.col("size").cast("long").alias("size"), "sketch"), "node")
+    own = store(own.select("key", "n", "node", "root", "size", "sketch"), "members")
+    few = own.where(F.col("n") <= FEW)
+    left, right = (few.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "size")], F.col("sketch").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    near = left.join(right, "key").where("node_a < node_b and root_a <> root_b and 5 * least(size_a, size_b) >= 4 * greatest(size_a, size_b)")
+    near = near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "size_a", "size_b", "x", "y").mapInArrow(_open, "a long, b long")
+    many = own.where(F.col("n") > FEW).withColumn("parts", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    many = many.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    blocks = many.select("key", "i", "j", "block", "node", "root", "size", "sketch").groupBy("key", "i", "j").applyInArrow(_open_in_blocks, "a long, b long")
+    return near.union(blocks).distinct()
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     one, two = pairs.columns
     return pairs.where(F.col(one) != F.col(two)).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
@@ -241,6 +295,11 @@ def node_roots(slim: DataFrame, firsts: DataFrame, rows: DataFrame) -> DataFrame
         edges = new if roots is None else new.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         earlier, roots = roots, store(connected_components(edges), "linked")
         release(earlier, new)
+    pairs = open_pairs(keys, firsts, roots)
+    pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty() and not (new := verified(pairs, firsts, rows)).isEmpty():
+        edges = new if roots is None else new.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = store(connected_components(edges), "linked")
     release(keys)
     return roots if roots is not None else slim.sparkSession.createDataFrame([], "node long, root long")
 

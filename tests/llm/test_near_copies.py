@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from flowloom.llm import near_copies
@@ -66,6 +67,15 @@ def test_stage_against_brute_force(spark, write_corpus, tmp_path):
     assert stays(spark, write_corpus(tmp_path, rows)) == brute_force(rows)
 
 
+@pytest.mark.parametrize("few, block", [(64, 2000), (3, 7)])
+def test_pairs_that_met_no_leader_are_still_held_against_each_other(spark, write_corpus, tmp_path, monkeypatch, few, block):
+    """Without any round of leaders the groups are those of brute force, by the join and by blocks of a key."""
+    for name, value in (("ROUNDS", 0), ("FEW", few), ("BLOCK", block)):
+        monkeypatch.setattr(near_copies, name, value)
+    rows = corpus()
+    assert stays(spark, write_corpus(tmp_path, rows)) == brute_force(rows)
+
+
 def test_links_are_exact_and_recall_is_measured(spark, write_corpus, tmp_path):
     """Of the brute-force pairs nearly all lie in one group, and no group joins texts that no chain of such pairs joins."""
     rows = corpus()
