@@ -10,8 +10,8 @@
     a key are made. Leaders differ from key to key; in ``ROUNDS`` rounds they are chosen anew, for members not yet linked to them.
   - The rest: pairs under a key that met no leader and are in different groups after those rounds are all held against each other, keys of
     more than ``FEW`` nodes in blocks of ``BLOCK``, by size and parity sketch. This is quadratic in the nodes of such a key, but only pairs left open are kept.
-* Every link is verified by the size of the intersection of the two sets. Before that, parity sketches (about one bit a shingle)
-  rule pairs out: they differ in at most as many bits as the sets in shingles, which is (n + m) / 9 at most for a link.
+* Every link is verified by the size of the intersection of the two sets. Before that, parity sketches (eight bits or more a shingle, so
+  that few differences cancel out) rule pairs out: they differ in at most as many bits as the sets in shingles, which is (n + m) / 9 at most for a link.
 
 Links are exact; groups may miss one only where two texts share no key at all (the probability above; recall measured in the tests
 against brute force, and stated in the README). Stored tables of a round are deleted once the next is written.
@@ -38,6 +38,8 @@ from flowloom.llm.simhash import near_edges
 SHINGLE = 5
 #: MinHash keys of a set and minima in each, rounds of leaders, keys by broadcast, members from which a key may be one, size of the sieve of texts.
 BANDS, ROWS, ROUNDS, HUBS, HUB_LEAST, SIEVE_BITS = 25, 5, 3, 500, 1000, 20
+#: Slots of a sketch for each shingle. Of two sets at a similarity of 0.75, one slot a shingle hides so many differences that half of such pairs stay open.
+SPREAD = 8
 #: Nodes of a key whose open pairs one join makes, and of a block where there are more.
 FEW, BLOCK = 64, 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -74,8 +76,8 @@ def _node(own: np.ndarray) -> int:
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """Parities of the set over hash slots; as many bits as the next power of two holds, between 64 and 65 536."""
-    width = 1 << min(16, max(6, (len(own) - 1).bit_length()))
+    """Parities of the set over hash slots; ``SPREAD`` bits a shingle up to the next power of two, between 64 and 65 536."""
+    width = 1 << min(16, max(6, (SPREAD * len(own) - 1).bit_length()))
     slots = (own * MIX >> np.uint64(48)).astype(np.int64) & width - 1
     return np.packbits(np.bincount(slots, minlength=width) & 1 == 1, bitorder="little").tobytes()
 
@@ -211,11 +213,11 @@ def leader_pairs(own: DataFrame, turn: int) -> DataFrame:
     return _ordered(found.select("node", "lo").union(found.select("node", "hi")))
 
 
-def _folded(sketches: list[bytes], width: int) -> np.ndarray:
-    """Sketches as rows of ``width`` words: halves laid over one another keep every parity."""
-    out = np.zeros((len(sketches), width), np.uint64)
-    for row, x in zip(out, sketches, strict=True):
-        row[:] = np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, width), axis=0)
+def _folded(sketches: list[bytes], rows: np.ndarray, width: int) -> np.ndarray:
+    """Sketches of ``rows`` in ``width`` words each: halves laid over one another keep every parity."""
+    out = np.zeros((len(rows), width), np.uint64)
+    for own, row in zip(out, rows.tolist(), strict=True):
+        own[:] = np.bitwise_xor.reduce(np.frombuffer(sketches[row], np.uint64).reshape(-1, width), axis=0)
     return out
 
 
@@ -223,20 +225,26 @@ def _open_in_blocks(table: pa.Table) -> pa.Table:
     """The pairs (a, b) of two blocks of one key that may link and are in different groups; each pair of nodes once."""
     block, node, root, size = (table.column(c).to_numpy() for c in ("block", "node", "root", "size"))
     sketches = table.column("sketch").to_pylist()
-    width = min(len(x) for x in sketches) // 8
-    words = _folded(sketches, width)
+    widths = np.array([len(x) // 8 for x in sketches])
     first = np.flatnonzero(block == table.column("i")[0].as_py())
     second = np.flatnonzero(block == table.column("j")[0].as_py())
+    same = table.column("i")[0] == table.column("j")[0]
     found = []
-    for at in first:
-        may = second[(root[second] != root[at]) & (5 * np.minimum(size[second], size[at]) >= 4 * np.maximum(size[second], size[at]))]
-        if table.column("i")[0] == table.column("j")[0]:
-            may = may[may > at]
-        for k in range(0, len(may), CHUNK):
-            part = may[k:k + CHUNK]
-            differ = np.bitwise_count(words[part] ^ words[at]).sum(axis=1, dtype=np.int64)
-            part = part[9 * differ <= size[part] + size[at]]
-            found.append(np.stack([np.minimum(node[part], node[at]), np.maximum(node[part], node[at])]))
+    for width in np.unique(widths):  # sets whose sizes are 4/5 alike have sketches of one width or of two neighbouring ones
+        near = np.flatnonzero((widths == width) | (widths == 2 * width))
+        words = _folded(sketches, near, width)
+        at_word = np.zeros(len(widths), np.int64)
+        at_word[near] = np.arange(len(near))
+        for at in np.intersect1d(first, near):
+            others = second[(widths[second] == width) | (widths[second] == 2 * width) & (widths[at] == width)]
+            may = others[(root[others] != root[at]) & (5 * np.minimum(size[others], size[at]) >= 4 * np.maximum(size[others], size[at]))]
+            if same:
+                may = may[may > at]
+            for k in range(0, len(may), CHUNK):
+                part = may[k:k + CHUNK]
+                differ = np.bitwise_count(words[at_word[part]] ^ words[at_word[at]]).sum(axis=1, dtype=np.int64)
+                part = part[9 * differ <= size[part] + size[at]]
+                found.append(np.stack([np.minimum(node[part], node[at]), np.maximum(node[part], node[at])]))
     both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.table({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
 

@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -99,6 +100,38 @@ def test_a_common_passage_makes_no_pairs_under_its_key(spark):
     assert near_copies.leader_pairs(own, 0).count() <= 2 * 5000
 
 
+def alike(rng, n, changed):
+    """Two sets of n hashes that differ in ``changed`` of them each."""
+    pool = np.unique(np.array([rng.getrandbits(64) for _ in range(n + changed)], np.uint64))
+    order = rng.sample(range(len(pool)), len(pool))
+    return np.sort(pool[order[:n]]), np.sort(pool[order[changed:n + changed]])
+
+
+@pytest.mark.parametrize("n", [16, 70, 130, 1000])
+def test_sketches_rule_out_pairs_just_below_the_limit(n):
+    """Sets at a similarity of about 0.74 do not stay open, those at the limit always do."""
+    rng = random.Random(n)
+    below = [alike(rng, n, round(0.15 * n) + 1) for _ in range(200)]
+    assert sum(near_copies.may_link(near_copies.sketch(x), near_copies.sketch(y), 2 * n) for x, y in below) <= 10
+    limit = [alike(rng, n, n // 9) for _ in range(50)]
+    assert all(near_copies.may_link(near_copies.sketch(x), near_copies.sketch(y), 2 * n) for x, y in limit)
+
+
+def test_a_short_text_in_a_block_leaves_the_other_sketches_whole():
+    """In a block that holds texts of every size, the pairs that stay open are those that their own sketches leave open."""
+    rng = random.Random(5)
+    sets = [own for n in (3, 40, 500) for _ in range(30) for own in alike(rng, n, rng.choice([0, 1, n // 9, n // 5]))]
+    sets += [own for n in (60, 127, 255) for _ in range(30) for own in (lambda x: (x, x[:len(x) - len(x) // 12]))(alike(rng, n + 8, 0)[0])]
+    for i, j in ((0, 0), (0, 1)):
+        block = [rng.choice([i, j]) for _ in sets]
+        table = pa.table({"i": [i] * len(sets), "j": [j] * len(sets), "block": block, "node": range(len(sets)), "root": range(len(sets)), "size": [len(x) for x in sets],
+                          "sketch": [near_copies.sketch(x) for x in sets]})
+        may = {(a, b) for a, b in combinations(range(len(sets)), 2) if 5 * min(len(sets[a]), len(sets[b])) >= 4 * max(len(sets[a]), len(sets[b]))
+               and (i == j or block[a] != block[b]) and near_copies.may_link(near_copies.sketch(sets[a]), near_copies.sketch(sets[b]), len(sets[a]) + len(sets[b]))}
+        found = near_copies._open_in_blocks(table).to_pylist()
+        assert sorted((r["a"], r["b"]) for r in found) == sorted(may) and len(may) > 50
+
+
 def test_stage_on_the_test_tables(spark, edge_dir, edge_rows, sf_dir, small):
     assert stays(spark, edge_dir) == brute_force(edge_rows)
     assert stays(spark, sf_dir) == brute_force(small)
