@@ -2,8 +2,8 @@
 
 * Longest matches. One Aho-Corasick pass over a stretch gives the longest piece that starts at each of its characters.
 * Compatibility. A sequence of pieces is what merging yields exactly if every two neighbours are what merging their joined text yields: a
-  merge across a border would show up in that pair already. So neighbours are tested by merging the pair anew; answers are kept in
-  a table of at most 2 * ``KEPT`` pairs.
+  merge across a border would show up in that pair already. So neighbours are tested by running the merges of both pieces side by side
+  and watching the border; answers are kept in a table of at most 2 * ``KEPT`` pairs.
 * Backtracking. The encoder takes the longest match, then shorter ones, that fit the piece before. Where none fits, the position is marked in a
   bitfield of failed positions, never to be tried again, and the piece before is shortened. So the work is linear in the stretch.
 
@@ -36,6 +36,7 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed kinds of pieces in the model format
 BPE = 2
 SHORT, KEPT = 48, 1 << 18
+NEVER = float("-inf")
 
 
 class Pieces:
@@ -47,25 +48,35 @@ class Pieces:
         self.ids = {piece: i for i, (piece, _, kind) in enumerate(table) if kind == NORMAL and self.merged(piece) == [piece]}
         self.built = None
 
-    def merged(self, text: str, border: int = 0) -> list[str]:
-        """Merging as defined: best score first, leftmost of equals. It stops where a merge would cross ``border``."""
+    def merged(self, text: str, steps: list[tuple[float, str, str]] | None = None) -> list[str]:
+        """Merging as defined: best score first, leftmost of equals. ``steps`` collects each merge's score with the first and last part before it."""
         parts, score = list(text), self.score
         scores = [score.get(x + y) for x, y in zip(parts, parts[1:])]  # noqa: B905
-        ends = list(range(1, len(parts) + 1))
         while True:
             best = at = None
             for i, own in enumerate(scores):
                 if own is not None and (best is None or own > best):
                     best, at = own, i
-            if at is None or ends[at] == border:
-                return parts if at is None else []
+            if steps is not None:
+                steps.append((NEVER if at is None else best, parts[0], parts[-1]))
+            if at is None:
+                return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del ends[at], scores[at]
+            del scores[at]
             if at:
                 scores[at - 1] = score.get(parts[at - 1] + parts[at])
             if at < len(scores):
                 scores[at] = score.get(parts[at] + parts[at + 1])
 
+    def ends(self, piece: int) -> tuple[list[tuple[float, str]], list[tuple[float, str]]]:
+        """How merging makes a piece, step by step: the next merge's score with the first part, and with the last part."""
+        found = self.made.get(piece)
+        if found is None:
+            steps: list[tuple[float, str, str]] = []
+            self.merged(self.table[piece][0], steps)
+            found = self.made[piece] = [(s, x) for s, x, _ in steps], [(s, y) for s, _, y in steps]
+        return found
+
     def build(self) -> Pieces:
         """What each worker makes for itself: automaton, next shorter pieces, bytes of ids."""
         if self.built is None:
@@ -84,21 +95,31 @@ class Pieces:
             self.is_byte = {i for i, (_, _, kind) in enumerate(self.table) if kind == BYTE}
             blanks_first = all(BLANK not in p.lstrip(BLANK) for p in self.ids)
             self.stretches = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if blanks_first else "(?s).+")
-            self.fitting: dict[tuple[int, int], bool] = {}
+            self.names = [str(i) for i in range(len(self.table))]
+            self.made: dict[int, tuple[list[tuple[float, str]], list[tuple[float, str]]]] = {}  # at most one entry a piece
+            self.fitting: dict[int, bool] = {}  # by first * number of pieces + second
             self.known: dict[str, tuple[list[int], str]] = {}  # stretches met lately,
             self.older: dict[str, tuple[list[int], str]] = {}  # and before those
             self.built = True
         return self
 
     def fits(self, a: int, b: int) -> bool:
-        """Whether merging the joined text of two pieces yields the two."""
-        found = self.fitting.get((a, b))
-        if found is None:
-            if len(self.fitting) >= 2 * KEPT:
-                self.fitting.clear()
-            x, y = self.table[a][0], self.table[b][0]
-            found = self.fitting[a, b] = x + y not in self.ids and self.merged(x + y, len(x)) == [x, y]
-        return found
+        """Whether merging the joined text of two pieces yields the two: each side merges as it does alone, the better next merge
+        first, the left one of equals, unless the pair across the border comes before both."""
+        score, left, right = self.score, self.ends(a)[1], self.ends(b)[0]
+        i = j = 0
+        while True:
+            x, last = left[i]
+            y, first = right[j]
+            across = score.get(last + first)
+            if across is not None and across > x and across >= y:
+                return False
+            if x < y:
+                j += 1
+            elif x == NEVER:
+                return True
+            else:
+                i += 1
 
     def stretch(self, text: str) -> list[int]:
         longest = [-1] * len(text)
@@ -123,24 +144,27 @@ class Pieces:
 
     def backtracked(self, longest: list[int], begin: int, end: int) -> list[int]:
         """The pieces of a stretch of characters that all have pieces."""
-        size, shorter, fitting = self.size, self.shorter, self.fitting
+        size, shorter, fitting, count = self.size, self.shorter, self.fitting, len(self.table)
         last = longest[begin]
         at = begin + size[last]
         if at == end:
             return [last]
         taken = [last]
-        failed = 0  # a bitfield over positions; most stretches leave it empty
+        clean = True  # most stretches have no failed position
+        failed = 0  # a bitfield over positions
         long_failed = bytearray((end - begin >> 3) + 1) if end - begin > 512 else None
         piece = longest[at]
         while True:
             while piece >= 0:
-                to = at + size[piece] - begin
-                if not (failed >> to & 1 if long_failed is None else long_failed[to >> 3] >> (to & 7) & 1):
+                to = 0 if clean else at + size[piece] - begin
+                if clean or not (failed >> to & 1 if long_failed is None else long_failed[to >> 3] >> (to & 7) & 1):
                     if last < 0:
                         break
-                    found = fitting.get((last, piece))
+                    found = fitting.get(last * count + piece)
                     if found is None:
-                        found = self.fits(last, piece)
+                        if len(fitting) >= 2 * KEPT:
+                            fitting.clear()
+                        found = fitting[last * count + piece] = self.fits(last, piece)
                     if found:
                         break
                 piece = shorter[piece]
@@ -151,6 +175,7 @@ class Pieces:
                     return taken
                 last, piece = piece, longest[at]
                 continue
+            clean = False
             if long_failed is None:
                 failed |= 1 << at - begin
             else:
@@ -165,14 +190,14 @@ class Pieces:
         shown: list[str] = []
         if not text:
             return ids, shown
-        known, older = self.known, self.older
+        known, older, names = self.known, self.older, self.names
         for stretch in self.stretches.findall(BLANK + text.replace(" ", BLANK)):
             found = known.get(stretch)
             if found is None:
                 found = older.get(stretch)
                 if found is None:
                     own = self.stretch(stretch)
-                    found = own, " ".join(map(str, own))
+                    found = own, " ".join([names[i] for i in own])
                 if len(stretch) <= SHORT:
                     if len(known) >= KEPT:
                         self.older = older = known

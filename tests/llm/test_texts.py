@@ -88,6 +88,22 @@ def test_neighbours_and_failed_positions(own):
     assert steps_back > 100
 
 
+def test_pairs_are_judged_without_merging_them_anew():
+    """Whether two pieces fit is what merging their joined text says, equal scores included; each piece is merged once, not each pair."""
+    for seed in range(30):
+        rng = random.Random(seed)
+        words = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(40)}
+        table = [(c, -100.0, pieces.NORMAL) for c in "abc"] + [(w, float(-rng.randrange(8)), pieces.NORMAL) for w in sorted(words)]
+        small = pieces.Pieces(table, 0).build()
+        merged, calls = small.merged, []
+        small.merged = lambda text, *rest: calls.append(text) or merged(text, *rest)  # noqa: B023
+        found = {(a, b): small.fits(a, b) for a in small.ids.values() for b in small.ids.values()}
+        assert len(calls) <= len(small.ids) and len(set(calls)) == len(calls)
+        for (a, b), fits in found.items():
+            x, y = table[a][0], table[b][0]
+            assert fits == (merged(x + y) == [x, y]), (seed, x, y)
+
+
 def test_decoding_of_any_ids(own, library):
     rng = random.Random(5)
     lists = [[rng.randrange(32000) if rng.random() < 0.5 else rng.randrange(260) for _ in range(rng.randint(0, 12))] for _ in range(3000)]
