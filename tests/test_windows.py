@@ -216,3 +216,13 @@ def test_exact_counts_of_own_dimensions_expand_no_rows(spark):
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {(r.timestamp, r.client_mac, r.wireless_station): (r.events, r.clients, r.wireless_stations) for r in out.collect()}
     assert got == {(60, "m1", "s1"): (2, 1, 1), (60, None, "s1"): (1, 0, 1), (60, None, None): (1, 0, 0), (120, "m2", None): (1, 1, 0)}
+
+
+def test_a_message_is_parsed_once_whatever_is_asked_of_its_fields(spark, tmp_path):
+    """Conditions on parsed fields are judged on what was parsed, not by parsing the text once more for each."""
+    spark.createDataFrame([('{"a": "1", "kind": "x", "b": [1]}',), ('{"kind": "y"}',), ("[]",), (None,)], "value string").write.parquet(f"{tmp_path}/m")
+    good, _ = parse_json(spark.read.parquet(f"{tmp_path}/m"), "a bigint, kind string, b array<int>", extras=True)
+    asked = good.filter("kind = 'x' and a > 0 and size(b) > 0")
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(MapType") == 1
+    assert [tuple(r) for r in asked.select("a", "kind", "b").collect()] == [(1, "x", [1])]
