@@ -57,8 +57,10 @@ def topic_sink(folder: str, topic: str, context: topics.Context | None = None, s
                 newest = fresh.agg(F.max("window_start")).first()[0]
                 since = None if before is None else before - KEPT_WINDOWS * seconds
                 known = fresh.groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
+                table = counters.prev_window_table(known, seconds, first, since).persist()
+                table.count()
                 for i, f in enumerate(frames):
-                    rows = counters.with_prev_window_count(topics.published(f), known, seconds, topics.CLOCK, first, since)
+                    rows = counters.join_prev_window(topics.published(f), table, seconds, topics.CLOCK)
                     rows.drop("datasource", topics.CLOCK).write.mode("overwrite").parquet(at(f"records/{i}", batch_id))
                 due = fresh.filter("open").groupBy("datasource", "window_start").agg(F.sum("events").alias("events"))
                 closed = due.filter(F.col("window_start") < newest) if newest is not None else due.limit(0)
@@ -66,6 +68,7 @@ def topic_sink(folder: str, topic: str, context: topics.Context | None = None, s
                 kept = known.filter(F.col("window_start") >= newest - KEPT_WINDOWS * seconds) if newest is not None else known
                 kept.withColumn("open", F.col("window_start") >= newest if newest is not None else F.lit(True)).coalesce(1).write.mode("overwrite").parquet(at("windows", batch_id))
                 first.write.mode("overwrite").parquet(at("first", batch_id))
+                table.unpersist()
                 fresh.unpersist()
             spark.range(1).write.mode("overwrite").parquet(at("done", batch_id))
             for table in ("windows", "first") if batch_id > 1 else ():

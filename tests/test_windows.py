@@ -226,3 +226,16 @@ def test_a_message_is_parsed_once_whatever_is_asked_of_its_fields(spark, tmp_pat
     plan = asked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(MapType") == 1
     assert [tuple(r) for r in asked.select("a", "kind", "b").collect()] == [(1, "x", [1])]
+
+
+def test_kept_counts_join_wide_records_where_they_are(spark):
+    """Of a kept table of the windows' counts the size is known, so the records are not shuffled to it; the result is the same."""
+    rows = spark.range(3000).selectExpr("id", "concat('rb_flow_', id % 3) as datasource", "id % 7 * 60 + id % 60 as timestamp")
+    counts = counters.datasource_counts(rows)
+    table = counters.prev_window_table(counts).persist()
+    assert table.count() == counts.count()
+    found = counters.join_prev_window(rows, table)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, counters.with_prev_window_count(rows, counts).collect()))
+    table.unpersist()
