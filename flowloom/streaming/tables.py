@@ -26,10 +26,25 @@ def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), F.lit(buckets)).cast("string")
 
 
-def _buckets_in(frames: Sequence[DataFrame], keys: Sequence[str], buckets: int) -> set[str]:
+def _buckets_in(df: DataFrame, keys: Sequence[str], buckets: int) -> set[str]:
     """The buckets that the rows fall in; at most as many as there are."""
-    parts = [d.filter(F.col(keys[0]).isNotNull()).select(bucket_of(keys, buckets).alias("b")) for d in frames if keys[0] in d.columns]
-    return {r["b"] for r in reduce(DataFrame.union, parts).distinct().collect()} if parts else set()
+    if keys[0] not in df.columns:
+        return set()
+    return {r["b"] for r in df.filter(F.col(keys[0]).isNotNull()).select(bucket_of(keys, buckets).alias("b")).distinct().collect()}
+
+
+def newest_changes(frames: Sequence[DataFrame], names: Sequence[str], keys: Sequence[str], ts: str, seq: str) -> DataFrame:
+    """One row per client with its newest change of each state, as a struct of ``ts``, ``seq`` and the state, in one pass over all frames."""
+    place = [*[F.col(k).cast("string").alias(k) for k in keys], F.col(ts).cast("bigint").alias(ts), F.col(seq).cast("bigint").alias(seq)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        d.filter(F.col(keys[0]).isNotNull()).select(*place, *[F.col(f"`{n}`") for n in names if n in d.columns]) for d in frames])
+    newest = lambda n: F.max_by(F.struct(ts, seq, f"`{n}`"), F.when(F.col(f"`{n}`").isNotNull(), F.struct(ts, seq))).alias(n)
+    return rows.groupBy(*keys).agg(*[newest(n) for n in names])
+
+
+def _buckets_by_state(newest: DataFrame, names: Sequence[str], keys: Sequence[str], buckets: int) -> dict[str, set[str]]:
+    found = newest.groupBy(bucket_of(keys, buckets).alias("_bucket")).agg(*[F.count(f"`{n}`").alias(n) for n in names]).collect()
+    return {n: {r["_bucket"] for r in found if r[n]} for n in names}
 
 
 def asof_sink(
@@ -57,32 +72,40 @@ def asof_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        kept = [batch.persist()]
         try:
             tables = {n: VersionedTable(spark, f"{folder}/state/{n}", "bucket") for n in _names(spark, folder)} if batch_id else {}
             before = {n: max((v for v in t.versions() if v < batch_id), default=None) for n, t in tables.items()}
-            here = _buckets_in([batch], keys, buckets)
+            here = _buckets_in(batch, keys, buckets) if tables else set()
             known = {n: d.drop("bucket") for n, t in tables.items() if (d := t.read(before[n], here)) is not None}
             probes, frames = split(batch, known) if takes_known else split(batch)
+            # the lookup and the new state both read the frames, which may hold lookups of their own: they are made once
+            kept += [d.persist() for d in frames]
             found = asof_lookup(probes, {}, keys, ts, seq, shared=[*known.values(), *frames], hot_rows=hot_rows, count_on=[batch])
             finish(found).write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
-            newest = batch.agg(F.max(F.col(ts).cast("bigint"))).first()[0] if ttl_seconds is not None and ts in batch.columns else None
-            for n in dict.fromkeys([*tables, *(c for d in frames for c in d.columns if c not in place)]):
+            latest = batch.agg(F.max(F.col(ts).cast("bigint"))).first()[0] if ttl_seconds is not None and ts in batch.columns else None
+            told = list(dict.fromkeys(c for d in frames for c in d.columns if c not in place))
+            if told:
+                newest = newest_changes(frames, told, keys, ts, seq).persist()
+                kept.append(newest)
+            touched = _buckets_by_state(newest, told, keys, buckets) if told else {}
+            for n in dict.fromkeys([*tables, *told]):
                 table = VersionedTable(spark, f"{folder}/state/{n}", "bucket")
-                fresh = [d.select(*place, n).filter(F.col(f"`{n}`").isNotNull() & F.col(keys[0]).isNotNull()) for d in frames if n in d.columns]
                 turn = {str(b) for b in range(batch_id % sweep, buckets, sweep)} if ttl_seconds is not None else set()
-                changed = _buckets_in(fresh, keys, buckets) | turn
+                changed = touched.get(n, set()) | turn
                 old = table.read(before.get(n), changed)
-                if not fresh and old is None:
+                if n not in touched and old is None:
                     continue
+                fresh = [newest.filter(F.col(f"`{n}`").isNotNull()).select(*keys, *[F.col(f"`{n}`.`{c}`").alias(c) for c in (ts, seq, n)])] if n in touched else []
                 rows = reduce(DataFrame.unionByName, [*fresh, *([old.select(*place, n)] if old is not None else [])])
                 rows = latest_per_key(rows, keys, [ts, seq]).select(*place, n)
-                if newest is not None:
-                    rows = rows.filter(F.col(ts) > newest - ttl_seconds)
+                if latest is not None:
+                    rows = rows.filter(F.col(ts) > latest - ttl_seconds)
                 table.commit(batch_id, rows.withColumn("bucket", bucket_of(keys, buckets)).repartition("bucket"), changed, before.get(n))
                 table.vacuum()
         finally:
-            batch.unpersist()
+            for d in kept:
+                d.unpersist()
     return write
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from flowloom.operators import asof, counters, location, nmsp, records, rollup
+from flowloom.sources.versioned import VersionedTable
 from flowloom.streaming import clients, windows
 from flowloom.streaming.asof import stream_asof
 from flowloom.streaming.tables import asof_sink
@@ -171,3 +172,29 @@ def test_keyed_state_in_a_session_with_the_default_store(spark, tmp_path, name):
         assert got.count() == wanted > 0
     finally:
         spark.conf.set(PROVIDER_SETTING, before)
+
+
+def test_states_of_a_micro_batch_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        made.add(1)
+        return x
+
+    rows = [(i, i, "m" if i % 3 else "n", None if i % 2 else "x", f"v{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "event_id bigint, timestamp bigint, client_mac string, namespace_uuid string, v string")
+
+    def split(batch):
+        worked = batch.withColumn("v", counted("v"))
+        place = [*nmsp.KEYS, "timestamp", "event_id"]
+        one = worked.filter("event_id < 8").select(*place, *asof.state_columns(worked, {"a": ["v"]}).values())
+        two = worked.filter("event_id >= 4").select(*place, *asof.state_columns(worked, {"a": ["v"], "b": ["v"]}).values())
+        return batch.select(*place), [one, two]
+
+    write = asof_sink(str(tmp_path / "t"), split)
+    write(df, 0)
+    assert made.value == 8 + 8
+    write(df.filter("client_mac = 'n'").withColumns({c: F.col(c) + 20 for c in ("event_id", "timestamp")}), 1)
+    kept = lambda n: {(r.client_mac, r.namespace_uuid, r.event_id, r[n].v) for r in VersionedTable(spark, str(tmp_path / "t" / "state" / n), "bucket").read(1).collect()}
+    assert kept("a") == kept("b") == {("m", None, 11, "v11"), ("m", "x", 10, "v10"), ("n", None, 29, "v9"), ("n", "x", 26, "v6")}
