@@ -1,6 +1,7 @@
 """Metrics, rollups, counters, capacity, routing, topics and the topic registry."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -239,3 +240,15 @@ def test_kept_counts_join_wide_records_where_they_are(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, counters.with_prev_window_count(rows, counts).collect()))
     table.unpersist()
+
+
+def test_exact_counts_of_several_columns_expand_no_rows(spark):
+    """A set per group and task goes through the one shuffle; the rows are not copied for each counted column."""
+    rows = [(60, "m1", "s1"), (61, "m1", "s2"), (62, None, "s1"), (63, "", "s1"), (125, None, None)]
+    df = spark.createDataFrame(rows, "timestamp bigint, client_mac string, wireless_station string").withColumns({"bytes": F.lit(2), "pkts": F.lit(1), "client_rssi_num": F.lit(-1)})
+    spec = replace(rollup.FLOW, dims=())
+    out = rollup.rollup(df, spec, "exact")
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    assert {r.timestamp: (r.events, r.clients, r.wireless_stations) for r in out.collect()} == {60: (4, 2, 2), 120: (1, 0, 0)}
+    assert dict(out.dtypes)["clients"] == "bigint"
