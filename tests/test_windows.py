@@ -252,3 +252,13 @@ def test_exact_counts_of_several_columns_expand_no_rows(spark):
     assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
     assert {r.timestamp: (r.events, r.clients, r.wireless_stations) for r in out.collect()} == {60: (4, 2, 2), 120: (1, 0, 0)}
     assert dict(out.dtypes)["clients"] == "bigint"
+
+
+def test_estimated_counts_hold_no_registers_for_small_groups(spark):
+    rows = [(60 * i, f"m{i}", "s") for i in range(50)] + [(0, "", None), (0, None, "t"), (6000, None, None)]
+    df = spark.createDataFrame(rows, "timestamp bigint, client_mac string, wireless_station string").withColumns({"bytes": F.lit(2), "pkts": F.lit(1), "client_rssi_num": F.lit(-1)})
+    out = rollup.rollup(df, replace(rollup.FLOW, dims=()))
+    assert "approx_count_distinct" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.timestamp: (r.events, r.clients, r.wireless_stations) for r in out.collect()}
+    assert got == {60 * i: (1, 1, 1) for i in range(1, 50)} | {0: (3, 2, 2), 6000: (1, 0, 0)}
+    assert dict(out.dtypes)["clients"] == "bigint"
