@@ -74,9 +74,11 @@ def index_sink(folder: str, target: str, topics_of: Callable[[DataFrame], dict[s
         try:
             touched = [r[PART] for r in parts.select(PART).distinct().collect()]  # hours of one micro-batch
             old = table.read(base, touched)
-            rows = parts.drop(PART) if old is None else parts.drop(PART).unionByName(old.drop(PART), allowMissingColumns=True)
-            dims = ["datasource", *[c for c in rows.columns if c not in _made(spec) and c not in ("datasource", "timestamp")]]
-            merged = merge_rollups(rows, spec, dims, GRANULARITY, keep_sketches=True)
+            merged = parts.drop(PART)  # one row per minute and dimensions already
+            if old is not None:
+                rows = merged.unionByName(old.drop(PART), allowMissingColumns=True)
+                dims = ["datasource", *[c for c in rows.columns if c not in _made(spec) and c not in ("datasource", "timestamp")]]
+                merged = merge_rollups(rows, spec, dims, GRANULARITY, keep_sketches=True)
             table.commit(batch_id, merged.withColumn(PART, own_part).repartition(PART, "datasource"), touched, base)
             table.vacuum(keep)
         finally:

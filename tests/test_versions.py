@@ -182,3 +182,21 @@ def test_windows_of_an_ended_stream(spark, tmp_path):
     named = lambda d: d.withColumn("datasource", F.lit("d"))
     counts = windows.window_counts_to_end(named(stream), named(df))
     assert {r["window_start"]: r["events"] for r in counts.collect()} == {0: 2, 60: 1, 4980: 2, 5880: 1}
+
+
+def test_first_rows_of_an_index_table_are_not_merged_anew(spark, tmp_path, monkeypatch):
+    from flowloom.plans import index as plan
+
+    calls = []
+    merge = plan.merge_rollups
+    monkeypatch.setattr(plan, "merge_rollups", lambda *a, **k: calls.append(1) or merge(*a, **k))
+    write = plan.index_sink(str(tmp_path), "location", lambda batch: {"rb_loc_post": batch})
+    rows = [(60, "a", "m1", 5), (61, "a", "m2", 7), (61, None, "m1", None)]
+    df = spark.createDataFrame(rows, "timestamp bigint, sensor_uuid string, client_mac string, dwell_time bigint")
+    seen = lambda: {r.sensor_uuid: (r.events, r.sum_dwell_time, r.clients, sum(r.hist_dwell)) for r in plan.read_index(spark, str(tmp_path), "location").collect()}
+    write(df, 0)
+    assert not calls
+    assert seen() == {"a": (2, 12, 2, 2), None: (1, 0, 1, 0)}
+    write(df.filter("client_mac = 'm1'"), 1)
+    assert len(calls) == 1
+    assert seen() == {"a": (3, 17, 2, 3), None: (2, 0, 1, 0)}
