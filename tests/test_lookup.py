@@ -255,3 +255,15 @@ def test_sensors_on_one_place_are_asked_for_once(spark, monkeypatch):
     got = {r["_sensor"]: (r["service_provider"], r["deployment"]) for r in hierarchy.ancestors(sensors).collect()}
     assert made[0] <= 4
     assert got == {1: ("root", None), **{100 + i: ("root", "dep0") for i in range(300)}}
+
+
+def test_uses_of_addresses_are_not_broadcast(spark, tmp_path):
+    """However small their file is said to be, records meet the addresses in as many tasks as there are partitions."""
+    spark.range(50).selectExpr("id", "concat('10.0.0.', id % 5) as lan_ip", "concat('86.121.0.', id % 7) as wan_ip").write.parquet(f"{tmp_path}/f")
+    df = spark.read.parquet(f"{tmp_path}/f")
+    table = spark.createDataFrame([(4, "86.121.0.0", "86.121.0.3", "ES", "AS1 Net")], "family int, start_ip string, end_ip string, country_code string, as_info string")
+    out = ranges.geo_lookup(df, table, table, addresses_of=df, row_id="id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    uses = [line for line in plan.split("\n") if "Join [ip#" in line and " Inner" in line]
+    assert uses and all("SortMergeJoin" in line for line in uses)
+    assert {r.id: r.ip_country_code for r in out.collect()} == {i: "ES" if i % 7 < 4 else None for i in range(50)}
