@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import release, store
+from flowloom.llm.common import release, slices, store
 from flowloom.llm.components import connected_components
 from flowloom.llm.simhash import near_edges
 
@@ -93,10 +93,10 @@ def may_link(x: bytes, y: bytes, shingles: int) -> bool:
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes = (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()).tolist()
-        keep = [may_link(x, y, n) for x, y, n in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), sizes, strict=True)]
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+    for part in (part for batch in batches for part in slices(batch, "x")):
+        sizes = (part.column("size_a").to_numpy() + part.column("size_b").to_numpy()).tolist()
+        keep = [may_link(x, y, n) for x, y, n in zip(part.column("x").to_pylist(), part.column("y").to_pylist(), sizes, strict=True)]
+        yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
 def band_keys(own: np.ndarray) -> np.ndarray:
@@ -124,14 +124,14 @@ def majority(own: np.ndarray) -> int:
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Words()
-    for batch in batches:
-        sets = [shingles(t.as_py(), known) for t in batch.column("text")]
+    for part in (part for batch in batches for part in slices(batch, "text")):
+        sets = [shingles(t.as_py(), known) for t in part.column("text")]
         nodes = np.array([_node(own) for own in sets], np.uint64).view(np.int64)
         keys = [band_keys(own).view(np.int64) for own in sets]
         offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("mark"), pa.array(nodes), pa.array([len(own) for own in sets], pa.int32()), pa.array([sketch(own) for own in sets], pa.binary()),
+            [part.column("id"), part.column("mark"), pa.array(nodes), pa.array([len(own) for own in sets], pa.int32()), pa.array([sketch(own) for own in sets], pa.binary()),
              pa.array([majority(own) for own in sets], pa.int64()), bands],
             names=["id", "mark", "node", "size", "sketch", "fp", "bands"])
 

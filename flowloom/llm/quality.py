@@ -4,7 +4,7 @@ Tokens are words and runs of punctuation, case kept; features are hashed unigram
 (all repeats of a token share one bigram) with value sqrt(count / all), so a
 text's vector has length one whatever its size. The learner (FTRL-proximal) sees at most ``TRAIN_ROWS`` labelled documents, those with
 the smallest hash of their id, in that order, ``EPOCHS`` times, in one task: that bound is fixed, so the task doesn't
-grow. The model is a weight per bucket (2^20 at most) and is broadcast; scoring is a sparse dot product per document.
+grow. Spark sorts and, where needed, spills the passes; the learner sees them as a stream and holds the model only. The model is a weight per bucket (2^20 at most) and is broadcast; scoring is a sparse dot product per document.
 
 Defined results: null, empty and token-free texts have no features and get the bias alone as their score (still between 0 and
 1); a document with several labels counts once, as the larger one; unlabelled rows and null labels aren't learned from; with
@@ -14,7 +14,7 @@ nothing to learn from every score is 0.5; repeated rows are scored alike; an emp
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom.llm.catalog import query
-from flowloom.llm.common import documents, id_bucket
+from flowloom.llm.common import documents, id_bucket, slices
 
 TRAIN_ROWS, EPOCHS, BITS = 12_000, 2, 20
 ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.02, 0.1
 #: Score from which a document counts as good, and the held-out fold.
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 5, 0
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-REMEMBERED = 500_000
+#: Token hashes that a worker keeps; what is met again soon is met among the last ones.
+REMEMBERED = 1 << 16
 #: The bigram of any token with itself, so that stuttering is learned for words never seen.
 REPEAT = np.uint64(0xF00DF00DF00DF00D)
 
@@ -73,16 +74,17 @@ def features(texts: list[str | None], seen: Hashes) -> tuple[np.ndarray, np.ndar
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = Hashes()
     for batch in batches:
-        row, bucket, value = features(batch.column("text").to_pylist(), seen)
-        cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        packed = [(bucket[a:b].astype(np.int32).tobytes(), value[a:b].astype(np.float32).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("turn"), batch.column("label"), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())],
-            names=["turn", "label", "bucket", "value"])
+        for part in slices(batch, "text"):
+            row, bucket, value = features(part.column("text").to_pylist(), seen)
+            cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
+            packed = [(bucket[a:b].astype(np.int32).tobytes(), value[a:b].astype(np.float32).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("turn"), part.column("label"), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())],
+                names=["turn", "label", "bucket", "value"])
 
 
-def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """FTRL-proximal over (label, buckets, values) in the order given: (weights, bias)."""
+def train(examples: Iterable[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """FTRL-proximal over (label, buckets, values) in the order given: (weights, bias). One epoch reads an iterator once."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = bias = 0.0
 
@@ -101,15 +103,21 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
             bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / ALPHA * bias
             bias_n += g * g
             bias = -bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA)
-    return weights(z, n), float(bias)
+    w = np.zeros(1 << BITS)
+    for at in np.array_split(np.flatnonzero(z), 16):
+        w[at] = weights(z[at], n[at])
+    return w, float(bias)
 
 
-def _train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    examples = []
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for label, bucket, value in zip(batch.column("label").to_pylist(), batch.column("bucket").to_pylist(), batch.column("value").to_pylist(), strict=True):
-            examples.append((label, np.frombuffer(bucket, np.int32), np.frombuffer(value, np.float32)))
-    w, bias = train(examples)
+        for label, bucket, value in zip(batch.column("label").to_pylist(), batch.column("bucket"), batch.column("value"), strict=True):
+            yield label, np.frombuffer(bucket.as_buffer(), np.int32), np.frombuffer(value.as_buffer(), np.float32)
+
+
+def _train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of examples that come as often as they are to be seen."""
+    w, bias = train(_examples(batches), epochs=1)
     at = np.flatnonzero(w)
     yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([w[at].astype(np.float32).tobytes()], pa.binary()), pa.array([bias])], names=["bucket", "weight", "bias"])
 
@@ -128,7 +136,8 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Data
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     rows = labelled(docs, labels, most).mapInArrow(_featurise, "turn long, label int, bucket binary, value binary")
-    model = rows.repartition(1).sortWithinPartitions("turn", "bucket").mapInArrow(_train_all, "bucket binary, weight binary, bias double").collect()
+    passes = rows.repartition(1).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).sortWithinPartitions("epoch", "turn", "bucket", "value")
+    model = passes.mapInArrow(_train_all, "bucket binary, weight binary, bias double").collect()
     weights = np.zeros(1 << BITS, np.float32)
     if not model:
         return weights, 0.0
@@ -146,8 +155,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
         weights, bias = shared.value
         seen = Hashes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for part in slices(batch, text_col):
                 row, bucket, value = features(part.column(text_col).to_pylist(), seen)
                 margin = np.bincount(row, weights[bucket] * value, minlength=part.num_rows) + bias
                 scores = 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30)))

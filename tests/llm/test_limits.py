@@ -135,3 +135,77 @@ def test_a_session_that_names_no_folder(tmp_path):
     env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf")}
     done = subprocess.run([sys.executable, "-c", SESSION.format(repo=repo)], env=env, capture_output=True, text=True, timeout=180)
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def _peak_mb(batches, run):
+    """The largest amount of memory that Python and NumPy hold while ``run`` streams the batches, and what it yields."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        got = list(run(iter(batches)))
+        return tracemalloc.get_traced_memory()[1] / 1e6, got
+    finally:
+        tracemalloc.stop()
+
+
+def test_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    from flowloom.llm.common import slices
+    texts = ["a" * 10, None, "é" * 5, "b" * 100, "", "c" * 9, "d", None, "e" * 40, "f" * 10]
+    batch = pa.RecordBatch.from_pydict({"text": ["dropped", *texts], "n": list(range(-1, 10))}).slice(1)
+    parts = [p.column("text").to_pylist() for p in slices(batch, "text", rows=3, size=20)]
+    assert parts == [["a" * 10, None, "é" * 5], ["b" * 100], ["", "c" * 9, "d"], [None], ["e" * 40], ["f" * 10]]
+    assert sum((p.column("n").to_pylist() for p in slices(batch, "text", rows=4, size=1000)), []) == list(range(10))
+    assert list(slices(batch.slice(0, 0), "text")) == []
+
+
+def test_quality_learner_holds_the_model_and_not_the_examples():
+    import numpy as np
+    import pyarrow as pa
+
+    from flowloom.llm import quality
+    rng = np.random.default_rng(3)
+    rows = [(i % 2, np.sort(rng.choice(9000, 6500, replace=False)).astype(np.int32), np.full(6500, 0.0124, np.float32)) for i in range(800)]
+    batches = [pa.RecordBatch.from_pydict({
+        "turn": list(range(i, i + 20)), "label": pa.array([r[0] for r in rows[i:i + 20]], pa.int32()),
+        "bucket": [r[1].tobytes() for r in rows[i:i + 20]], "value": [r[2].tobytes() for r in rows[i:i + 20]]}) for i in range(0, 800, 20)]
+    peak, (model,) = _peak_mb(batches, quality._train_all)
+    assert peak < 40  # 77 MB when the 42 MB of examples were kept; the state of 2^20 buckets has 17 MB, the weights 8
+    w, bias = quality.train(rows, epochs=1)
+    at = np.frombuffer(model.column("bucket")[0].as_py(), np.int32)
+    assert at.tolist() == np.flatnonzero(w).tolist() and model.column("bias")[0].as_py() == bias
+    assert np.array_equal(np.frombuffer(model.column("weight")[0].as_py(), np.float32), w[at].astype(np.float32))
+
+
+def test_quality_fit_learns_in_epochs_in_order(spark):
+    import numpy as np
+
+    from flowloom.llm import quality
+    docs = spark.createDataFrame([(i, f"w{i % 7} v{i % 3} {'good' if i % 2 else 'bad'}" if i % 11 else None) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    rows = sorted(quality.labelled(docs, labels).collect(), key=lambda r: r["turn"])
+    examples = []
+    for r in rows:
+        _, at, x = quality.features([r["text"]], quality.Hashes())
+        examples.append((r["label"], at, x.astype(np.float32)))
+    w, bias = quality.train(examples)
+    got, got_bias = quality.fit(docs, labels)
+    assert np.array_equal(got, w.astype(np.float32)) and got_bias == bias
+
+
+def test_features_and_nodes_of_a_batch_are_made_in_slices():
+    import numpy as np
+    import pyarrow as pa
+
+    from flowloom.llm import near_copies, quality
+    rng = np.random.default_rng(4)
+    known = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(known[rng.integers(0, 5000, 2500)]) for _ in range(500)]
+    labelled = pa.RecordBatch.from_pydict({"turn": list(range(500)), "label": pa.array([1] * 500, pa.int32()), "text": texts})
+    quality_peak, parts = _peak_mb([labelled], lambda b: ([p.column("turn").to_pylist(), p.column("bucket").slice(0, 1).to_pylist()] for p in quality._featurise(b)))
+    assert sum((p[0] for p in parts), []) == list(range(500)) and quality_peak < 30  # 151 MB when the batch was one piece
+    assert np.array_equal(np.frombuffer(parts[-1][1][0], np.int32), quality.features([texts[parts[-1][0][0]]], quality.Hashes())[1])
+    rows = pa.RecordBatch.from_pydict({"id": list(range(500)), "mark": list(range(500)), "text": texts})
+    nodes_peak, parts = _peak_mb([rows], lambda b: (p.column("id").to_pylist() for p in near_copies._nodes(b)))
+    assert sum(parts, []) == list(range(500)) and nodes_peak < 10  # 13 MB when the batch was one piece
