@@ -1,18 +1,21 @@
 """Metrics, rollups, counters, capacity, routing, topics and the topic registry."""
 
 import json
+import uuid
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowloom import fields
-from flowloom.operators import counters, metrics, rollup
+from flowloom.operators import counters, metrics, records, rollup
 from flowloom.operators.lookup import StoreSpec
 from flowloom.plans import topics
 from flowloom.plans.route import route, split_routes
 from flowloom.plans.index import index, index_schema, write_index
 from flowloom.sources.topics import keyed_output, parse_json, read_topic, write_topic
+from workload import windows as _  # noqa: F401  (registers rollup_flow)
+from workload.catalog import QUERIES
 
 
 def test_every_rollup_has_its_dimensions_and_limit():
@@ -262,3 +265,60 @@ def test_estimated_counts_hold_no_registers_for_small_groups(spark):
     got = {r.timestamp: (r.events, r.clients, r.wireless_stations) for r in out.collect()}
     assert got == {60 * i: (1, 1, 1) for i in range(1, 50)} | {0: (3, 2, 2), 6000: (1, 0, 0)}
     assert dict(out.dtypes)["clients"] == "bigint"
+
+
+def test_wide_dimensions_are_shuffled_once_per_flow(spark, tmp_path):
+    """The query's slices are not shuffled: flows are, before the split, and no aggregate is keyed by the dimensions."""
+    events = [(i, f"2024-01-01 00:{i % 50:02d}:30", i % 7, "view", float(i), "{}") for i in range(60)] + [(None, None, None, None, 2.0, None)]
+    spark.createDataFrame(events, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string").selectExpr(
+        "event_id", "cast(ts as timestamp) as ts", "user_id", "event_type", "value", "props").write.parquet(f"{tmp_path}/events.parquet")
+    out = QUERIES["rollup_flow"](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange hashpartitioning")
+    assert not any("Aggregate(" in line and "http_user_agent" in line for line in plan.splitlines())
+    rows = out.collect()
+    assert sum(r.sum_bytes for r in rows) == sum(range(60)) * 1000 and {r.host for r in rows} <= {f"host-{k}" for k in range(4)}
+
+
+ODD_FLOWS = [
+    # texts that run together, NULL and empty text, equal flows, other minutes
+    ("a", "bc", 1, 0.0, "m", "s"), ("ab", "c", 1, 0.0, "m", "s"), ("a", "bc", 1, -0.0, "m", "s"), (None, "bc", 1, 0.0, None, ""), ("", "bc", 1, 0.0, "", None),
+    ("bc", None, 1, 0.0, "m", None), (None, None, None, None, None, None), (None, None, None, None, None, None), ("1, 2]", "[null", 12, 1.5, "m", "s"), ("null", ",", 1, 2.0, "-", "-"),
+    ("é", "\x00", 1, 2.0, "m", "s"), ("é", "", 1, 2.0, "m", "s"),
+]
+
+
+@pytest.mark.parametrize("complete", [False, True])
+def test_dimensions_apart_give_the_same_rollup(spark, complete):
+    rows = [(i % 3 * 100, i % 3 * 100 + 90 * (i % 2), 1000 * i, i, -i, *r) for i, r in enumerate(ODD_FLOWS * 3)] + [(None, None, None, None, None, *ODD_FLOWS[0])]
+    df = spark.createDataFrame(rows, """first_switched bigint, timestamp bigint, bytes bigint, pkts bigint, client_rssi_num bigint,
+        host string, referer string, lan_l4_port bigint, tos double, client_mac string, wireless_station string""").withColumn("now", F.lit(400).cast("bigint"))
+    apart = rollup.Apart(rollup.FLOW)
+    got = rollup.rollup(records.flow(df, before_split=apart.take), rollup.FLOW, "exact", complete=complete, apart=apart)
+    want = rollup.rollup(records.flow(df), rollup.FLOW, "exact", complete=complete)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > len(ODD_FLOWS)
+    assert "lan_l4_port" in apart.dims and not {"tos", "duration"} & {*apart.dims}
+    with pytest.raises(ValueError):
+        rollup.rollup(records.flow(df, before_split=apart.take), rollup.FLOW, apart=apart)
+
+
+def test_dimensions_apart_without_any_and_with_metrics_among_them(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (2, 7, "a"), (61, 7, None)], "timestamp bigint, duration bigint, number string")
+    none = rollup.Apart(rollup.FLOW)
+    assert rollup.rollup(none.take(df.drop("number")), rollup.FLOW, "exact", apart=none).count() == 3
+    spec = replace(rollup.APPMOBILE_CALL, dims=("number", "followers"), aggs={**rollup.APPMOBILE_CALL.aggs, "n": ("distinct", "number"), "f": ("lsum", "followers"), "h": ("histogram", "duration")})
+    df = df.withColumn("followers", F.lit(3))
+    apart = rollup.Apart(spec)
+    got, want = rollup.rollup(apart.take(df), spec, "exact", apart=apart), rollup.rollup(df, spec, "exact")
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        rollup.Apart(rollup.MONITOR)
+
+
+def test_dimensions_that_change_between_readings_are_an_error(spark):
+    other = F.udf(lambda: uuid.uuid4().hex).asNondeterministic()
+    df = spark.range(3).select(F.lit(1).cast("bigint").alias("timestamp"), other().alias("host"))
+    apart = rollup.Apart(rollup.FLOW)
+    with pytest.raises(Exception, match="other dimensions than when they were read first"):
+        rollup.rollup(apart.take(df), rollup.FLOW, "exact", apart=apart).collect()

@@ -275,8 +275,9 @@ def rollup_flow(spark: SparkSession, sf: str) -> DataFrame:
     """All dimensions and aggregators of the flow datasource."""
     i = F.col("event_id")
     made = {d: F.concat(F.lit(f"{d}-"), (i % (2 + n % 3)).cast("string")) for n, d in enumerate(FLOW_MADE)}
-    flows = records.flow(view(spark, sf, "fx_flow").withColumns({**made, "client_rssi_num": -(i % 90)}), now="arrival")
-    return rollup.rollup(flows, rollup.FLOW, mode="exact", complete=True)
+    apart = rollup.Apart(rollup.FLOW)
+    flows = records.flow(view(spark, sf, "fx_flow").withColumns({**made, "client_rssi_num": -(i % 90)}), now="arrival", before_split=apart.take)
+    return rollup.rollup(flows, rollup.FLOW, mode="exact", complete=True, apart=apart)
 
 
 @query("route_datasource", oracle("""
